@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 # Texts that stand for "no value" in the raw extracts.
@@ -50,12 +48,8 @@ def nan_to_null(column: Column) -> Column:
 def standardise(column: Column, spellings: dict[str, tuple[str, ...]]) -> Column:
     """Known spellings become their label, any other value is kept as it came."""
     folded = F.upper(F.trim(column))
-    whens = reduce(
-        lambda chain, item: chain.when(folded.isin(*item[1]), F.lit(item[0])),
-        spellings.items(),
-        F.when(F.lit(False), column),
-    )
-    return whens.otherwise(column)
+    labels = (F.when(folded.isin(*known), F.lit(label)) for label, known in spellings.items())
+    return F.coalesce(*labels, column)
 
 
 def standard_gender(column: Column) -> Column:

@@ -18,9 +18,9 @@ MAX_FLAGS = 62
 
 
 class FlagSet:
-    """Named row conditions packed into a bigint column."""
+    """Named row conditions (SQL predicates) packed into a bigint column."""
 
-    def __init__(self, conditions: Mapping[str, Column], column: str):
+    def __init__(self, conditions: Mapping[str, str], column: str):
         if len(conditions) > MAX_FLAGS:
             raise ValueError(f"at most {MAX_FLAGS} conditions fit into one mask")
         self.conditions = dict(conditions)
@@ -29,7 +29,7 @@ class FlagSet:
     def pack(self) -> Column:
         """Row level: bits of the conditions that hold."""
         bits = (
-            F.when(condition, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
+            F.when(F.expr(condition), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
             for i, condition in enumerate(self.conditions.values())
         )
         return reduce(add, bits).alias(self.column)

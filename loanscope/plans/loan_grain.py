@@ -24,32 +24,31 @@ from loanscope.sources.derived import RawTables
 
 SALE_FLAGS = FlagSet(
     {
-        "galaxy_s_loans": F.col("product_name").contains("Galaxy-S"),
-        "galaxy_a_loans": F.col("product_name").contains("Galaxy-A"),
-        "note_loans": F.col("product_name").contains("Note"),
-        "iphone_loans": F.col("product_name").contains("iPhone"),
-        "term_12m_loans": F.col("loan_term") == "12M",
-        "term_18m_loans": F.col("loan_term") == "18M",
-        "term_24m_loans": F.col("loan_term") == "24M",
-        "returned_devices": F.col("returned") > 0,
+        "galaxy_s_loans": "product_name like '%Galaxy-S%'",
+        "galaxy_a_loans": "product_name like '%Galaxy-A%'",
+        "note_loans": "product_name like '%Note%'",
+        "iphone_loans": "product_name like '%iPhone%'",
+        "term_12m_loans": "loan_term = '12M'",
+        "term_18m_loans": "loan_term = '18M'",
+        "term_24m_loans": "loan_term = '24M'",
+        "returned_devices": "returned > 0",
     },
     "sale_mask",
 )
-STATUS, LEVEL, DPD = F.col("balance_due_status"), F.col("account_status_l2"), F.col("days_past_due")
 FACT_FLAGS = FlagSet(
     {
-        "active_loans": LEVEL == "Active",
-        "fpd_loans": LEVEL == "FPD",
-        "paid_off_loans": LEVEL == "Paid Off",
-        "inactive_loans": LEVEL == "Inactive",
-        "up_to_date_count": STATUS == "up to date",
-        "arrears_count": STATUS == "Arrears",
-        "advance_count": STATUS == "Advance",
-        "dpd_0": DPD == 0,
-        "dpd_1_30": DPD.between(1, 30),
-        "dpd_31_60": DPD.between(31, 60),
-        "dpd_61_90": DPD.between(61, 90),
-        "dpd_90_plus": DPD > 90,
+        "active_loans": "account_status_l2 = 'Active'",
+        "fpd_loans": "account_status_l2 = 'FPD'",
+        "paid_off_loans": "account_status_l2 = 'Paid Off'",
+        "inactive_loans": "account_status_l2 = 'Inactive'",
+        "up_to_date_count": "balance_due_status = 'up to date'",
+        "arrears_count": "balance_due_status = 'Arrears'",
+        "advance_count": "balance_due_status = 'Advance'",
+        "dpd_0": "days_past_due = 0",
+        "dpd_1_30": "days_past_due between 1 and 30",
+        "dpd_31_60": "days_past_due between 31 and 60",
+        "dpd_61_90": "days_past_due between 61 and 90",
+        "dpd_90_plus": "days_past_due > 90",
     },
     "fact_mask",
 )

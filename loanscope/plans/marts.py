@@ -11,44 +11,47 @@ from loanscope.plans.loan_grain import FACT_FLAGS, SALE_FLAGS
 from loanscope.plans.staging import KEY
 from loanscope.sources.derived import RawTables
 
-WEIGHT = F.col("weight")
 FACT_FLAG_NAMES = tuple(FACT_FLAGS.conditions)
 
 
-def _sum_of(condition: Column, value: str) -> Column:
-    return F.sum(F.when(condition, F.col(value)).otherwise(F.lit(0.0)))
+def _sum_of(flag: str, value: str) -> Column:
+    met = F.expr(FACT_FLAGS.conditions[flag])
+    return F.sum(F.when(met, F.col(value)).otherwise(F.lit(0.0)))
 
 
 def _weighted(name: str) -> Column:
-    return F.sum(F.col(name) * WEIGHT)
+    return F.sum(F.col(name) * F.col("weight"))
 
 
 def _mean(total: str, count: str) -> Column:
     return _weighted(total) / F.nullif(_weighted(count), F.lit(0).cast("bigint"))
 
 
-def portfolio_loans(raw: RawTables) -> DataFrame:
+def portfolio_loans(facts: DataFrame, raw: RawTables) -> DataFrame:
     """(snapshot, loan) rows with fact sums, flags and join weight."""
     loans = loan_grain.fact_loans(
-        staging.credit_snapshots(raw.credit_data), "snapshot_date",
+        facts, "snapshot_date",
         measures=[
             F.sum("balance").alias("balance"),
             F.sum("total_paid").alias("paid"),
             F.sum("arrears").alias("arrears"),
             F.sum("days_past_due").alias("dpd"),
             F.count("days_past_due").alias("n_dpd"),
-            _sum_of(loan_grain.STATUS == "up to date", "balance").alias("current_balance"),
-            _sum_of(loan_grain.STATUS == "Arrears", "balance").alias("late_balance"),
-            _sum_of(loan_grain.STATUS == "Arrears", "arrears").alias("late_arrears"),
+            _sum_of("up_to_date_count", "balance").alias("current_balance"),
+            _sum_of("arrears_count", "balance").alias("late_balance"),
+            _sum_of("arrears_count", "arrears").alias("late_arrears"),
             F.bit_or(FACT_FLAGS.pack()).alias(FACT_FLAGS.column),
         ],
     )
     return loan_grain.weigh(loans, loan_grain.customer_profile(raw))
 
 
-def portfolio_performance(raw: RawTables) -> DataFrame:
+def portfolio_performance(raw: RawTables, latest_only: bool = False) -> DataFrame:
     """One row per snapshot: size, balances, status, days past due, products, rates."""
-    loans = portfolio_loans(raw).withColumns({
+    facts = staging.credit_snapshots(raw.credit_data)
+    if latest_only:
+        facts = staging.at_latest_snapshot(facts)
+    loans = portfolio_loans(facts, raw).withColumns({
         mask: loan_grain.loan_flags(mask) for mask in (FACT_FLAGS.column, SALE_FLAGS.column)
     })
     fact_counts = dict(zip(FACT_FLAG_NAMES, FACT_FLAGS.counts(), strict=True))

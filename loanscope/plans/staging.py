@@ -26,6 +26,15 @@ def credit_snapshots(raw: DataFrame, lenient_dates: bool = False) -> DataFrame:
     return raw.select(*map(conform, schemas.CREDIT.fieldNames()))
 
 
+def latest_snapshot(facts: DataFrame) -> Column:
+    """Newest snapshot date as a scalar subquery; it is evaluated once, inside the query."""
+    return facts.agg(F.max("snapshot_date").alias("latest")).scalar()
+
+
+def at_latest_snapshot(facts: DataFrame) -> DataFrame:
+    return facts.where(F.col("snapshot_date") == latest_snapshot(facts))
+
+
 def _select_renamed(raw: DataFrame, schema, renames: dict[str, str]) -> DataFrame:
     return raw.select(*(F.col(f"`{name}`").alias(renames.get(name, name)) for name in schema.fieldNames()))
 
@@ -83,10 +92,9 @@ def demographics(raw: RawTables) -> DataFrame:
     )
 
 
-def survey(raw: DataFrame, headers: dict[str, str] | None = None) -> DataFrame:
-    """Survey responses; ``headers`` maps question texts to canonical names where needed."""
-    canonical = raw.withColumnsRenamed(headers) if headers else raw
-    renamed = _select_renamed(canonical, schemas.SURVEY, schemas.SURVEY_RENAMES)
+def survey(raw: DataFrame) -> DataFrame:
+    """Survey responses with a loan id and the category of their score."""
+    renamed = _select_renamed(raw, schemas.SURVEY, schemas.SURVEY_RENAMES)
     return renamed.where(F.col(KEY).isNotNull()).withColumns({
         "submitted_at": F.col("submitted_at").cast("timestamp_ntz"),
         "nps_category": bands.nps_category(F.col("nps_score")),
