@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -11,7 +12,12 @@ from loanscope.operators import joins
 from loanscope.operators.shares import percent_of_total
 from loanscope.plans import enrich, marts, quality, reports, segments, staging
 from loanscope.plans.staging import KEY
+from loanscope.session import configure
+from loanscope.sinks import export, tables
+from loanscope.sources import catalog, files, sample_files, schemas
 from loanscope.sources.derived import RawTables, raw_tables
+from loanscope.sources.scratch import scratch_dir
+from loanscope.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,10 +53,7 @@ def _valid_ids(raw: RawTables) -> DataFrame:
         ).select(F.lit(table).alias("source"), "total_rows", "valid_rows")
         for table, column in columns.items()
     ]
-    first, *rest = counted
-    for other in rest:
-        first = first.unionAll(other)
-    return first
+    return reduce(DataFrame.unionAll, counted)
 
 
 def _full_outer(raw: RawTables) -> DataFrame:
@@ -215,9 +218,145 @@ ON_RAW: dict[str, Callable[[RawTables], DataFrame]] = {
 }
 
 
+def _raw_folder(spark: SparkSession, sf_dir: str, *writers: Callable[[RawTables, str], None]) -> str:
+    folder, raw = scratch_dir(spark), raw_tables(spark, sf_dir)
+    for write in writers:
+        write(raw, folder)
+    return folder
+
+
+def _scan(spark: SparkSession, folder: str, with_table: bool = False) -> DataFrame:
+    return files.credit_scan(spark, files.entry_paths(files.discover(spark, folder)), with_table)
+
+
+def _discover_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _raw_folder(spark, sf_dir, sample_files.write_snapshots)
+    sizes = _scan(spark, folder, True).groupBy("snapshot_table").agg(F.count(F.lit(1)).alias("row_count"))
+    return files.discover(spark, folder).join(sizes, "snapshot_table").select("stem", "snapshot_table", "row_count")
+
+
+def _snapshot_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _raw_folder(spark, sf_dir, sample_files.write_snapshots)
+    return _scan(spark, folder, True).select("loan_id", "date", "snapshot_table")
+
+
+def _credit_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scan(spark, _raw_folder(spark, sf_dir, sample_files.write_snapshots))
+
+
+def _sheet_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheets = files.sheet_tables(spark, _raw_folder(spark, sf_dir, sample_files.write_sheets))
+    totals = {
+        "customer_sales": ("Loan Id", F.sum("loan_price")),
+        "customer_gender": ("Loan Id", F.count("gender").cast("double")),
+        "customer_dob": ("Loan Id ", F.sum(F.year("date_of_birth")).cast("double")),
+        "customer_income": ("Loan Id", F.sum("received")),
+    }
+    counted = [
+        sheets[table].agg(
+            F.count(F.lit(1)).alias("row_count"), F.count(f"`{key}`").alias("loan_ids"), total.alias("total")
+        ).select(F.lit(table).alias("table_name"), "row_count", "loan_ids", "total")
+        for table, (key, total) in totals.items()
+    ]
+    return reduce(DataFrame.unionAll, counted)
+
+
+def _survey_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _raw_folder(spark, sf_dir, sample_files.write_survey)
+    return files.survey(spark, folder, sample_files.SAMPLE_HEADERS)
+
+
+def _optional_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with snapshots only: the other tables come out empty."""
+    raw = files.load_raw(spark, _raw_folder(spark, sf_dir, sample_files.write_snapshots))
+    counted = [
+        getattr(raw, table).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(table).alias("table_name"), "row_count"
+        )
+        for table in schemas.RAW_TABLES
+    ]
+    return reduce(DataFrame.unionAll, counted)
+
+
+def _load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three snapshots, then the other two and a second file for the first one."""
+    folder, target = scratch_dir(spark), scratch_dir(spark)
+    snapshots = list(sample_files.snapshot_rows(raw_tables(spark, sf_dir)).items())
+    for table, df in snapshots[:3]:
+        sample_files.write_snapshot(df, folder, table)
+    ingest.ingest(spark, folder, target)
+    for table, df in snapshots[3:]:
+        sample_files.write_snapshot(df, folder, table)
+    sample_files.write_snapshot(snapshots[0][1], folder, snapshots[0][0], suffix=" (copy)")
+    ledger = ingest.ingest(spark, folder, target)
+    loaded = ingest.facts(spark, target).groupBy("snapshot_table").agg(F.count(F.lit(1)).alias("row_count"))
+    files_seen = ledger.groupBy("snapshot_table").agg(
+        F.count_if(F.col("action") == "loaded").alias("files_loaded"),
+        F.count_if(F.col("action") == "skipped").alias("files_skipped"),
+    )
+    return files_seen.join(loaded, "snapshot_table")
+
+
+def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = set(sample_files.register_tables(spark, raw_tables(spark, sf_dir)))
+    return catalog.row_counts(spark, [name for name in catalog.table_names(spark) if name in known])
+
+
+def _snapshot_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample_files.register_tables(spark, raw_tables(spark, sf_dir))
+    named = [
+        spark.table(name).agg(F.max("date").alias("date")).select(F.lit(name).alias("table_name"), "date")
+        for name in catalog.snapshot_tables(spark)
+    ]
+    return reduce(DataFrame.unionAll, named)
+
+
+def _snapshot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample_files.register_tables(spark, raw_tables(spark, sf_dir))
+    names = catalog.snapshot_tables(spark)
+    return catalog.row_counts(spark, names).withColumn("tables_detected", F.lit(len(names)).cast("bigint"))
+
+
+def _union_of_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample_files.register_tables(spark, raw_tables(spark, sf_dir))
+    return staging.credit_snapshots(catalog.union_snapshots(spark))
+
+
+def _mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mart = marts.cohort_analysis(raw_tables(spark, sf_dir))
+    return tables.save_parquet(mart, f"{scratch_dir(spark)}/mart_cohort_analysis")
+
+
+def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = export.export_all(spark, raw_tables(spark, sf_dir), scratch_dir(spark))
+    return status.select("export", "status", "rows")
+
+
+ON_FILES: dict[str, Query] = {
+    "src_discover_files": _discover_files,
+    "src_snapshot_name": _snapshot_name,
+    "src_credit_scan": _credit_scan,
+    "src_sheet_tables": _sheet_tables,
+    "src_survey": _survey_file,
+    "src_optional": _optional_sources,
+    "src_load_once": _load_once,
+    "cat_row_counts": _row_counts,
+    "cat_snapshot_tables": _snapshot_tables,
+    "cat_snapshot_counts": _snapshot_counts,
+    "cat_union_snapshots": _union_of_tables,
+    "sink_mart_table": _mart_table,
+    "sink_csv_export": _csv_export,
+}
+
+
 def _over_tables(build: Callable[[RawTables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(raw_tables(spark, sf_dir))
+    return lambda spark, sf_dir: build(raw_tables(configure(spark), sf_dir))
+
+
+def _over_files(query: Query) -> Query:
+    return lambda spark, sf_dir: query(configure(spark), sf_dir)
 
 
 def queries() -> dict[str, Query]:
-    return {name: _over_tables(build) for name, build in ON_RAW.items()}
+    return {**{name: _over_tables(build) for name, build in ON_RAW.items()},
+            **{name: _over_files(query) for name, query in ON_FILES.items()}}

@@ -133,6 +133,10 @@ STAGED_INCOME = """select loan_id, total_income, avg_monthly_income from (select
   if(duration > 0, total_income / duration, null) avg_monthly_income from inc)"""
 
 
+def _span(unit: str) -> str:
+    return f"""select loan_id, snapshot_date, datediff('{unit}', sale_date, snapshot_date) as "{unit}s" from snap"""
+
+
 def _null_count(model: str, relation: str, column: str) -> str:
     return (
         f"select '{model}' model, '{column}' column_name, count(*) filter (where {column} is null) failing_rows "
@@ -144,6 +148,7 @@ def _na(column: str) -> str:
     return f"if({column} in ('', '#N/A'), null, {column})"
 
 
+# The second snapshot file is named a day before the date of its rows.
 SNAPSHOT_FILE = """case when snapshot_date = date '2000-03-31' then date '2000-03-30' else snapshot_date end"""
 SNAPSHOT_TABLE = f"'credit_data_' || strftime({SNAPSHOT_FILE}, '%Y%m%d')"
 
@@ -179,11 +184,10 @@ PLAIN = {
     "fn_parse_date": "select loan_id, snapshot_date, sale_date, next_invoice_date from snap",
     "fn_casts": """select sale_id, cast(sale_date as date) sale_date, cast(return_date as varchar) return_date_text,
         cast(return_date as date) return_date from customer_sales""",
-    "fn_datediff_year": "select loan_id, snapshot_date, datediff('year', sale_date, snapshot_date) as "years" from snap",
-    "fn_datediff_month": "select loan_id, snapshot_date, datediff('month', sale_date, snapshot_date) as "months" from snap",
-    "fn_datediff_quarter":
-        "select loan_id, snapshot_date, datediff('quarter', sale_date, snapshot_date) as "quarters" from snap",
-    "fn_datediff_day": "select loan_id, snapshot_date, datediff('day', sale_date, snapshot_date) as "days" from snap",
+    "fn_datediff_year": _span("year"),
+    "fn_datediff_month": _span("month"),
+    "fn_datediff_quarter": _span("quarter"),
+    "fn_datediff_day": _span("day"),
     "fn_trunc_quarter": """select loan_id, snapshot_date, cast(date_trunc('quarter', sale_date) as date) sale_quarter,
         cast(date_trunc('quarter', snapshot_date) as date) snapshot_quarter from snap""",
     "fn_tenure": """select loan_id, snapshot_date, datediff('day', sale_date, snapshot_date) account_tenure_days,
@@ -336,6 +340,51 @@ PLAIN = {
         from snap group by snapshot_date""",
 }
 
+FILES = {
+    "src_discover_files": f"""select 'Credit Data - ' || strftime({SNAPSHOT_FILE}, '%d-%m-%Y') stem,
+        {SNAPSHOT_TABLE} snapshot_table, count(*) row_count from snap group by all""",
+    "src_snapshot_name":
+        f"""select loan_id, "date", {SNAPSHOT_TABLE} snapshot_table
+        from (select loan_id, "date", {us_date('"date"')} snapshot_date from credit_data)""",
+    "src_credit_scan": """select * replace (nullif(return_date, 'None') as return_date,
+        nullif(credit_expiry, 'None') as credit_expiry, nullif(max_payment_date, 'None') as max_payment_date)
+        from credit_data""",
+    "src_sheet_tables": f"""select 'customer_sales' table_name, count(*) row_count,
+          count({_na('"Loan Id"')}) loan_ids, sum(loan_price) total from customer_sales
+        union all select 'customer_gender', count(*), count("Loan Id"), cast(count(gender) as double)
+          from customer_gender
+        union all select 'customer_dob', count(*), count("Loan Id "), cast(sum(year(date_of_birth)) as double)
+          from customer_dob
+        union all select 'customer_income', count(*), count({_na('"Loan Id"')}), sum(received)
+          from customer_income""",
+    "src_survey": "select * from nps_data",
+    "src_optional": """select unnest(['customer_sales', 'customer_dob', 'customer_gender', 'customer_income',
+          'nps_data']) table_name, cast(0 as bigint) row_count
+        union all select 'credit_data', count(*) from credit_data""",
+    "src_load_once": f"""select {SNAPSHOT_TABLE} snapshot_table, cast(1 as bigint) files_loaded,
+        cast(if(snapshot_date = date '2000-01-01', 1, 0) as bigint) files_skipped, count(*) row_count
+        from snap group by snapshot_date""",
+    "cat_row_counts": f"""select {SNAPSHOT_TABLE} table_name, count(*) row_count from snap group by all
+        union all select 'customer_sales', count(*) from customer_sales
+        union all select 'customer_dob', count(*) from customer_dob
+        union all select 'customer_gender', count(*) from customer_gender
+        union all select 'customer_income', count(*) from customer_income
+        union all select 'nps_data', count(*) from nps_data""",
+    "cat_snapshot_tables": f"""select distinct {SNAPSHOT_TABLE} table_name, "date"
+        from (select "date", {us_date('"date"')} snapshot_date from credit_data)""",
+    "cat_snapshot_counts": f"""select {SNAPSHOT_TABLE} table_name, count(*) row_count,
+        (select count(distinct snapshot_date) from snap) tables_detected from snap group by all""",
+    "cat_union_snapshots": "select * from snap",
+    "sink_mart_table": COHORT,
+    "sink_csv_export": """select 'mart_portfolio_performance' export, 'OK' status,
+          (select count(distinct snapshot_date) from snap) "rows"
+        union all select 'mart_credit_vs_nps', 'OK', (select count(*) from scored)
+        union all select 'mart_cohort_analysis', 'OK', (select count(*) from (
+          select distinct date_trunc('quarter', sale_date), snapshot_date from snap))
+        union all select 'stg_customers', 'OK', (select count(*) from cust)
+        union all select 'SUMMARY', 'OK', 5""",
+}
+
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_relations(query) for name, query in PLAIN.items()}
+    return {name: with_relations(query) for name, query in {**PLAIN, **FILES}.items()}
