@@ -9,8 +9,6 @@ for a condition when any of its rows meets it.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, functions as F
 
@@ -28,20 +26,17 @@ class FlagSet:
 
     def pack(self) -> Column:
         """Row level: bits of the conditions that hold."""
-        bits = (
-            F.when(F.expr(condition), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint")
-            for i, condition in enumerate(self.conditions.values())
-        )
-        return reduce(add, bits).alias(self.column)
+        bits = (f"if({test}, {1 << i}L, 0L)" for i, test in enumerate(self.conditions.values()))
+        return F.expr(" + ".join(bits)).alias(self.column)
 
     def merge(self) -> Column:
         """Key level: bits that hold in any row of the key."""
         return F.bit_or(self.column).alias(self.column)
 
-    def counts(self) -> list[Column]:
-        """Group level: number of keys per condition, one named column each."""
-        return [self.count(name).alias(name) for name in self.conditions]
-
-    def count(self, name: str) -> Column:
+    def count(self, name: str, alias: str | None = None) -> Column:
+        """Group level: number of keys that meet a condition."""
         bit = list(self.conditions).index(name)
-        return F.coalesce(F.sum(F.getbit(self.column, F.lit(bit)).cast("bigint")), F.lit(0).cast("bigint"))
+        return F.expr(f"coalesce(sum(cast(getbit({self.column}, {bit}) as bigint)), 0L) as {alias or name}")
+
+    def counts(self, *names: str) -> list[Column]:
+        return [self.count(name) for name in names or self.conditions]

@@ -21,7 +21,7 @@ def run(
 ) -> dict[str, DataFrame]:
     """Ingest new snapshots, rebuild the marts, export them, run the checks."""
     seen = ingest.ingest(spark, raw_dir, f"{out_dir}/ingested")
-    facts = ingest.raw_columns(ingest.facts(spark, f"{out_dir}/ingested"))
+    facts = ingest.facts(spark, f"{out_dir}/ingested").drop("snapshot_table")
     raw = files.load_raw(spark, raw_dir, survey_headers, credit_data=facts)
     stored = {
         name: tables.save_parquet(build(raw), f"{out_dir}/marts/{name}") for name, build in MARTS.items()

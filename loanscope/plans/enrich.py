@@ -25,14 +25,14 @@ RESPONSE_COLUMNS = (
 )
 
 
-def _customer_presence(raw: RawTables, **more: DataFrame) -> DataFrame:
-    sides = {"sale": staging.customers(raw.customer_sales), **staging.demographic_sides(raw), **more}
+def _customer_presence(raw: RawTables) -> DataFrame:
+    sides = {"sale": staging.customers(raw.customer_sales), **staging.demographic_sides(raw)}
     return joins.key_presence(sides, KEY)
 
 
-def customers_with_demographics(raw: RawTables, presence: DataFrame | None = None) -> DataFrame:
+def customers_with_demographics(raw: RawTables) -> DataFrame:
     """Every sale with every combination of its birth, gender and income records."""
-    presence = _customer_presence(raw) if presence is None else presence
+    presence = _customer_presence(raw)
     has_sale, sides = F.col("has_sale"), staging.demographic_sides(raw)
     some_record = F.col("has_dob") | F.col("has_gender")
     total_without_income = F.when(some_record, F.lit(0.0))
@@ -73,8 +73,9 @@ def customer_enriched(raw: RawTables) -> DataFrame:
 
 def _credit_with_customer(facts: DataFrame, raw: RawTables) -> DataFrame:
     """``facts`` may carry extra columns; ages use each fact's own snapshot date."""
-    presence = _customer_presence(raw, fact=facts)
-    people = customers_with_demographics(raw, presence).select(
+    # Customers' own keys suffice here: their demographics add no loans.
+    presence = joins.key_presence({"fact": facts, "sale": staging.customers(raw.customer_sales)}, KEY)
+    people = customers_with_demographics(raw).select(
         KEY, *CUSTOMER_COLUMNS, F.col("return_date").alias("customer_return_date"),
         "date_of_birth", "gender", "citizenship", "avg_monthly_income",
         bands.income_group(F.col("avg_monthly_income")).alias("income_group"),

@@ -54,7 +54,6 @@ def portfolio_performance(raw: RawTables, latest_only: bool = False) -> DataFram
     loans = portfolio_loans(facts, raw).withColumns({
         mask: loan_grain.loan_flags(mask) for mask in (FACT_FLAGS.column, SALE_FLAGS.column)
     })
-    fact_counts = dict(zip(FACT_FLAG_NAMES, FACT_FLAGS.counts(), strict=True))
     levels, dues, buckets = FACT_FLAG_NAMES[:4], FACT_FLAG_NAMES[4:7], FACT_FLAG_NAMES[7:]
     metrics = loans.groupBy("snapshot_date").agg(
         F.sum("is_loan").alias("total_loans"),
@@ -62,11 +61,11 @@ def portfolio_performance(raw: RawTables, latest_only: bool = False) -> DataFram
         _weighted("paid").alias("total_payments"),
         _weighted("arrears").alias("total_arrears"),
         _mean("dpd", "n_dpd").alias("avg_days_past_due"),
-        *(fact_counts[name] for name in (*levels, *dues)),
+        *FACT_FLAGS.counts(*levels, *dues),
         _weighted("current_balance").alias("up_to_date_balance"),
         _weighted("late_balance").alias("arrears_balance"),
         _weighted("late_arrears").alias("total_arrears_amount"),
-        *(fact_counts[name] for name in buckets),
+        *FACT_FLAGS.counts(*buckets),
         *SALE_FLAGS.counts(),
     )
     loans_total, balance = F.col("total_loans"), F.col("total_balance")
@@ -110,12 +109,12 @@ def cohort_analysis(raw: RawTables) -> DataFrame:
         _mean("paid", "n_paid").alias("avg_total_paid"),
         _mean("balance", "n_balance").alias("avg_balance"),
         (_weighted("paid") / F.nullif(_weighted("owed"), F.lit(0.0)) * 100).alias("avg_repayment_rate_pct"),
-        FACT_FLAGS.count("arrears_count").alias("arrears_count"),
+        FACT_FLAGS.count("arrears_count", "arrears_count"),
         _mean("dpd", "n_dpd").alias("avg_dpd"),
-        FACT_FLAGS.count("active_loans").alias("active_count"),
-        FACT_FLAGS.count("fpd_loans").alias("fpd_count"),
-        FACT_FLAGS.count("paid_off_loans").alias("paid_off_count"),
-        FACT_FLAGS.count("inactive_loans").alias("inactive_count"),
+        FACT_FLAGS.count("active_loans", "active_count"),
+        FACT_FLAGS.count("fpd_loans", "fpd_count"),
+        FACT_FLAGS.count("paid_off_loans", "paid_off_count"),
+        FACT_FLAGS.count("inactive_loans", "inactive_count"),
     )
     size = F.nullif(F.col("cohort_size"), F.lit(0).cast("bigint"))
     return metrics.select(

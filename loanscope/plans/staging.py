@@ -12,18 +12,21 @@ from loanscope.sources.derived import RawTables
 KEY = "loan_id"
 
 
-def credit_snapshots(raw: DataFrame, lenient_dates: bool = False) -> DataFrame:
-    """Loan × snapshot facts. The snapshot date is the one in the rows, not in the file name."""
-
-    def conform(name: str) -> Column:
-        column = F.col(name)
-        if name in schemas.CREDIT_DATES:
-            column = cleaning.parse_us_date(column, lenient_dates)
-        elif name in schemas.CREDIT_OPTIONAL_DATES:
-            column = cleaning.parse_optional_us_date(column, lenient_dates)
-        return column.alias(schemas.CREDIT_RENAMES.get(name, name))
-
-    return raw.select(*map(conform, schemas.CREDIT.fieldNames()))
+def credit_snapshots(raw: DataFrame, *extra: str, lenient_dates: bool = False) -> DataFrame:
+    """Loan × snapshot facts. The snapshot date is the one in the rows, not in the file name.
+
+    Rows that were conformed before they were stored pass through.
+    """
+    if "snapshot_date" in raw.columns:
+        return raw
+
+    dates = {name: cleaning.parse_us_date(name, lenient_dates) for name in schemas.CREDIT_DATES}
+    dates |= {
+        name: cleaning.parse_optional_us_date(name, lenient_dates)
+        for name in schemas.CREDIT_OPTIONAL_DATES
+    }
+    kept = raw.select(*schemas.CREDIT.fieldNames(), *extra)
+    return kept.withColumns(dates).withColumnsRenamed(schemas.CREDIT_RENAMES)
 
 
 def latest_snapshot(facts: DataFrame) -> Column:
@@ -36,7 +39,7 @@ def at_latest_snapshot(facts: DataFrame) -> DataFrame:
 
 
 def _select_renamed(raw: DataFrame, schema, renames: dict[str, str]) -> DataFrame:
-    return raw.select(*(F.col(f"`{name}`").alias(renames.get(name, name)) for name in schema.fieldNames()))
+    return raw.select(*(f"`{name}`" for name in schema.fieldNames())).withColumnsRenamed(renames)
 
 
 def customers(raw: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ order is repeated for every snapshot it existed at.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -129,16 +130,20 @@ TABLES = {
 }
 
 
-@dataclass(frozen=True)
 class RawTables:
-    """The six raw inputs of the pipeline."""
+    """The six raw inputs of the pipeline, each built when first asked for."""
 
-    credit_data: DataFrame
-    customer_sales: DataFrame
-    customer_dob: DataFrame
-    customer_gender: DataFrame
-    customer_income: DataFrame
-    nps_data: DataFrame
+    def __init__(self, **suppliers: Callable[[], DataFrame]):
+        if suppliers.keys() != TABLES.keys():
+            raise TypeError(f"expected exactly the tables {', '.join(TABLES)}")
+        self._suppliers = suppliers
+
+    def __getattr__(self, table: str) -> DataFrame:
+        if table not in TABLES:
+            raise AttributeError(table)
+        df = self._suppliers[table]()
+        setattr(self, table, df)
+        return df
 
 
 def ansi_sql(table: str) -> str:
@@ -163,11 +168,27 @@ def spark_sql(table: str) -> str:
     return re.sub(r"\bfrom (orders|events)\b", r"from {\1}", text)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    sources = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("orders", "events")}
+# Columns the derivations use.
+SOURCES = {
+    "orders": "o_orderkey bigint, o_orderdate timestamp_ntz",
+    "events": "event_id bigint, user_id bigint, ts timestamp_ntz, event_type string, props string",
+}
+
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of fewer splits than cores one partition per core; larger scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     def derive(table: str) -> DataFrame:
         text = spark_sql(table)
-        return spark.sql(text, **{name: df for name, df in sources.items() if f"{{{name}}}" in text})
-
-    return RawTables(**{table: derive(table) for table in TABLES})
+        source = next(name for name in SOURCES if f"{{{name}}}" in text)
+        rows = spark.read.schema(SOURCES[source]).parquet(f"{sf_dir}/{source}.parquet")
+        if table == "credit_data":
+            # An order becomes several wide rows: worth a shuffle of the narrow ones if cores are idle.
+            rows = spread(rows.select("o_orderkey", "o_orderdate"))
+        return spark.sql(text, **{source: rows})
+
+    return RawTables(**{table: partial(derive, table) for table in TABLES})

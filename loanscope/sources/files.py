@@ -8,7 +8,7 @@ Parquet file or folder per sheet, below a folder named after the workbook.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -160,9 +160,14 @@ def load_raw(
     credit_data: DataFrame | None = None,
 ) -> RawTables:
     """All raw inputs of a folder; ``credit_data`` replaces the scan of the snapshot files."""
-    if credit_data is None:
-        credit_data = credit_scan(spark, entry_paths(discover(spark, raw_dir)))
+    sheets = sheet_tables(spark, raw_dir)
+
+    def facts() -> DataFrame:
+        if credit_data is not None:
+            return credit_data
+        return credit_scan(spark, entry_paths(discover(spark, raw_dir)))
+
     return RawTables(
-        credit_data=credit_data, nps_data=survey(spark, raw_dir, survey_headers),
-        **sheet_tables(spark, raw_dir),
+        credit_data=facts, nps_data=lambda: survey(spark, raw_dir, survey_headers),
+        **{table: partial(sheets.__getitem__, table) for table in sheets},
     )

@@ -2,8 +2,8 @@
 
 A file-source stream over the file names (contents are not read by it) with a
 checkpoint hands each new file to one micro-batch; ``availableNow`` makes it a
-job that ends. A batch scans its files, writes one partition per snapshot table
-and then its ledger entry. Both writes replace what an earlier attempt of the
+job that ends. A batch scans its files, writes the conformed rows, one partition
+per snapshot table, and then its ledger entry. Both writes replace what an earlier attempt of the
 same batch left behind, so a batch that is run again after a failure neither
 loses nor repeats rows.
 """
@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loanscope.sources import files, schemas
+from loanscope.plans import staging
+from loanscope.sources import files
 
 FACTS, LEDGER, CHECKPOINT = "credit_data", "ingest_ledger", "ingest_checkpoint"
 LEDGER_SCHEMA = "entry string, stem string, snapshot_table string, action string, batch_id bigint"
@@ -32,7 +33,7 @@ def ledger(spark: SparkSession, table_dir: str) -> DataFrame:
 
 
 def facts(spark: SparkSession, table_dir: str) -> DataFrame:
-    """Raw facts ingested so far, with the snapshot table each row came from."""
+    """Conformed facts ingested so far, with the snapshot table each row came from."""
     return spark.read.parquet(f"{table_dir}/{FACTS}")
 
 
@@ -58,7 +59,8 @@ def ingest(spark: SparkSession, raw_dir: str, table_dir: str) -> DataFrame:
         rows = [tuple(row) for row in decided.collect()]
         paths = [entry for entry, _, _, action in rows if action == "loaded"]
         if paths:
-            files.credit_scan(session, sorted(paths), with_table=True).write.mode("overwrite").option(
+            scanned = files.credit_scan(session, sorted(paths), with_table=True)
+            staging.credit_snapshots(scanned, "snapshot_table").write.mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic"
             ).partitionBy("snapshot_table").parquet(f"{table_dir}/{FACTS}")
         entries = session.createDataFrame([(*row, batch_id) for row in rows], LEDGER_SCHEMA)
@@ -76,7 +78,3 @@ def ingest(spark: SparkSession, raw_dir: str, table_dir: str) -> DataFrame:
     )
     query.awaitTermination()
     return ledger(spark, table_dir)
-
-
-def raw_columns(df: DataFrame) -> DataFrame:
-    return df.select(*schemas.CREDIT.fieldNames())
