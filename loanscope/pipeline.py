@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from loanscope.plans import marts, quality
@@ -19,17 +21,21 @@ MARTS = {
 def run(
     spark: SparkSession, raw_dir: str, out_dir: str, survey_headers: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Ingest new snapshots, rebuild the marts, export them, run the checks."""
+    """Ingest new snapshots, rebuild and store the marts, export them, run the checks."""
     seen = ingest.ingest(spark, raw_dir, f"{out_dir}/ingested")
     facts = ingest.facts(spark, f"{out_dir}/ingested").drop("snapshot_table")
     raw = files.load_raw(spark, raw_dir, survey_headers, credit_data=facts)
     stored = {
         name: tables.save_parquet(build(raw), f"{out_dir}/marts/{name}") for name, build in MARTS.items()
     }
+    exports = [
+        replace(item, build=lambda _, table=stored[item.name]: table) if item.name in stored else item
+        for item in export.EXPORTS
+    ]
     return {
         "ledger": seen,
         **stored,
-        "exports": export.export_all(spark, raw, f"{out_dir}/processed"),
+        "exports": export.export_all(spark, raw, f"{out_dir}/processed", exports),
         "not_null": quality.not_null(raw),
         "unique": quality.unique(raw),
         "accepted_values": quality.accepted_values(raw),

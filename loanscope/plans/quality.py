@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from loanscope.operators import joins
-from loanscope.plans import segments, staging
+from loanscope.operators.shares import with_percentages
+from loanscope.plans import staging
 from loanscope.plans.staging import KEY
 from loanscope.sources.derived import RawTables
 
@@ -92,9 +93,7 @@ def demographic_coverage(raw: RawTables) -> DataFrame:
         F.count(F.lit(1)).alias("total_unique_loans"),
         *(F.count_if(F.col(f"has_{name}")).alias(name) for name in present),
     )
-    return segments.with_percentages(
-        counts, "total_unique_loans", {name: f"{name}_pct" for name in present}
-    )
+    return with_percentages(counts, "total_unique_loans", {name: f"{name}_pct" for name in present})
 
 
 def union_stats(raw: RawTables) -> DataFrame:

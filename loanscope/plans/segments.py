@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loanscope.functions import bands, calendar
 from loanscope.operators import joins
-from loanscope.operators.shares import arg_max, arg_min, percent_of_total
+from loanscope.operators.shares import arg_max, arg_min, percent_of_total, with_percentages
 from loanscope.plans import loan_grain, staging
 from loanscope.plans.staging import KEY
 from loanscope.sources.derived import RawTables
@@ -191,8 +191,3 @@ def band_coverage(raw: RawTables) -> DataFrame:
     return with_percentages(counts, "total_loans", {
         "with_age_group": "age_group_pct", "with_income_group": "income_group_pct",
     })
-
-
-def with_percentages(df: DataFrame, total: str, parts: dict[str, str]) -> DataFrame:
-    whole = F.nullif(F.col(total), F.lit(0).cast("bigint"))
-    return df.withColumns({pct: F.round(F.col(part) * F.lit(100.0) / whole, 1) for part, pct in parts.items()})

@@ -7,6 +7,7 @@ Parquet file or folder per sheet, below a folder named after the workbook.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 from functools import partial, reduce
 
@@ -17,6 +18,8 @@ from loanscope.functions.cleaning import na_to_null, nan_to_null
 from loanscope.sources import schemas
 from loanscope.sources.derived import RawTables
 
+log = logging.getLogger(__name__)
+
 # Names the raw files go by.
 CREDIT_FILES = "Credit Data - *.csv"
 CREDIT_ENTRY = r"^(.*/(Credit Data - [^/]*)\.csv)(?:/[^/]*)?$"
@@ -142,8 +145,10 @@ def sheet_tables(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     missing = [table for table, df in found.items() if df is None]
     if missing and len(missing) < len(found):
         raise FileNotFoundError(f"workbook without sheet for {', '.join(missing)}")
-    empty = {table: spark.createDataFrame([], schema) for table, schema in schemas.SHEETS.values()}
-    return empty if missing else found
+    if not missing:
+        return found
+    log.warning("%s not found, its tables are empty", WORKBOOK)
+    return {table: spark.createDataFrame([], schema) for table, schema in schemas.SHEETS.values()}
 
 
 def survey(spark: SparkSession, raw_dir: str, headers: dict[str, str] | None = None) -> DataFrame:
@@ -152,7 +157,10 @@ def survey(spark: SparkSession, raw_dir: str, headers: dict[str, str] | None = N
     Answers may hold line breaks, so a CSV part file is read by one task.
     """
     found = _table(spark, f"{raw_dir}/{SURVEY_FILE}", schemas.SURVEY, headers, multiline=True)
-    return spark.createDataFrame([], schemas.SURVEY) if found is None else found
+    if found is None:
+        log.warning("%s not found, the table is empty", SURVEY_FILE)
+        return spark.createDataFrame([], schemas.SURVEY)
+    return found
 
 
 def load_raw(
