@@ -55,7 +55,7 @@ FACT_FLAGS = FlagSet(
 
 
 def at_least_one(count: str) -> Column:
-    return F.greatest(F.coalesce(count, F.lit(0)), F.lit(1)).cast("bigint")
+    return F.greatest(F.coalesce(count, F.lit(0)), F.lit(1)).cast("double")
 
 
 def customer_profile(raw: RawTables) -> DataFrame:
@@ -79,6 +79,7 @@ def customer_profile(raw: RawTables) -> DataFrame:
         F.sum("avg_monthly_income").alias("income_sum"),
         F.count("avg_monthly_income").alias("income_count"),
     )
+    # In doubles: whole numbers up to 2^53, and no overflow for a loan repeated in every input.
     weight = F.col("n_sale") * at_least_one("n_dob") * at_least_one("n_gender") * at_least_one("n_income")
     return counted.where(F.col("n_sale") > 0).withColumn("weight", weight)
 
@@ -97,7 +98,7 @@ def weigh(loans: DataFrame, profile: DataFrame) -> DataFrame:
     columns = profile.select(F.col(KEY).alias("_loan"), "weight", SALE_FLAGS.column)
     match = (F.col(KEY) == F.col("_loan")) & F.col("snapshot_date").isNotNull()
     joined = loans.join(columns, match, "left").drop("_loan")
-    return joined.withColumn("weight", at_least_one("weight"))
+    return joined.withColumn("weight", F.coalesce("weight", F.lit(1.0)))
 
 
 def loan_flags(mask: str) -> Column:

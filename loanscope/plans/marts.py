@@ -24,7 +24,7 @@ def _weighted(name: str) -> Column:
 
 
 def _mean(total: str, count: str) -> Column:
-    return _weighted(total) / F.nullif(_weighted(count), F.lit(0).cast("bigint"))
+    return _weighted(total) / F.nullif(_weighted(count), F.lit(0.0))
 
 
 def portfolio_loans(facts: DataFrame, raw: RawTables) -> DataFrame:

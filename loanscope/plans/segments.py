@@ -34,23 +34,29 @@ def gender_records(raw: RawTables) -> DataFrame:
     return staging.genders(raw.customer_gender).select(KEY, "gender")
 
 
-def _segments(records: DataFrame, group: str, count: str, raw: RawTables) -> DataFrame:
+def _segments(records: DataFrame, group: str, side: str, raw: RawTables) -> DataFrame:
     """(loan, group) with the number of customer rows and the incomes on them."""
-    own_income = "avg_monthly_income" in records.columns
-    measures = [F.count(F.lit(1)).alias("records")]
-    if own_income:
-        measures += [F.sum("avg_monthly_income").alias("own_sum"), F.count("avg_monthly_income").alias("own_count")]
-    per_group = records.groupBy(KEY, group).agg(*measures)
-    rows_per_record = F.expr(f"weight div {count}")
-    rows = rows_per_record * F.col("records")
-    if own_income:
-        repeats, income_sum, income_count = rows_per_record, F.col("own_sum"), F.col("own_count")
+    per_group = records.groupBy(KEY, group)
+    repeats = F.col("n_sale").cast("double")
+    for other in ("dob", "gender"):
+        if other != side:
+            repeats = repeats * loan_grain.at_least_one(f"n_{other}")
+    if side == "income":
+        grouped = per_group.agg(
+            F.count(F.lit(1)).alias("records"),
+            F.sum("avg_monthly_income").alias("group_sum"),
+            F.count("avg_monthly_income").alias("group_count"),
+        )
+        rows = repeats * F.col("records")
+        incomes = ("group_sum", "group_count")
     else:
-        repeats = F.expr(f"(weight div {count} * records) div greatest(coalesce(n_income, 0), 1)")
-        income_sum, income_count = F.col("income_sum"), F.col("income_count")
-    return per_group.join(loan_grain.customer_profile(raw), KEY).select(
+        grouped = per_group.agg(F.count(F.lit(1)).alias("records"))
+        repeats = repeats * F.col("records")
+        rows = repeats * loan_grain.at_least_one("n_income")
+        incomes = ("income_sum", "income_count")
+    return grouped.join(loan_grain.customer_profile(raw), KEY).select(
         KEY, group, rows.alias("customer_rows"),
-        (income_sum * repeats).alias("income_sum"), (income_count * repeats).alias("income_count"),
+        *((F.col(name) * repeats).alias(total) for name, total in zip(incomes, ("income_sum", "income_count"))),
     )
 
 
@@ -70,7 +76,7 @@ def _latest_loans(raw: RawTables) -> DataFrame:
     )
 
 
-def _report(raw: RawTables, records: DataFrame, group: str, count: str, last: tuple[str, str]) -> DataFrame:
+def _report(raw: RawTables, records: DataFrame, group: str, side: str, last: tuple[str, str]) -> DataFrame:
     rows = F.col("customer_rows")
     whole = F.sum(F.col("facts") * rows)
 
@@ -78,36 +84,36 @@ def _report(raw: RawTables, records: DataFrame, group: str, count: str, last: tu
         return F.round(F.sum(F.col(part) * rows) * F.lit(100.0) / whole, 1)
 
     def mean(total: Column, number: Column, digits: int) -> Column:
-        return F.round(F.sum(total) / F.nullif(F.sum(number), F.lit(0).cast("bigint")), digits)
+        return F.round(F.sum(total) / F.nullif(F.sum(number), F.lit(0.0)), digits)
 
-    facts, rate = F.col("facts"), last
-    grouped = _latest_loans(raw).join(_segments(records, group, count, raw), KEY).groupBy(group).agg(
+    facts, (status_rows, status_rate) = F.col("facts"), last
+    grouped = _latest_loans(raw).join(_segments(records, group, side, raw), KEY).groupBy(group).agg(
         F.count(F.lit(1)).alias("total_loans"),
         mean(F.col("income_sum") * facts, F.col("income_count") * facts, 0).alias("avg_income"),
         mean(F.col("dpd") * rows, F.col("n_dpd") * rows, 1).alias("avg_dpd"),
         row_rate("n_arrears").alias("arrears_rate_pct"),
-        row_rate(rate[0]).alias(rate[1]),
+        row_rate(status_rows).alias(status_rate),
     )
     return grouped.select(
         group, "total_loans", percent_of_total(F.col("total_loans")).alias("pct_of_portfolio"),
-        "avg_income", "avg_dpd", "arrears_rate_pct", rate[1],
+        "avg_income", "avg_dpd", "arrears_rate_pct", status_rate,
     )
 
 
 def by_age(raw: RawTables) -> DataFrame:
     records = age_records(raw).where(bands.is_banded(F.col("age_group")))
-    return _report(raw, records, "age_group", "n_dob", ("n_fpd", "fpd_rate_pct")).orderBy("age_group")
+    return _report(raw, records, "age_group", "dob", ("n_fpd", "fpd_rate_pct")).orderBy("age_group")
 
 
 def by_income(raw: RawTables) -> DataFrame:
     records = income_records(raw).where(bands.is_banded(F.col("income_group")))
-    report = _report(raw, records, "income_group", "n_income", ("n_paid_off", "paid_off_rate_pct"))
+    report = _report(raw, records, "income_group", "income", ("n_paid_off", "paid_off_rate_pct"))
     return report.orderBy(bands.income_rank(F.col("income_group")))
 
 
 def by_gender(raw: RawTables) -> DataFrame:
     records = gender_records(raw).where(F.col("gender").isNotNull())
-    report = _report(raw, records, "gender", "n_gender", ("n_paid_off", "paid_off_rate_pct"))
+    report = _report(raw, records, "gender", "gender", ("n_paid_off", "paid_off_rate_pct"))
     return report.orderBy(F.desc("total_loans"), "gender")
 
 
