@@ -5,10 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from loanscope import registry
+from oracle import queries as checks
 from tests.check_all import compare, duck
 
-QUERIES = entry.queries()
-CHECKS = entry.oracle_sql()
+QUERIES = registry.queries()
+CHECKS = checks.oracle_sql()
 
 
 @pytest.fixture(scope="module")
