@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loanscope.llm import agenda_bpe, bradley_terry, trie_dedup
+from loanscope.llm import agenda_bpe, bradley_terry, signature_join, spaced_seeds, trie_dedup
 from loanscope.llm.shared import written
 
 
@@ -18,11 +18,21 @@ def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return trie_dedup.drop_copies(docs)
 
 
+def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return signature_join.drop_near_copies(docs, signature_join.Rule(width=5, percent=80))
+
+
+def _leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return spaced_seeds.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return agenda_bpe.token_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-STAGES = [("quality", _quality), ("exact_dedup", _exact), ("tokens", _tokens)]
+STAGES = [
+    ("quality", _quality), ("exact_dedup", _exact), ("near_dedup", _near), ("decontamination", _leaks), ("tokens", _tokens),
+]
 
 #: The classifier and the tokenizer can't be expressed in SQL.
 ORACLE_SQL = None

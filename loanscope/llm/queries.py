@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loanscope.llm import agenda_bpe, bradley_terry, factorization_machine, feistel_shards, trie_dedup
+from loanscope.llm import (
+    agenda_bpe, bradley_terry, factorization_machine, feistel_shards, signature_join, spaced_seeds, trie_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +28,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bradley_terry.scored(docs, bradley_terry.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.near_groups(_table(spark, sf_dir, "documents"), signature_join.Rule(width=3, percent=85))
+
+
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return factorization_machine.scored(docs, factorization_machine.fit(docs, _table(spark, sf_dir, "labels")))
@@ -35,6 +41,11 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel_shards.shards(_table(spark, sf_dir, "documents"), k=24).drop("number")
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only documents with benchmark passages: one row for each with each item."""
+    return spaced_seeds.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agenda_bpe.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -43,7 +54,9 @@ def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": exact_dedup,
         "op2_quality": quality,
+        "op3_near_dedup": near_dedup,
         "op4_toxicity": toxicity,
         "op5_sharding": sharding,
+        "op6_decontamination": decontamination,
         "op8_piece_tokens": piece_tokens,
     }

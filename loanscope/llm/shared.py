@@ -66,17 +66,21 @@ def bloom(keys: DataFrame, bits: int = BLOOM_BITS) -> Callable[[Column], Column]
 
     @F.pandas_udf("boolean")
     def holds(h: pd.Series) -> pd.Series:
-        h, table = h.to_numpy(np.int64).view(np.uint64), shared.value
-        out = np.ones(len(h), bool)
-        for n in (0, 32):
-            at = (h >> np.uint64(n)) & np.uint64(bits - 1)
-            out &= (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)).astype(np.int64)) & 1 == 1
-        return pd.Series(out)
-
-    holds.bits = shared
+        return pd.Series(in_bloom(shared.value, h.to_numpy(np.int64).view(np.uint64)))
+
+    holds.table = shared
     return holds
 
 
+def in_bloom(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which of the hashes a filter's table may hold."""
+    out, last = np.ones(len(h), bool), np.uint64(64 * len(table) - 1)
+    for n in (0, 32):
+        at = (h >> np.uint64(n)) & last
+        out &= (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)).astype(np.int64)) & 1 == 1
+    return out
+
+
 def split_by_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """The rows whose key is not in `ids` (one column), and those whose key is.
 

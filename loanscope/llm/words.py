@@ -19,6 +19,9 @@ _LOWER[0x41:0x5B] += 32
 #: Bytes outside letter runs: all of ASCII but A-Z and a-z.
 NO_LETTER = np.arange(256) < 128
 NO_LETTER[0x41:0x5B] = NO_LETTER[0x61:0x7B] = False
+#: Bytes outside runs of letters and digits.
+NO_SIGN = NO_LETTER.copy()
+NO_SIGN[0x30:0x3A] = False
 
 
 def mix(x: np.ndarray) -> np.ndarray:
