@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loanscope.llm import (
-    agenda_bpe, bradley_terry, factorization_machine, feistel_shards, signature_join, spaced_seeds, trie_dedup,
+    agenda_bpe, bradley_terry, factorization_machine, feistel_shards, ownership, signature_join, spaced_seeds, trie_dedup,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agenda_bpe.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ownership.secrets(_table(spark, sf_dir, "documents"), owner="source", repository="doc_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": exact_dedup,
@@ -59,4 +63,5 @@ def queries() -> dict[str, Query]:
         "op5_sharding": sharding,
         "op6_decontamination": decontamination,
         "op8_piece_tokens": piece_tokens,
+        "op10_secrets": secrets,
     }
