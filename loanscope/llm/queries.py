@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loanscope.llm import (
-    agenda_bpe, bradley_terry, factorization_machine, feistel_shards, ownership, signature_join, spaced_seeds, trie_dedup,
+    agenda_bpe, bradley_terry, factorization_machine, feistel_shards, ownership, semi_markov, signature_join, spaced_seeds,
+    style_tree, trie_dedup,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +51,15 @@ def piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agenda_bpe.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.main_texts(_table(spark, sf_dir, "pages"))
+
+
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return semi_markov.personal_data(docs, semi_markov.fit(docs))
+
+
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ownership.secrets(_table(spark, sf_dir, "documents"), owner="source", repository="doc_id")
 
@@ -62,6 +72,8 @@ def queries() -> dict[str, Query]:
         "op4_toxicity": toxicity,
         "op5_sharding": sharding,
         "op6_decontamination": decontamination,
+        "op7_page_text": page_text,
         "op8_piece_tokens": piece_tokens,
+        "op9_personal_data": personal_data,
         "op10_secrets": secrets,
     }
