@@ -231,6 +231,7 @@ def gold(text: str, words: list[tuple[int, int]], spans: list[tuple[int, int, in
 def train(texts: list[str]) -> Model:
     """Adagrad on the likelihood of the base segmentation of each window's text."""
     model = Model(np.zeros((OUTSIDE + 1, N_FEATURES)), np.zeros((OUTSIDE + 1, OUTSIDE + 1)))
+    model.weights[OUTSIDE, 0] = 1e-3  # what nothing speaks for is outside
     cases = []
     for text in texts:
         words = [m.span() for m in _WORD.finditer(text)]

@@ -37,10 +37,6 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(task, schema)
-
-
 def whole(text: str | Column) -> Column:
     """A text column as string, a null as an empty text."""
     return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("string"), F.lit(""))
@@ -86,12 +82,13 @@ def split_by_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> tuple[
 
     Only rows that pass the Bloom filter are shuffled for the exact join; the texts of all others stay where they are.
     """
-    ids = ids.toDF("_id").distinct()
-    holds = bloom(ids.select(F.xxhash64("_id").alias("h")))
-    marked = docs.withColumn("_maybe", holds(F.xxhash64(F.col(key))))
-    maybe = marked.filter("_maybe").drop("_maybe")
-    same = maybe[key].eqNullSafe(ids["_id"])
-    rest = marked.filter("not _maybe").drop("_maybe").unionAll(maybe.join(ids, same, "left_anti"))
+    ids = ids.toDF("__llm_id").distinct()
+    holds = bloom(ids.select(F.xxhash64(F.col("__llm_id").cast("long")).alias("h")))
+    mine = F.col(key).cast("long")
+    marked = docs.withColumn("__llm_maybe", holds(F.xxhash64(mine)))
+    maybe = marked.filter("__llm_maybe").drop("__llm_maybe")
+    same = mine.eqNullSafe(F.col("__llm_id"))
+    rest = marked.filter("not __llm_maybe").drop("__llm_maybe").unionAll(maybe.join(ids, same, "left_anti"))
     return rest, maybe.join(ids, same, "left_semi")
 
 

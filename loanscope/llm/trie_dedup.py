@@ -274,8 +274,10 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     groups = exact_groups(docs, key, text)
     rest, touched = split_by_ids(docs, groups.filter("not kept").select("doc_id"), key)
     squeezed = F.regexp_replace(whole(text), "[\\x20\\x09-\\x0D]", "")
-    marked = touched.withColumns({"_sha": F.sha2(squeezed.cast("binary"), 256), "_points": F.length(whole(text))})
-    marked = marked.dropDuplicates([key, "_sha", "_points"])
-    best = groups.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_keep"), F.col("points").alias("_most"))
-    same = marked[key].eqNullSafe(best["_id"]) & (marked["_sha"] == best["_keep"]) & (marked["_points"] == best["_most"])
+    marked = touched.withColumns({"__llm_sha": F.sha2(squeezed.cast("binary"), 256), "__llm_points": F.length(whole(text))})
+    marked = marked.dropDuplicates([key, "__llm_sha", "__llm_points"])
+    best = groups.filter("kept").select(
+        F.col("doc_id").alias("__llm_id"), F.col("text_sha256").alias("__llm_keep"), F.col("points").alias("__llm_most")
+    )
+    same = F.col(key).cast("long").eqNullSafe(F.col("__llm_id")) & F.expr("__llm_sha = __llm_keep and __llm_points = __llm_most")
     return rest.unionAll(marked.join(best, same, "left_semi").select(*docs.columns))
