@@ -6,27 +6,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loanscope.llm import agenda_bpe, bradley_terry, signature_join, spaced_seeds, trie_dedup
-from loanscope.llm.shared import written
+from loanscope.llm.shared import tuned, written
 
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = tuned(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return bradley_terry.keep_good(docs, bradley_terry.fit(docs, labels))
 
 
 def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tuned(spark)
     return trie_dedup.drop_copies(docs)
 
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tuned(spark)
     return signature_join.drop_near_copies(docs, signature_join.Rule(width=5, percent=80))
 
 
 def _leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return spaced_seeds.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return spaced_seeds.drop_leaks(docs, tuned(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tuned(spark)
     return agenda_bpe.token_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 

@@ -11,12 +11,13 @@ from loanscope.llm import (
     agenda_bpe, bradley_terry, factorization_machine, feistel_shards, ownership, semi_markov, signature_join, spaced_seeds,
     style_tree, trie_dedup,
 )
+from loanscope.llm.shared import tuned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,11 +14,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 #: Bits of a Bloom filter; the broadcast has an eighth of that in bytes, however many keys it holds.
 BLOOM_BITS = 1 << 23
 #: Bytes of text in an Arrow batch that a task hands back.
-OUT_BYTES = 8 << 20
+OUT_BYTES = 4 << 20
+
+#: Rows of an Arrow batch unless the session says otherwise: whole texts are long, and a batch is held in memory.
+BATCH_ROWS = 1000
 
 _local: dict[str, str] = {}
 
 
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session, with smaller Arrow batches if it still has Spark's default of 10,000 rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, BATCH_ROWS)
+    return spark
+
+
 def folder(spark: SparkSession) -> str:
     """A fresh path below ``spark.checkpoint.dir``; only a local session may go without that setting."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 from loanscope.llm.shared import batches, split_by_ids, whole
 from loanscope.llm.words import text_bytes
 
-#: Bytes of labels that a trie may hold before a subtree is spilled.
-TRIE_BYTES = 96 << 20
+#: Bytes that a trie may hold before a subtree is spilled, and before a map task hands on what it has combined.
+TRIE_BYTES, COMBINE_BYTES = 64 << 20, 16 << 20
 #: Bytes that a node takes besides its label.
 NODE_BYTES = 300
 
@@ -251,7 +251,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", trie_
     """One row per row of `docs`: doc_id, points, keep_id, group_size, kept, text_sha256."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     owners = (
-        rows.mapInArrow(_combine(trie_bytes // 2), _spark_schema(TEXTS))
+        rows.mapInArrow(_combine(min(trie_bytes, COMBINE_BYTES)), _spark_schema(TEXTS))
         .repartition("n_bytes", "digest")
         .mapInArrow(_own(trie_bytes), _spark_schema(OWNERS))
     )

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; only a single longer text or word makes a block larger.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
