@@ -32,14 +32,17 @@ def parse_us_date(text: str, lenient: bool = False) -> Column:
 
     Bad text is an error unless lenient. The strict form takes the parts between
     the slashes instead of going through a date pattern, at less than half the
-    cost per row; a part that is no number or out of range still fails.
+    cost per row; a part that is no number or out of range still fails, also in
+    a session without ANSI mode, which would make it NULL.
     """
     if lenient:
         return F.expr(f"try_to_date({text}, 'M/d/yyyy')")
     month, year = f"substring_index({text}, '/', 1)", f"substring_index({text}, '/', -1)"
     day = f"substring({text}, length({month}) + 2, length({text}) - length({month}) - length({year}) - 2)"
     full_year = f"if(length({year}) = 4, {year}, {text})"
-    return F.expr(f"make_date(cast({full_year} as int), cast({month} as int), cast({day} as int))")
+    made = f"make_date(cast({full_year} as int), cast({month} as int), cast({day} as int))"
+    bad = f"cast(raise_error(concat('bad date: ', {text})) as date)"
+    return F.expr(f"if({text} is null, null, coalesce({made}, {bad}))")
 
 
 def parse_optional_us_date(text: str, lenient: bool = False) -> Column:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loanscope.plans import marts, quality
 from loanscope.sinks import export, tables
-from loanscope.sources import files
+from loanscope.sources import files, schemas
+from loanscope.sources.derived import RawTables
 from loanscope.streaming import ingest
 
 MARTS = {
@@ -18,16 +20,40 @@ MARTS = {
 }
 
 
+def stored_inputs(
+    spark: SparkSession, raw_dir: str, out_dir: str, facts: DataFrame, survey_headers: dict[str, str] | None = None,
+    database: str | None = None,
+) -> RawTables:
+    """The facts, and the sheets and the survey as tables that are loaded once, by name if there is a database.
+
+    A source that is absent is not stored, so it is loaded when it comes.
+    """
+    raw = files.load_raw(spark, raw_dir, survey_headers, credit_data=facts)
+    found = files.present(spark, raw_dir)
+
+    def table(name: str) -> DataFrame:
+        if name not in found:
+            return getattr(raw, name)
+        title = f"{database}.{name}" if database else None
+        return tables.store_once(spark, lambda: getattr(raw, name), f"{out_dir}/raw/{name}", title)
+
+    names = [name for name in schemas.RAW_TABLES if name != "credit_data"]
+    return RawTables(credit_data=lambda: facts, **{name: partial(table, name) for name in names})
+
+
 def run(
     spark: SparkSession, raw_dir: str, out_dir: str, survey_headers: dict[str, str] | None = None,
+    database: str | None = None,
 ) -> dict[str, DataFrame]:
     """Ingest new snapshots, rebuild and store the marts, export them, run the checks."""
     seen = ingest.ingest(spark, raw_dir, f"{out_dir}/ingested")
     facts = ingest.facts(spark, f"{out_dir}/ingested").drop("snapshot_table")
-    raw = files.load_raw(spark, raw_dir, survey_headers, credit_data=facts)
-    stored = {
-        name: tables.save_parquet(build(raw), f"{out_dir}/marts/{name}") for name, build in MARTS.items()
-    }
+    raw = stored_inputs(spark, raw_dir, out_dir, facts, survey_headers, database)
+    stored = {}
+    for name, build in MARTS.items():
+        stored[name] = tables.save_parquet(build(raw), f"{out_dir}/marts/{name}")
+        if database:
+            tables.name_table(spark, f"{database}.{name}", f"{out_dir}/marts/{name}")
     exports = [
         replace(item, build=lambda _, table=stored[item.name]: table) if item.name in stored else item
         for item in export.EXPORTS

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from loanscope import pipeline
 from loanscope.functions import bands, calendar, cleaning, money
 from loanscope.operators import joins
 from loanscope.operators.shares import percent_of_total
@@ -261,6 +262,14 @@ def _sheet_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, counted)
 
 
+def _missing_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sales sheet whose empty return dates are written as 'NaT'."""
+    folder, sales = scratch_dir(spark), raw_tables(spark, sf_dir).customer_sales
+    written = sales.withColumn("return_date", F.coalesce(F.col("return_date").cast("string"), F.lit(cleaning.MISSING_CELL_DATE)))
+    written.write.options(**files.CSV_OPTIONS).csv(f"{folder}/{files.WORKBOOK}/Sales Details.csv")
+    return staging.customers(files.sheet(spark, folder, "Sales Details")).select(KEY, "sale_id", "sale_date", "return_date")
+
+
 def _survey_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _raw_folder(spark, sf_dir, sample_files.write_survey)
     return files.survey(spark, folder, sample_files.SAMPLE_HEADERS)
@@ -278,25 +287,39 @@ def _optional_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, counted)
 
 
-def _load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three snapshots, then the other two and a second file for the first one."""
+def _ingested(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Three snapshots, one of them in part; then its late part files, the other two and a second file for the first.
+
+    Returns the folder of the ingested tables and the ledger.
+    """
     folder, target = scratch_dir(spark), scratch_dir(spark)
     snapshots = list(sample_files.snapshot_rows(raw_tables(spark, sf_dir)).items())
-    for table, df in snapshots[:3]:
-        sample_files.write_snapshot(df, folder, table)
+    early = F.crc32("loan_id") % 2 == 0
+    for n, (table, df) in enumerate(snapshots[:3]):
+        sample_files.write_snapshot(df.where(early) if n == 1 else df, folder, table)
     ingest.ingest(spark, folder, target)
+    sample_files.write_snapshot(snapshots[1][1].where(~early), folder, snapshots[1][0], mode="append")
     for table, df in snapshots[3:]:
         sample_files.write_snapshot(df, folder, table)
     sample_files.write_snapshot(snapshots[0][1], folder, snapshots[0][0], suffix=" (copy)")
-    ledger = ingest.ingest(spark, folder, target)
+    return target, ingest.ingest(spark, folder, target)
+
+
+def _load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, ledger = _ingested(spark, sf_dir)
     loaded = ingest.facts(spark, target).groupBy("snapshot_table").agg(F.count(F.lit(1)).alias("row_count"))
+    entries = lambda action: F.count_distinct(F.when(F.col("action") == action, F.col("entry")))
     files_seen = ledger.groupBy("snapshot_table").agg(
-        F.count_if(F.col("action") == "loaded").alias("files_loaded"),
-        F.count_if(F.col("action") == "skipped").alias("files_skipped"),
+        entries("loaded").alias("files_loaded"), entries("skipped").alias("files_skipped"),
     )
     return files_seen.join(loaded, "snapshot_table")
 
 
+def _latest_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, _ = _ingested(spark, sf_dir)
+    return ingest.latest_facts(spark, target).select(KEY, "snapshot_date", "balance", "days_past_due")
+
+
 def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = set(sample_files.register_tables(spark, raw_tables(spark, sf_dir)))
     return catalog.row_counts(spark, [name for name in catalog.table_names(spark) if name in known])
@@ -327,6 +350,56 @@ def _mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.save_parquet(mart, f"{scratch_dir(spark)}/mart_cohort_analysis")
 
 
+def _named_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline twice with a database; the second time the raw sheets and the survey have gone."""
+    folder, out, raw = scratch_dir(spark), scratch_dir(spark), raw_tables(spark, sf_dir)
+    for write in (sample_files.write_snapshots, sample_files.write_sheets, sample_files.write_survey):
+        write(raw, folder)
+    database = f"loanscope_{out.rsplit('/', 1)[1]}"
+    spark.sql(f"create database {database} location '{out}/database'")
+    facts = raw.credit_data
+    first = pipeline.stored_inputs(spark, folder, out, facts, sample_files.SAMPLE_HEADERS, database)
+    names = [name for name in schemas.RAW_TABLES if name != "credit_data"]
+    before = {name: getattr(first, name).inputFiles() for name in names}
+    again = pipeline.stored_inputs(spark, folder, out, facts, sample_files.SAMPLE_HEADERS, database)
+    mart = tables.save_parquet(marts.cohort_analysis(again), f"{out}/marts/mart_cohort_analysis")
+    tables.name_table(spark, f"{database}.mart_cohort_analysis", f"{out}/marts/mart_cohort_analysis")
+    counted = [
+        spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count",
+            F.lit(sorted(before.get(name, mart.inputFiles())) == sorted(spark.table(f"{database}.{name}").inputFiles()) and name in before).alias("kept"),
+        )
+        for name in [*names, "mart_cohort_analysis"]
+    ]
+    return reduce(DataFrame.unionAll, counted)
+
+
+def _csv_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cohort export read back, with the place of each row in the written order."""
+    out, mart = scratch_dir(spark), marts.cohort_analysis(raw_tables(spark, sf_dir))
+    export.export_all(spark, raw_tables(spark, sf_dir), out, [e for e in export.EXPORTS if e.name == "mart_cohort_analysis"])
+    rows = spark.read.options(**files.CSV_OPTIONS).schema(mart.schema).csv(f"{out}/mart_cohort_analysis.csv")
+    order = Window.orderBy(F.col("_metadata.file_name"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return rows.select("*", F.row_number().over(order).cast("bigint").alias("position"))
+
+
+def _export_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good exports between one that fails in Python and one whose target lies below a file."""
+    out, by_name = scratch_dir(spark), {e.name: e for e in export.EXPORTS}
+    def fails(raw: RawTables) -> DataFrame:
+        raise ValueError("no such report")
+
+    blocked = export.Export("below_a_file/x", by_name["SUMMARY"].build)
+    spark.range(1).selectExpr("'x' as value").coalesce(1).write.text(f"{out}/blocker")
+    part = spark.read.text(f"{out}/blocker").inputFiles()[0]
+    status = export.export_all(
+        spark, raw_tables(spark, sf_dir), out,
+        [export.Export("fails_in_python", fails), by_name["mart_portfolio_performance"], blocked, by_name["stg_customers"]],
+        places={"below_a_file/x": f"{part}/x.csv"},
+    )
+    return status.select("export", "status", "rows", F.col("error").isNotNull().alias("has_reason"))
+
+
 def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = export.export_all(spark, raw_tables(spark, sf_dir), scratch_dir(spark))
     return status.select("export", "status", "rows")
@@ -340,12 +413,17 @@ ON_FILES: dict[str, Query] = {
     "src_survey": _survey_file,
     "src_optional": _optional_sources,
     "src_load_once": _load_once,
+    "src_latest_ingested": _latest_ingested,
+    "src_missing_cells": _missing_cells,
     "cat_row_counts": _row_counts,
     "cat_snapshot_tables": _snapshot_tables,
     "cat_snapshot_counts": _snapshot_counts,
     "cat_union_snapshots": _union_of_tables,
     "sink_mart_table": _mart_table,
     "sink_csv_export": _csv_export,
+    "sink_csv_content": _csv_content,
+    "sink_export_isolation": _export_isolation,
+    "sink_named_tables": _named_tables,
 }
 
 

@@ -12,6 +12,8 @@ RUNTIME = {
     # Split a hot join partition even where a later join on the same key then
     # needs a shuffle of its own: the loan-keyed joins here come in chains.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Cells that don't fit their type are errors, not NULLs.
+    "spark.sql.ansi.enabled": "true",
 }
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from loanscope.plans import marts, reports, staging
@@ -52,13 +51,18 @@ def write_csv(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def export_all(spark: SparkSession, raw: RawTables, out_dir: str, exports=EXPORTS) -> DataFrame:
-    """Run every export; one that fails is reported as skipped and the rest go on."""
-    status = []
+def export_all(
+    spark: SparkSession, raw: RawTables, out_dir: str, exports=EXPORTS, places: dict[str, str] | None = None,
+) -> DataFrame:
+    """Run every export; one that fails is reported as skipped and the rest go on.
+
+    An export goes to ``<name>.csv`` below the folder, or to its own place.
+    """
+    status, places = [], places or {}
     for export in exports:
         try:
-            rows = write_csv(ordered(export.build(raw), export), f"{out_dir}/{export.name}.csv")
+            rows = write_csv(ordered(export.build(raw), export), places.get(export.name, f"{out_dir}/{export.name}.csv"))
             status.append((export.name, "OK", rows, None))
-        except PySparkException as error:
-            status.append((export.name, "SKIP", None, str(error)[:200]))
+        except Exception as error:  # whatever fails in one export, the others still run
+            status.append((export.name, "SKIP", None, f"{type(error).__name__}: {error}"))
     return spark.createDataFrame(status, STATUS_SCHEMA)

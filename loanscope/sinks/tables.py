@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,3 +21,25 @@ def load_once(spark: SparkSession, name: str, df: DataFrame, path: str | None =
     writer = df.write.mode("errorifexists").format("parquet")
     (writer.option("path", path) if path else writer).saveAsTable(name)
     return True
+
+
+def name_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Make the Parquet table at ``path`` known to the catalog under ``name``."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def store_once(spark: SparkSession, build: Callable[[], DataFrame], path: str, name: str | None = None) -> DataFrame:
+    """The table at ``path``, built and stored if there is none yet; also a catalog table if it gets a name.
+
+    A folder without data, as a failed first attempt leaves it, counts as none.
+    """
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        stored = save_parquet(build(), path)
+    return name_table(spark, name, path) if name else stored

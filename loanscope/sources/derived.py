@@ -117,7 +117,7 @@ select case when event_id%40=0 then null else concat('L',cast(cast((event_id-eve
   case when event_id%3=0 then 'Yes' when event_id%7=0 then null else 'No' end experienced_payment_delay,
   case when event_id%4=0 then 'Yes' when event_id%9=0 then null else 'No' end difficulty_getting_support,
   case when event_id%6=0 then 'Yes' when event_id%13=0 then null else 'No' end battery_issues,
-  case when event_id%2=0 then 'Yes' when event_id%5=0 then null else 'No' end moapp_usage,
+  case when event_id%2=0 then 'Yes' when event_id%5=0 then null else 'No' end app_usage,
   event_type preferred_channel,
   case when event_id%5=0 then 'Yes' when event_id%8=0 then null else 'No' end phone_locked_despite_payment,
   props additional_feedback
@@ -175,20 +175,11 @@ SOURCES = {
 }
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of fewer splits than cores one partition per core; larger scans stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     def derive(table: str) -> DataFrame:
         text = spark_sql(table)
         source = next(name for name in SOURCES if f"{{{name}}}" in text)
         rows = spark.read.schema(SOURCES[source]).parquet(f"{sf_dir}/{source}.parquet")
-        if table == "credit_data":
-            # An order becomes several wide rows: worth a shuffle of the narrow ones if cores are idle.
-            rows = spread(rows.select("o_orderkey", "o_orderdate"))
         return spark.sql(text, **{source: rows})
 
     return RawTables(**{table: partial(derive, table) for table in TABLES})

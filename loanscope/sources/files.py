@@ -14,7 +14,7 @@ from functools import partial, reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from loanscope.functions.cleaning import na_to_null, nan_to_null
+from loanscope.functions.cleaning import MISSING_CELL_DATE, na_to_null, nan_to_null
 from loanscope.sources import schemas
 from loanscope.sources.derived import RawTables
 
@@ -39,15 +39,21 @@ def snapshot_table(stem: Column) -> Column:
     return F.when(stem.rlike(FILE_DATE), dated).otherwise(F.translate(F.lower(stem), " -", "__"))
 
 
-def entries(paths: DataFrame) -> DataFrame:
-    """Listed ``path`` values → one row per snapshot file with the table it belongs to."""
+def entry_files(paths: DataFrame) -> DataFrame:
+    """Listed ``path`` values → one row per file with its snapshot entry and the table it belongs to."""
     named = paths.select(
+        "path",
         F.regexp_extract("path", CREDIT_ENTRY, 1).alias("entry"),
         F.regexp_extract("path", CREDIT_ENTRY, 2).alias("stem"),
     ).where(F.col("entry") != "")
     return named.withColumn("snapshot_table", snapshot_table(F.col("stem"))).distinct()
 
 
+def entries(paths: DataFrame) -> DataFrame:
+    """Listed ``path`` values → one row per snapshot file or folder with the table it belongs to."""
+    return entry_files(paths).drop("path").distinct()
+
+
 def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
@@ -68,23 +74,28 @@ def _typed(field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.LongType, T.IntegerType)):
         # Columns with gaps are often written as 3.0; a real fraction stays an error.
         text = F.regexp_replace(text, r"\.0+$", "")
+    if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        text = F.nullif(text, F.lit(MISSING_CELL_DATE))
     return text.cast(field.dataType).alias(field.name)
 
 
 def _csv_by_name(
-    spark: SparkSession, paths: Iterable[str], schema: T.StructType, extra: tuple[Column, ...] = (),
+    spark: SparkSession, entries: Iterable[str | list[str]], schema: T.StructType, extra: tuple[Column, ...] = (),
     renames: dict[str, str] | None = None, multiline: bool = False,
 ) -> DataFrame:
     """CSV files matched to the schema by column name, whatever their column order.
 
     One scan per distinct header; Spark checks every file against the header of
-    its scan. Columns outside the schema are not parsed.
+    its scan. An entry is a file, a folder, or a list of part files of one folder;
+    the header of its first file speaks for it. Columns outside the schema are
+    not parsed.
     """
     reader = spark.read.options(**CSV_OPTIONS, enforceSchema=False, multiLine=multiline)
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        names = tuple(reader.csv(path).columns)
-        by_header.setdefault(names, []).append(path)
+    for entry in entries:
+        paths = [entry] if isinstance(entry, str) else entry
+        names = tuple(reader.csv(paths[0]).columns)
+        by_header.setdefault(names, []).extend(paths)
     scans = []
     for names, group in by_header.items():
         texts = T.StructType([T.StructField(name, T.StringType()) for name in names])
@@ -93,7 +104,7 @@ def _csv_by_name(
     return reduce(DataFrame.unionByName, scans)
 
 
-def credit_scan(spark: SparkSession, found: list[str], with_table: bool = False) -> DataFrame:
+def credit_scan(spark: SparkSession, found: list[str] | list[list[str]], with_table: bool = False) -> DataFrame:
     """All rows of the given snapshot files, typed; optionally with their table name."""
     extra: tuple[Column, ...] = ()
     if with_table:
@@ -136,11 +147,15 @@ def _table(
     return None
 
 
+def sheet(spark: SparkSession, raw_dir: str, name: str) -> DataFrame | None:
+    """One sheet of the workbook, or None if it is absent."""
+    return _table(spark, f"{raw_dir}/{WORKBOOK}/{name}", schemas.SHEETS[name][1])
+
+
 def sheet_tables(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     """The four customer tables. All are empty if the workbook is absent; a missing sheet is an error."""
     found = {
-        table: _table(spark, f"{raw_dir}/{WORKBOOK}/{sheet}", schema)
-        for sheet, (table, schema) in schemas.SHEETS.items()
+        table: sheet(spark, raw_dir, name) for name, (table, _) in schemas.SHEETS.items()
     }
     missing = [table for table, df in found.items() if df is None]
     if missing and len(missing) < len(found):
@@ -163,6 +178,24 @@ def survey(spark: SparkSession, raw_dir: str, headers: dict[str, str] | None = N
     return found
 
 
+def _exists(spark: SparkSession, base: str) -> bool:
+    """Whether ``base``.parquet or ``base``.csv is there; only names are listed."""
+    for kind in ("parquet", "csv"):
+        try:
+            spark.read.format("binaryFile").load(f"{base}.{kind}")
+            return True
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
+    return False
+
+
+def present(spark: SparkSession, raw_dir: str) -> set[str]:
+    """The sheet and survey tables that have a file."""
+    bases = {table: f"{WORKBOOK}/{name}" for name, (table, _) in schemas.SHEETS.items()} | {"nps_data": SURVEY_FILE}
+    return {table for table, base in bases.items() if _exists(spark, f"{raw_dir}/{base}")}
+
+
 def load_raw(
     spark: SparkSession, raw_dir: str, survey_headers: dict[str, str] | None = None,
     credit_data: DataFrame | None = None,

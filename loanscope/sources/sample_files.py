@@ -23,10 +23,10 @@ def snapshot_rows(raw: RawTables) -> dict[str, DataFrame]:
     return {table: raw.credit_data.where(F.col("date") == _us_date(day)) for _, day, table in SNAPSHOTS}
 
 
-def write_snapshot(df: DataFrame, raw_dir: str, table: str, suffix: str = "") -> None:
+def write_snapshot(df: DataFrame, raw_dir: str, table: str, suffix: str = "", mode: str = "errorifexists") -> None:
     stamp = table.removeprefix(files.TABLE_PREFIX)
     name = f"Credit Data - {stamp[6:]}-{stamp[4:6]}-{stamp[:4]}{suffix}"
-    df.write.options(**files.CSV_OPTIONS).csv(f"{raw_dir}/{name}.csv")
+    df.write.mode(mode).options(**files.CSV_OPTIONS).csv(f"{raw_dir}/{name}.csv")
 
 
 def write_snapshots(raw: RawTables, raw_dir: str) -> None:

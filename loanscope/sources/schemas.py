@@ -58,7 +58,7 @@ SURVEY = _struct([
     ("nps_score", "long"), ("nps_reason", "str"), ("improvement_suggestion", "str"),
     ("happy_with_device_quality", "str"), ("happy_with_service", "str"),
     ("experienced_payment_delay", "str"), ("difficulty_getting_support", "str"),
-    ("battery_issues", "str"), ("moapp_usage", "str"), ("preferred_channel", "str"),
+    ("battery_issues", "str"), ("app_usage", "str"), ("preferred_channel", "str"),
     ("phone_locked_despite_payment", "str"), ("additional_feedback", "str"),
 ])
 SURVEY_RENAMES = {
@@ -78,7 +78,7 @@ SURVEY_QUESTIONS = {
     "difficulty_getting_support": "Have you ever had difficulty getting assistance from {brand} customer "
                                   "support when needed?",
     "battery_issues": "Have you experienced any battery-related issues with your {brand} device?",
-    "moapp_usage": "Have you used the {brand} app ({app}) to manage your account or make payments?",
+    "app_usage": "Have you used the {brand} app ({app}) to manage your account or make payments?",
     "preferred_channel": "Which communication channel do you prefer when contacting {brand} for inquiries "
                          "or support?",
     "phone_locked_despite_payment": "Have you ever had your phone lock despite making a payment on time?",

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_local: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which all executors can reach.
 
@@ -17,6 +20,6 @@ def scratch_dir(spark: SparkSession) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="loanscope-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        name = spark.sparkContext.applicationId
+        root = _local.get(name) or _local.setdefault(name, tempfile.mkdtemp(prefix="loanscope-"))
     return f"{root}/loanscope/{uuid.uuid4().hex}"

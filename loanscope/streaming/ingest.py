@@ -2,22 +2,26 @@
 
 A file-source stream over the file names (contents are not read by it) with a
 checkpoint hands each new file to one micro-batch; ``availableNow`` makes it a
-job that ends. A batch scans its files, writes the conformed rows, one partition
-per snapshot table, and then its ledger entry. Both writes replace what an earlier attempt of the
-same batch left behind, so a batch that is run again after a failure neither
-loses nor repeats rows.
+job that ends. The first entry (file, or folder of part files) of a snapshot
+table owns the table: part files that arrive in it later are added, files of any
+other entry for the table are skipped. A batch scans its files, writes the
+conformed rows by snapshot date, table and batch, and then its ledger rows, one
+per file. Both writes replace what an earlier attempt of the same batch left
+behind, so a batch that is run again neither loses nor repeats rows.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from loanscope.plans import staging
-from loanscope.sources import files
+from loanscope.sources import files, schemas
 
 FACTS, LEDGER, CHECKPOINT = "credit_data", "ingest_ledger", "ingest_checkpoint"
-LEDGER_SCHEMA = "entry string, stem string, snapshot_table string, action string, batch_id bigint"
+LEDGER_SCHEMA = "path string, entry string, stem string, snapshot_table string, action string, batch_id bigint"
+# Partition columns of the facts, besides the conformed ones.
+SNAPSHOT_DATE, SNAPSHOT_TABLE, BATCH = "snapshot_date", "snapshot_table", "ingest_batch"
 # Columns of the file listing source.
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -33,18 +37,32 @@ def ledger(spark: SparkSession, table_dir: str) -> DataFrame:
 
 
 def facts(spark: SparkSession, table_dir: str) -> DataFrame:
-    """Conformed facts ingested so far, with the snapshot table each row came from."""
-    return spark.read.parquet(f"{table_dir}/{FACTS}")
+    """Conformed facts ingested so far, with the snapshot table each row came from; empty before the first."""
+    raw = spark.createDataFrame([], T.StructType([*schemas.CREDIT.fields, T.StructField(SNAPSHOT_TABLE, T.StringType())]))
+    conformed = staging.credit_snapshots(raw, SNAPSHOT_TABLE)
+    columns = [*(c for c in conformed.columns if c != SNAPSHOT_TABLE), SNAPSHOT_TABLE]
+    try:
+        stored = spark.read.schema(conformed.schema).parquet(f"{table_dir}/{FACTS}")
+    except AnalysisException as error:
+        if not files.is_missing(error):
+            raise
+        return conformed.select(columns)
+    return stored.select(columns)
+
+
+def latest_facts(spark: SparkSession, table_dir: str) -> DataFrame:
+    """The facts of the newest snapshot date: it comes from partition values, and only its partitions are read."""
+    return staging.at_latest_snapshot(facts(spark, table_dir))
 
 
 def _decide(found: DataFrame, loaded: DataFrame) -> DataFrame:
-    """First file (by name) of every snapshot table not loaded before is loaded, others skipped."""
+    """Files of the entry that owns their table are loaded: the one it was loaded from before, or else the first by name."""
     firsts = found.groupBy("snapshot_table").agg(F.min("entry").alias("first"))
-    known = loaded.where(F.col("action") == "loaded").select("snapshot_table", F.lit(True).alias("known"))
-    judged = found.join(firsts, "snapshot_table").join(known.distinct(), "snapshot_table", "left")
-    load = F.col("known").isNull() & (F.col("entry") == F.col("first"))
+    known = loaded.where(F.col("action") == "loaded").groupBy("snapshot_table").agg(F.min("entry").alias("known"))
+    judged = found.join(firsts, "snapshot_table").join(known, "snapshot_table", "left")
+    load = F.col("entry") == F.coalesce("known", "first")
     return judged.select(
-        "entry", "stem", "snapshot_table", F.when(load, "loaded").otherwise("skipped").alias("action")
+        "path", "entry", "stem", "snapshot_table", F.when(load, "loaded").otherwise("skipped").alias("action")
     )
 
 
@@ -54,15 +72,19 @@ def ingest(spark: SparkSession, raw_dir: str, table_dir: str) -> DataFrame:
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         earlier = ledger(session, table_dir).where(F.col("batch_id") < batch_id)
-        decided = _decide(files.entries(batch), earlier)
-        # File names only: one row per snapshot file.
+        decided = _decide(files.entry_files(batch), earlier)
+        # File names only: a scan needs them on the driver.
         rows = [tuple(row) for row in decided.collect()]
-        paths = [entry for entry, _, _, action in rows if action == "loaded"]
-        if paths:
-            scanned = files.credit_scan(session, sorted(paths), with_table=True)
-            staging.credit_snapshots(scanned, "snapshot_table").write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy("snapshot_table").parquet(f"{table_dir}/{FACTS}")
+        by_entry: dict[str, list[str]] = {}
+        for path, entry, _, _, action in rows:
+            if action == "loaded":
+                by_entry.setdefault(entry, []).append(path)
+        if by_entry:
+            scanned = files.credit_scan(session, [sorted(by_entry[entry]) for entry in sorted(by_entry)], with_table=True)
+            conformed = staging.credit_snapshots(scanned, SNAPSHOT_TABLE).withColumn(BATCH, F.lit(batch_id))
+            conformed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                SNAPSHOT_DATE, SNAPSHOT_TABLE, BATCH
+            ).parquet(f"{table_dir}/{FACTS}")
         entries = session.createDataFrame([(*row, batch_id) for row in rows], LEDGER_SCHEMA)
         entries.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "batch_id"

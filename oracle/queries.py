@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from loanscope.functions import bands
 from oracle.relations import (
-    PAYMENT_PERFORMANCE, age_group, dpd_bucket, income_group, nps_category, us_date, valid, with_relations,
+    INCOME_RANK, PAYMENT_PERFORMANCE, age_group, dpd_bucket, income_group, nps_category, us_date, valid, with_relations,
 )
 
 
@@ -96,7 +95,6 @@ BANDED = "not in ('Unknown', 'None')"
 SEG_AGE = _segment("age_group", "FPD", "fpd_rate_pct", f"age_group {BANDED}")
 SEG_INCOME = _segment("income_group", "Paid Off", "paid_off_rate_pct", f"income_group {BANDED}")
 SEG_GENDER = _segment("gender", "Paid Off", "paid_off_rate_pct", "gender is not null")
-INCOME_RANK = "list_position([" + ", ".join(f"'{label}'" for label in bands.INCOME_ORDER) + "], income_group)"
 
 
 def _extremes(segment: str, report: str, position: str) -> str:
@@ -364,6 +362,9 @@ FILES = {
     "src_load_once": f"""select {SNAPSHOT_TABLE} snapshot_table, cast(1 as bigint) files_loaded,
         cast(if(snapshot_date = date '2000-01-01', 1, 0) as bigint) files_skipped, count(*) row_count
         from snap group by snapshot_date""",
+    "src_latest_ingested": """select loan_id, snapshot_date, balance, days_past_due from snap
+        where snapshot_date = (select max(snapshot_date) from snap)""",
+    "src_missing_cells": "select loan_id, sale_id, sale_date, return_date from cust",
     "cat_row_counts": f"""select {SNAPSHOT_TABLE} table_name, count(*) row_count from snap group by all
         union all select 'customer_sales', count(*) from customer_sales
         union all select 'customer_dob', count(*) from customer_dob
@@ -376,6 +377,18 @@ FILES = {
         (select count(distinct snapshot_date) from snap) tables_detected from snap group by all""",
     "cat_union_snapshots": "select * from snap",
     "sink_mart_table": COHORT,
+    "sink_csv_content": f"""select *, row_number() over (order by cohort_quarter nulls last, snapshot_date nulls last,
+        cohort_age_quarters nulls last) as position from ({COHORT})""",
+    "sink_export_isolation": """select 'fails_in_python' export, 'SKIP' status, null::bigint "rows", true has_reason
+        union all select 'mart_portfolio_performance', 'OK', (select count(distinct snapshot_date) from snap), false
+        union all select 'below_a_file/x', 'SKIP', null, true
+        union all select 'stg_customers', 'OK', (select count(*) from cust), false""",
+    "sink_named_tables": """select unnest(['customer_sales', 'customer_dob', 'customer_gender', 'customer_income', 'nps_data',
+          'mart_cohort_analysis']) table_name,
+        unnest([(select count(*) from customer_sales), (select count(*) from customer_dob), (select count(*) from customer_gender),
+          (select count(*) from customer_income), (select count(*) from nps_data),
+          (select count(*) from (select distinct date_trunc('quarter', sale_date), snapshot_date from snap))]) row_count,
+        unnest([true, true, true, true, true, false]) kept""",
     "sink_csv_export": """select 'mart_portfolio_performance' export, 'OK' status,
           (select count(distinct snapshot_date) from snap) "rows"
         union all select 'mart_credit_vs_nps', 'OK', (select count(*) from scored)

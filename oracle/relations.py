@@ -9,40 +9,40 @@ from __future__ import annotations
 
 import re
 
-from loanscope.functions import bands
 from loanscope.sources import derived
 
 
-def _cases(value: str, rows, otherwise: str) -> str:
-    whens = " ".join(f"when {value} {test} then '{label}'" for test, label in rows)
-    return f"(case {whens} else '{otherwise}' end)"
-
-
+# Fixed values, stated here a second time so that a wrong edge in the engine shows.
 def age_group(age: str) -> str:
-    rows = [(f"between {low} and {high}", label) for low, high, label in bands.AGE_BANDS]
-    return _cases(age, [*rows, (f"> {bands.AGE_ABOVE[0]}", bands.AGE_ABOVE[1])], bands.UNKNOWN)
+    return f"""(case when {age} between 18 and 25 then '18-25' when {age} between 26 and 35 then '26-35'
+      when {age} between 36 and 45 then '36-45' when {age} between 46 and 55 then '46-55'
+      when {age} > 55 then 'Above 55' else 'Unknown' end)"""
 
 
 def income_group(income: str) -> str:
-    rows = [(f"between {low} and {high}", label) for low, high, label in bands.INCOME_BANDS]
-    below, above = bands.INCOME_BELOW, bands.INCOME_FROM
-    return _cases(
-        income, [(f"< {below[0]}", below[1]), *rows, (f">= {above[0]}", above[1])], bands.UNKNOWN
-    )
+    return f"""(case when {income} < 5000 then 'Below 5,000' when {income} between 5000 and 9999 then '5,000-9,999'
+      when {income} between 10000 and 19999 then '10,000-19,999' when {income} between 20000 and 29999 then '20,000-29,999'
+      when {income} between 30000 and 49999 then '30,000-49,999' when {income} between 50000 and 99999 then '50,000-99,999'
+      when {income} between 100000 and 149999 then '100,000-149,999' when {income} >= 150000 then '150,000 and above'
+      else 'Unknown' end)"""
+
+
+INCOME_RANK = """list_position(['Below 5,000', '5,000-9,999', '10,000-19,999', '20,000-29,999', '30,000-49,999',
+  '50,000-99,999', '100,000-149,999', '150,000 and above'], income_group)"""
 
 
 def dpd_bucket(days: str) -> str:
-    rows = [(f"between {low} and {high}", label) for low, high, label in bands.DPD_BANDS]
-    return _cases(days, rows, bands.DPD_REST)
+    return f"""(case when {days} = 0 then 'Current' when {days} between 1 and 30 then '1-30 DPD'
+      when {days} between 31 and 60 then '31-60 DPD' when {days} between 61 and 90 then '61-90 DPD' else '90+ DPD' end)"""
 
 
 def nps_category(score: str) -> str:
-    return _cases(score, [(">= 9", "Promoter"), (">= 7", "Passive")], "Detractor")
+    return f"(case when {score} >= 9 then 'Promoter' when {score} >= 7 then 'Passive' else 'Detractor' end)"
 
 
-PAYMENT_PERFORMANCE = """(case balance_due_status when 'up to date' then 'Good' when 'Advance' then 'Excellent'
-  else (case when arrears > 0 then if(days_past_due <= 30, 'Fair', if(days_past_due > 30, 'Poor', 'Unknown'))
-        else 'Unknown' end) end)"""
+PAYMENT_PERFORMANCE = """(case when balance_due_status = 'Advance' then 'Excellent'
+  when balance_due_status = 'up to date' then 'Good' when arrears > 0 and days_past_due <= 30 then 'Fair'
+  when arrears > 0 and days_past_due > 30 then 'Poor' else 'Unknown' end)"""
 
 
 def us_date(column: str, optional: bool = False) -> str:
@@ -66,8 +66,8 @@ RELATIONS.update(
     birth=f"""select "Loan Id " loan_id, date_of_birth from customer_dob where {valid('"Loan Id "')}""",
     gend=f"""select "Loan Id" loan_id,
         if(upper(trim(citizenship)) in ('KENYAN', 'CITIZEN'), 'Kenyan', citizenship) citizenship,
-        case upper(trim(gender)) when 'M' then 'Male' when 'MALE' then 'Male' when 'F' then 'Female'
-          when 'FEMALE' then 'Female' else gender end gender
+        case when upper(trim(gender)) in ('M', 'MALE') then 'Male'
+          when upper(trim(gender)) in ('F', 'FEMALE') then 'Female' else gender end gender
       from customer_gender where {valid('"Loan Id"')}""",
     inc=f"""select "Loan Id" loan_id, duration, received, "Persons Received From Total" persons_received_total,
         "Banks Received" banks_received, "Paybills Received Others" paybills_received_others

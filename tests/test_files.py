@@ -201,8 +201,69 @@ def test_load_once_table(spark, tmp_path):
 
 
 def test_scratch_is_below_the_checkpoint_folder(spark):
+    before = spark.conf.get("spark.checkpoint.dir", None)
     first = scratch_dir(spark)
-    assert first.startswith(spark.conf.get("spark.checkpoint.dir")) and first != scratch_dir(spark)
+    assert first != scratch_dir(spark) and spark.conf.get("spark.checkpoint.dir", None) == before
+    if before is None:
+        spark.conf.set("spark.checkpoint.dir", "file:/tmp/shared")
+        assert scratch_dir(spark).startswith("file:/tmp/shared/")
+        spark.conf.unset("spark.checkpoint.dir")
+
+
+def test_late_part_files_are_added(spark, tmp_path):
+    """Part files of a known entry are added whenever they come; other entries for its table are not."""
+    raw_dir, target = tmp_path / "raw", str(tmp_path / "target")
+    folder = raw_dir / "Credit Data - 01-01-2025.csv"
+    write_csv(folder / "part-0.csv", [credit_line("A"), credit_line("B")])
+    ingest.ingest(spark, str(raw_dir), target)
+    write_csv(folder / "part-1.csv", [credit_line("C"), credit_line("D")])
+    write_csv(raw_dir / "Credit Data - 01-01-2025 v2.csv" / "part-0.csv", [credit_line("Z")])
+    ingest.ingest(spark, str(raw_dir), target)
+    assert loans(ingest.facts(spark, target)) == ["A", "B", "C", "D"]
+    write_csv(raw_dir / "Credit Data - 01-01-2025 v2.csv" / "part-1.csv", [credit_line("Y")])
+    ingest.ingest(spark, str(raw_dir), target)
+    commits = [path for path in (tmp_path / "target" / ingest.CHECKPOINT / "commits").iterdir()]
+    last = max(int(path.name) for path in commits if path.name.isdigit())
+    for path in commits:
+        if path.name.strip(".crc") == str(last):
+            path.unlink()  # the last batch is lost and runs again
+    ledger = ingest.ingest(spark, str(raw_dir), target)
+    assert loans(ingest.facts(spark, target)) == ["A", "B", "C", "D"]
+    assert sorted((r.path.rsplit("/", 2)[1:], r.action) for r in ledger.collect()) == [
+        (["Credit Data - 01-01-2025 v2.csv", "part-0.csv"], "skipped"),
+        (["Credit Data - 01-01-2025 v2.csv", "part-1.csv"], "skipped"),
+        (["Credit Data - 01-01-2025.csv", "part-0.csv"], "loaded"),
+        (["Credit Data - 01-01-2025.csv", "part-1.csv"], "loaded"),
+    ]
+
+
+def test_latest_ingested_facts_are_pruned(spark, tmp_path):
+    raw_dir, target = tmp_path / "raw", str(tmp_path / "target")
+    for day in ("01-01-2025", "31-03-2025"):
+        write_csv(raw_dir / f"Credit Data - {day}.csv", [credit_line(day, date=f"{int(day[3:5])}/{int(day[:2])}/2025")])
+    ingest.ingest(spark, str(raw_dir), target)
+    newest = ingest.latest_facts(spark, target)
+    assert loans(newest) == ["31-03-2025"]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+    assert ingest.facts(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_bad_dates_fail_without_ansi(spark, tmp_path):
+    rows = samples.table(spark, "credit_data", [{"loan_id": "A", "date": "13/1/2025"}])
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="bad date"):
+            staging.credit_snapshots(rows).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_pipeline_without_files(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    result = pipeline.run(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
+    assert {name: result[name].count() for name in pipeline.MARTS} == dict.fromkeys(pipeline.MARTS, 0)
 
 
 def test_pipeline(spark, sf_dir):
