@@ -16,23 +16,25 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b")))
-    return out.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return out.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a node that has none itself."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    return not ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or up = 1 and down = 1").take(1)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes of `edges` (a, b: long); the component is its smallest node.
 
-    Each round is written to the shared folder; it ends when the edges are a star around each smallest node, which a
-    count and a sum of hashes over the edges tell.
+    Each round is written to the shared folder; it ends when the edges are stars around the smallest nodes.
     """
-    edges = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges, before = written(edges), None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            break
-        before = state
-        edges = written(_star(_star(edges, large=True), large=False))
+    edges = written(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    while not _stars(edges):
+        edges = written(_star(_star(edges, large=True), large=False).distinct())
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -10,8 +10,8 @@ deviations below the number to be expected at the threshold, so a link is missed
   many documents share have frequent tokens, which are posted by documents that consist of them.
 * Skip: each posting list links its members to one hub (the smallest) first. Once these links are confirmed, a list
   whose members are all in one component has nothing left to find, as only components are asked for. In the other lists
-  all pairs from different components are counted, and a pair only in the first of its common lists. Long lists are
-  dealt out by pairs of blocks.
+  all pairs from different components and of near sizes are counted, a pair only in the first of its common lists, and
+  confirmed unless their components have met. Long lists are dealt out by pairs of blocks.
 
 Nulls count as empty texts; texts without words have no set and are linked with nothing. Repeated rows are one class.
 A row without identifier counts as the largest one, so it never stays while another does. An empty table gives no rows.
@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loanscope.llm.components import components
-from loanscope.llm.shared import bloom, split_by_ids, written
+from loanscope.llm.shared import batches, bloom, split_by_ids, written
 from loanscope.llm.words import mix, odd_numbers, shingle_sets
 
 K = 128
 #: Counters of the sketch; the broadcast has four bytes of each.
-SKETCH = 1 << 20
-SLICE = 4096
+SKETCH = 1 << 21
+SLICE = 8192
 #: Members of a posting list that are compared within one group.
 BLOCK = 4096
 LAST_ID = (1 << 63) - 1
@@ -152,12 +152,11 @@ def _postings(classes: DataFrame, sketch, prefix: int) -> DataFrame:
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for one in (batch.slice(k, 4096) for k in range(0, batch.num_rows, 4096)):
-                tokens = _ordered(_sig(one.column(1)), sketch.value, prefix)
-                yield pa.record_batch(
-                    [pa.array(tokens.ravel().view(np.int64)), pa.array(np.repeat(one.column(0).to_numpy(), prefix))], names=["token", "cls"]
-                )
+                tokens = _ordered(_sig(one.column(2)), sketch.value, prefix)
+                cls, size = (np.repeat(one.column(k).to_numpy(), prefix) for k in (0, 1))
+                yield pa.record_batch([pa.array(tokens.ravel().view(np.int64)), pa.array(cls), pa.array(size)], names=["token", "cls", "n_shingles"])
 
-    return classes.select("cls", "sig").mapInArrow(task, "token long, cls long")
+    return classes.select("cls", "n_shingles", "sig").mapInArrow(task, "token long, cls long, n_shingles long")
 
 
 def _near_size(a: str, b: str, rule: Rule):
@@ -165,16 +164,15 @@ def _near_size(a: str, b: str, rule: Rule):
 
 
 def _colliding(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) of near sizes with at least T equal coordinates."""
-    left = classes.select(F.col("cls").alias("a"), F.col("n_shingles").alias("n"), F.col("sig").alias("s"))
-    right = classes.select(F.col("cls").alias("b"), F.col("n_shingles").alias("m"), F.col("sig").alias("t"))
+    """The pairs (a, b) with at least T equal coordinates."""
+    left, right = (classes.select(F.col("cls").alias(k), F.col("sig").alias(v)) for k, v in (("a", "s"), ("b", "t")))
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             same = (_sig(batch.column(2)) == _sig(batch.column(3))).sum(axis=1) >= rule.least
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(same)) for c in batch.columns[:2]], names=["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").filter(_near_size("n", "m", rule)).select("a", "b", "s", "t").mapInArrow(task, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(task, "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -182,14 +180,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                keep.append(100 * both >= rule.percent * (len(x) + len(y) - both))
+            pairs = zip(*([np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(k)] for k in (2, 3)))
+            keep = [_similar(x, y, rule) for x, y in pairs]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
     left, right = (sets.select(F.col("cls").alias(k), F.col("shingles").alias(v)) for k, v in (("a", "x"), ("b", "y")))
@@ -212,52 +204,126 @@ def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     return found.join(wanted, ["doc_id", "cls"]).dropDuplicates(["cls"]).select("cls", "shingles")
 
 
-def _mixed_pairs(members: DataFrame, sketch, rule: Rule) -> DataFrame:
-    """Candidates (a, b) between components, from rows (token, i, j, block, cls, comp, n_shingles, sig) of posting lists."""
+GROUP = ["token", "step", "i", "j"]
+
+
+def _groups(source: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows of each group, from batches sorted by the four columns of GROUP."""
+    held: list[tuple] = []
+    for batch in source:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and row[:4] != held[0][:4]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _candidates(sketch, rule: Rule):
+    """For each group of a posting list the members that have candidates in other components, and with whom.
+
+    Rows (token, step, i, j, block, bucket, cls, comp, n_shingles, sig) in, a row for each such member out.
+    """
 
-    def pairs(token: int, group: list) -> Iterator[tuple[int, int]]:
-        cls, comp, size, block = (np.array([r[k] for r in group], np.int64) for k in (0, 1, 2, 4))
-        sig = np.frombuffer(b"".join(r[3] for r in group), np.uint32).reshape(-1, K)
+    def partners(group: list[tuple]) -> dict[int, list[int]]:
+        token, step, i, j = group[0][:4]
+        block, bucket, cls, comp, size = (np.array([r[k] for r in group], np.int64) for k in range(4, 9))
         kinds, counts = np.unique(comp, return_counts=True)
         if len(kinds) < 2:
-            return
+            return {}
+        sig = np.frombuffer(b"".join(r[9] for r in group), np.uint32).reshape(-1, K)
         major = comp == kinds[counts.argmax()]
-        crossing = group[0][5] != group[0][6]
-        place = np.arange(len(cls))
+        place, found = np.arange(len(cls)), {}
         for u in np.flatnonzero(~major):
-            other = (comp != comp[u]) & (major | (place > u))
-            other &= (np.minimum(size, size[u]) * 100 >= np.maximum(size, size[u]) * rule.percent)
-            if crossing:
+            other = (comp != comp[u]) & (major | (place > u)) & ((bucket == step) | (bucket[u] == step))
+            other &= np.minimum(size, size[u]) * 100 >= np.maximum(size, size[u]) * rule.percent
+            if i != j:
                 other &= block != block[u]
             v = np.flatnonzero(other)
             v = v[(sig[v] == sig[u]).sum(axis=1) >= rule.least]
             if not len(v):
                 continue
+            # a pair counts in the first of its common lists, and there in the lower of its steps
             mine = _ordered(sig[u : u + 1], sketch.value, rule.prefix)[0]
             theirs = _ordered(sig[v], sketch.value, rule.prefix)
-            first = np.isin(theirs, mine).argmax(axis=1)
-            for k, f, row in zip(v, first, theirs):
-                if row[f] == np.uint64(token & (2**64 - 1)):
-                    yield int(cls[u]), int(cls[k])
+            first = theirs[np.arange(len(v)), np.isin(theirs, mine).argmax(axis=1)]
+            here = (first == np.uint64(token & (2**64 - 1))) & (np.minimum(bucket[v], bucket[u]) == step)
+            if here.any():
+                found[int(cls[u])] = cls[v[here]].tolist()
+        return found
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, name = [], None
-        for batch in source:
-            out = []
-            for token, i, j, block, cls, comp, size, sig in zip(*(c.to_pylist() for c in batch.columns)):
-                if (token, i, j) != name:
-                    if len(held) > 1:
-                        out += pairs(name[0], held)
-                    held, name = [], (token, i, j)
-                held.append((cls, comp, size, sig, block, i, j))
-            yield pa.record_batch([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
-        if len(held) > 1:
-            out = list(pairs(name[0], held))
-            yield pa.record_batch([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
-
-    keys = ["token", "i", "j"]
-    dealt = members.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.select(*keys, "block", "cls", "comp", "n_shingles", "sig").mapInArrow(task, "a long, b long").distinct()
+        def rows() -> Iterator[tuple]:
+            for group in _groups(source):
+                if len(group) > 1 and (found := partners(group)):
+                    comp = {r[6]: r[7] for r in group}
+                    for c in found.keys() | {v for vs in found.values() for v in vs}:
+                        yield *group[0][:4], c, comp[c], found.get(c, [])
+
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+        schema = pa.schema(list(zip([*GROUP, "cls", "comp", "partners"], kinds)))
+        yield from batches(rows(), schema, lambda row: 64 + 8 * len(row[6]))
+
+    return task
+
+
+def _late_links(rule: Rule):
+    """Links (a, b) between components from rows (token, step, i, j, cls, comp, partners, shingles).
+
+    Within a group a pair whose components have met already is passed over: only components are asked for.
+    """
+
+    def links(group: list[tuple]) -> Iterator[tuple[int, int]]:
+        sets = {r[4]: np.frombuffer(r[7], np.uint64) for r in group}
+        comp, root = {r[4]: r[5] for r in group}, {r[5]: r[5] for r in group}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        for row in group:
+            for v in row[6]:
+                a, b = find(comp[row[4]]), find(comp[v])
+                if a != b and _similar(sets[row[4]], sets[v], rule):
+                    root[a] = b
+                    yield row[4], v
+
+    def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = (pair for group in _groups(source) for pair in links(group))
+        yield from batches(found, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return task
+
+
+def _similar(x: np.ndarray, y: np.ndarray, rule: Rule) -> bool:
+    """Whether two full sets, ascending and not empty, are similar enough."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return 100 * both >= rule.percent * (len(x) + len(y) - both)
+
+
+def _mixed_groups(members: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
+    """Members of posting lists in groups that can hold a pair from two components: of near sizes, block by block.
+
+    Sizes fall into steps of the threshold, so that near ones are in the same step or the next. A group has the members
+    of a step and of the next; which groups are worth it is told by counts, before any signature moves.
+    """
+    step = F.floor(F.log("n_shingles") / F.lit(-math.log(rule.percent / 100) + 1e-9)).cast("int")
+    named = members.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+    named = named.select("token", "cls", "size", "n_shingles", F.coalesce("component", "cls").alias("comp"), step.alias("bucket"))
+    named = named.withColumn("step", F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)))
+    own = F.count_if(F.col("bucket") == F.col("step"))
+    alive = named.groupBy("token", "step").agg(own.alias("own"), F.count(F.lit(1)).alias("all"), F.min("comp").alias("c"), F.max("comp").alias("d"))
+    alive = alive.filter("own > 0 and c != d").select("token", "step", F.greatest(F.ceil(F.col("all") / BLOCK), F.lit(1)).cast("int").alias("n"))
+    dealt = named.join(alive, ["token", "step"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("n")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    return dealt.select(
+        "token", "step", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "bucket", "cls", "comp", "n_shingles"
+    )
 
 
 def near_groups(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -273,34 +339,32 @@ def near_groups(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text:
     sketch = spark.sparkContext.broadcast(_sketch(classes))
     postings = _postings(classes, sketch, rule.prefix)
     lists = written(
-        postings.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("hub")).filter("size > 1")
+        postings.groupBy("token")
+        .agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("hub"), F.min_by("n_shingles", "cls").alias("hub_shingles"))
+        .filter("size > 1")
     )
     shared = bloom(lists.select("token"))
     members = written(postings.filter(shared(F.col("token"))).join(lists, "token"))
-    active = classes.join(members.select("cls").distinct(), "cls")
 
-    stars = members.filter("cls != hub").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
-    stars = written(_colliding(stars, active, rule))
+    near = members.filter("cls != hub").filter(_near_size("n_shingles", "hub_shingles", rule))
+    stars = near.select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
+    stars = written(_colliding(stars, classes, rule))
     touched = stars.select(F.col("a").alias("cls")).unionAll(stars.select(F.col("b").alias("cls"))).distinct()
     ids = classes.select("cls", F.col("min_id").alias("doc_id"))
     sets = written(_sets(rows, ids.join(touched, "cls"), rule))
     links = written(_confirmed(stars, sets, rule))
     comps = written(components(links))
 
-    named = members.join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    mixed = named.groupBy("token").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c != d").select("token")
-    n = F.greatest(F.ceil(F.col("size") / BLOCK), F.lit(1)).cast("int")
-    blocks = named.join(mixed, "token").withColumn("n", n).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("n")).cast("int"))
-    spread = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumns(
-        {"i": F.least("block", "other"), "j": F.greatest("block", "other")}
-    )
-    spread = spread.join(active.select("cls", "n_shingles", "sig"), "cls").withColumnRenamed("component", "comp")
-    more = written(_mixed_pairs(spread, sketch, rule))
-    late = more.select(F.col("a").alias("cls")).unionAll(more.select(F.col("b").alias("cls"))).distinct()
-    both = sets.unionAll(_sets(rows, ids.join(late.join(touched, "cls", "left_anti"), "cls"), rule)) if more.take(1) else sets
-    more = written(_confirmed(more, both, rule))
-    if more.take(1):
-        comps = written(components(links.unionAll(more)))
+    mixed = _mixed_groups(members, comps, rule).join(classes.select("cls", "sig"), "cls")
+    mixed = mixed.select(*GROUP, "block", "bucket", "cls", "comp", "n_shingles", "sig").repartition(*GROUP).sortWithinPartitions(*GROUP)
+    kind = "token long, step int, i int, j int, cls long, comp long, partners array<long>"
+    candidates = written(mixed.mapInArrow(_candidates(sketch, rule), kind))
+    if candidates.take(1):
+        late = candidates.select("cls").distinct().join(touched, "cls", "left_anti")
+        both = sets.unionAll(_sets(rows, ids.join(late, "cls"), rule))
+        laid = candidates.join(both, "cls").select(*GROUP, "cls", "comp", "partners", "shingles").repartition(*GROUP).sortWithinPartitions(*GROUP)
+        more = written(laid.mapInArrow(_late_links(rule), "a long, b long"))
+        comps = written(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)))
 
     found = classes.select("cls", "min_id").join(comps.withColumnRenamed("node", "cls"), "cls", "left")
     found = found.withColumn("component", F.coalesce("component", "cls"))
