@@ -15,5 +15,49 @@ from d join k using (squeezed)
 """
 
 
+SECRETS = r"""
+with d as (
+  select row_number() over () as r, doc_id, source, coalesce(text, '') as t from documents
+), patterns as (
+  select unnest([0, 1, 2, 3]) as kind, unnest(['assign', 'access', 'hex', 'bare']) as name, unnest([6, 20, 24, 16]) as least,
+    unnest(['(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)',
+      'AKIA[A-Z0-9]+', '[0-9a-f]+', '[A-Za-z0-9+/_=-]{16,}']) as p
+), f as (
+  select r, doc_id, source, kind, least, string_split_regex(t, p) as gaps, regexp_extract_all(t, p) as found,
+    case when kind = 0 then regexp_extract_all(t, p, 2) else regexp_extract_all(t, p) end as vals
+  from d, patterns where regexp_matches(t, p)
+), n as (
+  select *, unnest(range(1, len(found) + 1)) as i from f
+), spans as (
+  select r, doc_id, source, kind, vals[i] as v, length(found[i]) as size,
+    list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) as s
+  from n where length(vals[i]) >= least
+), base as (
+  select *, s + size as e from spans where kind < 3
+), bare as (
+  select *, s + size as e from spans x where kind = 3 and regexp_matches(v, '[A-Za-z]') and regexp_matches(v, '[0-9]')
+    and not exists (select 1 from base b where b.r = x.r and x.s < b.e and b.s < x.s + x.size)
+), every as (
+  select * from base union all select * from bare
+), owned as (
+  select v, count(distinct source) <= 2 as live from every group by v
+), judged as (
+  select every.*, live, name || ':' || cast(s as bigint) || ':' || cast(e as bigint) as listed
+  from every join owned using (v) join patterns using (kind) where kind < 3 or live
+), parts as (
+  select r, count(*) filter (where kind = 0) as n_assign, count(*) filter (where kind = 1) as n_access,
+    count(*) filter (where kind = 2) as n_hex, count(*) filter (where kind = 3) as n_bare,
+    count(*) filter (where live) as n_live, count(*) filter (where not live) as n_copied,
+    string_agg(listed, ',' order by s, kind) filter (where kind < 3) as base,
+    string_agg(listed, ',' order by s, kind) as spans, string_agg(listed, ',' order by s, kind) filter (where live) as live_spans
+  from judged group by r
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_bare, 0) as n_bare,
+  coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied, coalesce(live_spans, '') as live_spans
+from d left join parts using (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op10_secrets": SECRETS}
