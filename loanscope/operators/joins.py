@@ -1,11 +1,17 @@
-"""Outer equi joins that stay splittable when one key holds a large part of the rows.
-
-Adaptive execution splits a hot partition on both sides of an inner join, on the
-preserved side only of a left join, and on neither side of a full join. The
-outer joins here are therefore written as inner joins over sides that have first
-been completed with the keys they miss; those come from one aggregate over the
-key columns alone, combined map-side. Rows are never dropped, so many-to-many
-keys fan out exactly as in the plain outer join.
+"""Outer equi joins that stay split when one key holds a large part of the rows.
+
+Adaptive execution splits a hot partition only where a join reads both sides
+straight from shuffles on the join key; in a chain of joins on one key, or below
+a union or window, it does not. The joins here deal rows out themselves: the
+number of rows of each key and side comes from one aggregate over the key
+columns, combined map-side. A key with more than HOT_ROWS rows on a side has
+them dealt to several pieces by a hash of the row, and the matching rows of the
+other side go to each of these pieces; all other keys have one piece. Joins run
+on (key, pieces), so a hot key never lands in one task, wherever the join stands.
+
+Outer joins are inner joins over sides that have first been completed with the
+keys they miss, which the same aggregate tells. Rows are never dropped, so
+many-to-many keys fan out exactly as in the plain outer join.
 """
 
 from __future__ import annotations
@@ -16,15 +22,47 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def key_presence(sides: Mapping[str, DataFrame], key: str) -> DataFrame:
-    """One row per non-null key, with a boolean ``has_<side>`` per side."""
+#: Rows of a key and side that one task may take.
+HOT_ROWS = 1_000_000
+
+
+def key_sizes(sides: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """One row per non-null key, with the number of rows ``n_<side>`` and a boolean ``has_<side>`` per side."""
     tagged = [
-        df.select(key, F.lit(1 << bit).cast("int").alias("_sides")).where(F.col(key).isNotNull())
-        for bit, df in enumerate(sides.values())
+        df.select(key, *(F.lit(int(name == own)).cast("bigint").alias(f"n_{name}") for name in sides)).where(
+            F.col(key).isNotNull()
+        )
+        for own, df in sides.items()
     ]
-    mask = reduce(DataFrame.unionAll, tagged).groupBy(key).agg(F.bit_or("_sides").alias("_sides"))
-    flags = [(F.getbit("_sides", F.lit(bit)) == 1).alias(f"has_{name}") for bit, name in enumerate(sides)]
-    return mask.select(key, *flags)
+    sums = reduce(DataFrame.unionAll, tagged).groupBy(key).agg(*(F.sum(f"n_{name}").alias(f"n_{name}") for name in sides))
+    return sums.select("*", *((F.col(f"n_{name}") > 0).alias(f"has_{name}") for name in sides))
+
+
+def key_presence(sides: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """One row per non-null key, with a boolean ``has_<side>`` per side."""
+    return key_sizes(sides, key).select(key, *(f"has_{name}" for name in sides))
+
+
+def rows_of(*sides: str) -> Column:
+    """Rows per key of the join of some sides, each completed with the keys it misses."""
+    return reduce(lambda a, b: a * b, (F.greatest(F.col(f"n_{name}"), F.lit(1)) for name in sides))
+
+
+def split_join(left: DataFrame, right: DataFrame, key: str, sizes: DataFrame, left_rows: Column, right_rows: Column) -> DataFrame:
+    """Inner join on a key whose rows per side ``sizes`` knows."""
+    pieces = lambda rows: F.greatest(F.ceil(rows / F.lit(HOT_ROWS)), F.lit(1)).cast("int")
+    hot = sizes.select(key, pieces(left_rows).alias("_lefts"), pieces(right_rows).alias("_rights"))
+    hot = hot.where("_lefts > 1 or _rights > 1")  # at most one key per HOT_ROWS rows
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        # the same for a row whenever its task runs again; equal rows are told apart by where they stand
+        seeded = df.withColumn("_seed", F.xxhash64(*df.columns, F.spark_partition_id()))
+        mine = F.pmod("_seed", F.coalesce(f"_{own}s", F.lit(1))).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(f"_{other}s", F.lit(1)) - 1))
+        return seeded.join(hot, key, "left").select(*df.columns, mine.alias(f"_{own}"), every.alias(f"_{other}"))
+
+    on = [key, "_left", "_right"]
+    return dealt(left, "left", "right").join(dealt(right, "right", "left"), on).drop("_left", "_right")
 
 
 def pad(side: DataFrame, presence: DataFrame, needed: Column, key: str, **values: Column) -> DataFrame:
@@ -35,30 +73,36 @@ def pad(side: DataFrame, presence: DataFrame, needed: Column, key: str, **values
 
 def full_join(sides: Mapping[str, DataFrame], key: str) -> DataFrame:
     """Full outer join of several sides on one non-null key."""
-    presence = key_presence(sides, key)
-    padded = [pad(df, presence, ~F.col(f"has_{name}"), key) for name, df in sides.items()]
-    return reduce(lambda left, right: left.join(right, key), padded)
+    sizes, names = key_sizes(sides, key), list(sides)
+    padded = [pad(df, sizes, ~F.col(f"has_{name}"), key) for name, df in sides.items()]
+    result = padded[0]
+    for n, side in enumerate(padded[1:], 1):
+        result = split_join(result, side, key, sizes, rows_of(*names[:n]), rows_of(names[n]))
+    return result
 
 
 def left_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    presence: DataFrame | None = None,
+    sizes: DataFrame | None = None,
     unmatched: Column | None = None,
     matchable: Column | None = None,
+    left_rows: Column | None = None,
+    right_rows: Column | None = None,
 ) -> DataFrame:
     """Left join on one key; ``right`` may repeat keys.
 
-    ``presence``/``unmatched`` name the left keys the right side lacks, where the
-    caller already has them. Left rows with a NULL key, or failing ``matchable``,
-    match nothing and go around the join.
+    ``sizes``, with ``unmatched`` (the left keys the right side lacks) and the
+    rows per key of both sides, is for callers that have them already. Left rows
+    with a NULL key, or failing ``matchable``, match nothing and go around the join.
     """
-    if presence is None:
-        presence = key_presence({"left": left, "right": right}, key)
+    if sizes is None:
+        sizes = key_sizes({"left": left, "right": right}, key)
         unmatched = F.col("has_left") & ~F.col("has_right")
+        left_rows, right_rows = rows_of("left"), rows_of("right")
     joins = F.col(key).isNotNull()
     if matchable is not None:
         joins = joins & F.coalesce(matchable, F.lit(False))
-    joined = left.where(joins).join(pad(right, presence, unmatched, key), key)
+    joined = split_join(left.where(joins), pad(right, sizes, unmatched, key), key, sizes, left_rows, right_rows)
     return joined.unionByName(left.where(~joins), allowMissingColumns=True)

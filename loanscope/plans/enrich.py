@@ -25,23 +25,29 @@ RESPONSE_COLUMNS = (
 )
 
 
-def _customer_presence(raw: RawTables) -> DataFrame:
-    sides = {"sale": staging.customers(raw.customer_sales), **staging.demographic_sides(raw)}
-    return joins.key_presence(sides, KEY)
+def _customer_sides(raw: RawTables) -> dict[str, DataFrame]:
+    return {"sale": staging.customers(raw.customer_sales), **staging.demographic_sides(raw)}
 
 
-def customers_with_demographics(raw: RawTables) -> DataFrame:
+def _people_rows() -> Column:
+    """Rows per loan of the sales with their demographic records."""
+    return joins.rows_of("sale", "dob", "gender", "income")
+
+
+def customers_with_demographics(raw: RawTables, sizes: DataFrame | None = None) -> DataFrame:
     """Every sale with every combination of its birth, gender and income records."""
-    presence = _customer_presence(raw)
-    has_sale, sides = F.col("has_sale"), staging.demographic_sides(raw)
+    sides = _customer_sides(raw)
+    sizes = joins.key_sizes(sides, KEY) if sizes is None else sizes
     some_record = F.col("has_dob") | F.col("has_gender")
     total_without_income = F.when(some_record, F.lit(0.0))
     padding = {"income": {"total_income": total_without_income}}
-    result = staging.customers(raw.customer_sales)
+    result, done = sides.pop("sale"), ["sale"]
     for name, side in sides.items():
-        needed = has_sale & ~F.col(f"has_{name}")
+        needed = F.col("has_sale") & ~F.col(f"has_{name}")
         kept = side.select(KEY, *(c for c in side.columns if c in DEMOGRAPHIC_COLUMNS))
-        result = result.join(joins.pad(kept, presence, needed, KEY, **padding.get(name, {})), KEY)
+        padded = joins.pad(kept, sizes, needed, KEY, **padding.get(name, {}))
+        result = joins.split_join(result, padded, KEY, sizes, joins.rows_of(*done), joins.rows_of(name))
+        done.append(name)
     return result
 
 
@@ -71,19 +77,18 @@ def customer_enriched(raw: RawTables) -> DataFrame:
     })
 
 
-def _credit_with_customer(facts: DataFrame, raw: RawTables) -> DataFrame:
-    """``facts`` may carry extra columns; ages use each fact's own snapshot date."""
-    # Customers' own keys suffice here: their demographics add no loans.
-    presence = joins.key_presence({"fact": facts, "sale": staging.customers(raw.customer_sales)}, KEY)
-    people = customers_with_demographics(raw).select(
+def _credit_with_customer(facts: DataFrame, keys: DataFrame, raw: RawTables) -> DataFrame:
+    """``facts`` may carry columns besides those of ``keys``, the same facts as staged; ages use each fact's own date."""
+    sizes = joins.key_sizes({"fact": keys, **_customer_sides(raw)}, KEY)
+    people = customers_with_demographics(raw, sizes).select(
         KEY, *CUSTOMER_COLUMNS, F.col("return_date").alias("customer_return_date"),
         "date_of_birth", "gender", "citizenship", "avg_monthly_income",
         bands.income_group(F.col("avg_monthly_income")).alias("income_group"),
         F.lit(True).alias("_customer"),
     )
     joined = joins.left_join(
-        facts, people, KEY, presence, F.col("has_fact") & ~F.col("has_sale"),
-        matchable=F.col("snapshot_date").isNotNull(),
+        facts, people, KEY, sizes, F.col("has_fact") & ~F.col("has_sale"),
+        matchable=F.col("snapshot_date").isNotNull(), left_rows=joins.rows_of("fact"), right_rows=_people_rows(),
     )
     age, loan, cash = _age(F.col("snapshot_date")), F.col("loan_price"), F.col("cash_price")
     return joined.withColumns({
@@ -107,7 +112,7 @@ def _credit_columns(facts: DataFrame) -> list[str]:
 def credit_with_customer(raw: RawTables) -> DataFrame:
     """Facts with all matching customer rows (or one row without). Fan-out is kept."""
     facts = staging.credit_snapshots(raw.credit_data)
-    return _credit_with_customer(facts, raw).select(*_credit_columns(facts))
+    return _credit_with_customer(facts, facts, raw).select(*_credit_columns(facts))
 
 
 def latest_responses(responses: DataFrame) -> DataFrame:
@@ -121,11 +126,17 @@ def latest_responses(responses: DataFrame) -> DataFrame:
 def credit_with_nps(raw: RawTables) -> DataFrame:
     """Facts with customer rows and the newest response.
 
-    The response (one per loan) joins the facts before these fan out.
+    The response (one per loan) joins the facts before these fan out; the keys
+    and their sizes come from the plain facts, so the top-1 is planned once.
     """
     facts = staging.credit_snapshots(raw.credit_data)
     newest = latest_responses(staging.survey(raw.nps_data))
     newest = newest.withColumnRenamed("submitted_at", "nps_submitted_at")
     columns = [c for c in newest.columns if c != KEY]
-    joined = _credit_with_customer(facts.join(newest, KEY, "left"), raw)
+    answered = staging.survey(raw.nps_data).select(KEY)
+    sizes = joins.key_sizes({"fact": facts, "response": answered}, KEY)
+    with_response = joins.left_join(
+        facts, newest, KEY, sizes, F.col("has_fact") & ~F.col("has_response"), left_rows=joins.rows_of("fact"), right_rows=F.lit(1),
+    )
+    joined = _credit_with_customer(with_response, facts, raw)
     return joined.select(*_credit_columns(facts), *columns)

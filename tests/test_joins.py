@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanscope.operators import joins
+from loanscope.plans import enrich, staging
 from loanscope.session import configure
+from tests import samples
 
 
 def frame(spark, rows, columns):
@@ -94,3 +96,45 @@ def test_hot_key_is_split(spark, hot_side):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+PLANS = {
+    "customers_with_demographics": (enrich.customers_with_demographics, ("customer_sales", "customer_dob", "customer_gender", "customer_income")),
+    "demographics": (staging.demographics, ("customer_dob", "customer_gender", "customer_income")),
+    "credit_with_customer": (enrich.credit_with_customer, ("credit_data", "customer_sales", "customer_gender")),
+    "credit_with_nps": (enrich.credit_with_nps, ("credit_data", "customer_sales", "customer_income")),
+}
+IDS = {"credit_data": "loan_id", "customer_dob": "Loan Id "}
+
+
+@pytest.mark.parametrize(("name", "hot"), [(name, hot) for name, (_, inputs) in PLANS.items() for hot in inputs])
+def test_hot_key_is_split_in_chains(spark, monkeypatch, name, hot):
+    """A loan with a third of one input's rows ends in several partitions; undealt, as a control, in one."""
+    def rows(table):
+        key, n = IDS.get(table, "Loan Id"), 360 if table == hot else 240
+        told = {"customer_sales": "sale_id", "credit_data": "customer_age"}.get(table)
+        ids = ["hot"] * (n // 3 if table == hot else 1)
+        ids += [f"L{i}" for i in range(n - len(ids))]
+        return [{key: name, **({told: i} if told else {})} for i, name in enumerate(ids)]
+
+    tables = ("credit_data", "customer_sales", "customer_dob", "customer_gender", "customer_income")
+    raw = samples.raw_tables(spark, nps_data=[{"Loan Id": "hot", "Submission ID": 1}], **{t: rows(t) for t in tables})
+    build = PLANS[name][0]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = {}
+        for most in (10**6, 20):
+            monkeypatch.setattr(joins, "HOT_ROWS", most)
+            placed = build(raw).where("loan_id = 'hot'").select("*", F.spark_partition_id().alias("place")).toPandas()
+            columns = [c for c in placed.columns if c != "place"]
+            found[most] = (placed.place.nunique(), sorted(map(str, placed[columns].itertuples(index=False, name=None))))
+        assert found[10**6][0] == 1 and found[20][0] >= 2
+        assert found[10**6][1] == found[20][1] and len(found[20][1]) == 120
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
