@@ -24,6 +24,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loanscope.llm.shared import written
+
 #: Share of the content entropy in the mixture; importance below LOW on at least PAGES pages removes a node.
 CONTENT, LOW, PAGES = 0.9, 0.2, 4
 
@@ -218,7 +220,8 @@ def importance(pages: DataFrame, url: str = "url", page: str = "html") -> DataFr
 def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", low: float = LOW, least: int = PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every row of `pages`."""
     nodes = importance(pages, url, page).filter((F.col("importance") < low) & (F.col("pages") >= least))
-    removed = nodes.groupBy("host").agg(F.collect_set("node").alias("removed"))
+    # written, so that its size is known before the pages are read and a small table goes to them
+    removed = written(nodes.groupBy("host").agg(F.collect_set("node").alias("removed")))
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), host_of(url).alias("host"), F.col(page).cast("string").alias("html"))
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
