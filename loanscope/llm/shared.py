@@ -17,7 +17,7 @@ BLOOM_BITS = 1 << 23
 OUT_BYTES = 4 << 20
 
 #: Rows of an Arrow batch unless the session says otherwise: whole texts are long, and a batch is held in memory.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 
 _local: dict[str, str] = {}
 

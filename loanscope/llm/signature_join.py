@@ -151,7 +151,7 @@ def _ordered(sig: np.ndarray, sketch: np.ndarray, prefix: int) -> np.ndarray:
 def _postings(classes: DataFrame, sketch, prefix: int) -> DataFrame:
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for one in (batch.slice(k, 4096) for k in range(0, batch.num_rows, 4096)):
+            for one in (batch.slice(k, 1024) for k in range(0, batch.num_rows, 1024)):
                 tokens = _ordered(_sig(one.column(2)), sketch.value, prefix)
                 cls, size = (np.repeat(one.column(k).to_numpy(), prefix) for k in (0, 1))
                 yield pa.record_batch([pa.array(tokens.ravel().view(np.int64)), pa.array(cls), pa.array(size)], names=["token", "cls", "n_shingles"])
