@@ -3,10 +3,11 @@
 The element trees of all pages of a host are merged by style: an element's path of tags and class names. For each node
 of the merged tree two entropies tell how much it varies over the pages that have it, each divided by the largest
 possible one: of its presentation (the sequence of styles below it) and of its content (the text below it). The
-importance is a mixture of the two; a node that looks and reads the same on page after page has one near 0. A prior
-comes first: navigation, headers, footers, sidebars, adverts, notices, forms and reader comments, by tag, role or class,
-have importance 0, articles 1. Branches of low importance are removed from each page; of a page with articles only these
-count, so that a passage repeated in many articles of a host stays.
+importance is a mixture of the two; a node that looks and reads the same on page after page has one near 0. Branches of
+low importance are removed from each page, inside articles too. A prior by tag, role and class is the other input: chrome
+(navigation, headers, footers, sidebars, adverts, notices, forms and reader comments) has importance 0, prose tags without
+class inside an article 1, so that a passage repeated in many articles of a host stays; where the article as a whole
+repeats, nothing in it can be told apart, and it stays whole. Of a page with articles only these count.
 
 Inside a block white space becomes one space; blocks are joined by line breaks in page order. Null or empty pages give
 an empty text, broken markup is read up to its end, pages without a host are judged by the prior alone. Repeated rows
@@ -38,6 +39,8 @@ CHROME_WORDS = frozenset(
 )
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
+#: Tags that are prose inside an article.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp".split())
 INLINE = frozenset(
@@ -73,8 +76,9 @@ class Element:
                     classes = " ".join(sorted(value.split()))
         self.tag, self.style = tag, f"{tag}.{re.sub('[0-9]+', '#', classes)}" if classes else tag
         self.path = f"{parent.path}/{self.style}" if parent else self.style
-        within = parent is not None and parent.article
-        self.article = within or tag in ARTICLE_TAGS or role in ARTICLE_TAGS
+        within = parent is not None and parent.article is not None
+        # the path of the innermost article
+        self.article = self.path if tag in ARTICLE_TAGS or role in ARTICLE_TAGS else parent.article if parent else None
         # the body's class names speak of the page as a whole
         named = tag not in ("body", "html") and (bool(words & CHROME_WORDS) or role in CHROME_ROLES)
         self.chrome = (parent is not None and parent.chrome) or tag in CHROME_TAGS or named or (tag == "header" and not within)
@@ -174,19 +178,22 @@ def node_features(page: str) -> dict[str, tuple[int, int]]:
 
 def main_text(page: str, removed: frozenset[str] = frozenset()) -> str:
     """The blocks that stay: those of articles if there are any, none below a chrome element or a removed style."""
-    found = [(e, w) for e, w in blocks(page) if not e.chrome]
-    inside = [w for e, w in found if e.article]
-    if inside or re.search(r"<(?:article|main)[\s>]", page, re.I):
-        return "\n".join(inside)
 
-    def gone(path: str) -> bool:
-        while path:
-            if path in removed:
+    def gone(e: Element) -> bool:
+        top = e.article or ""
+        if top in removed:  # the article as a whole repeats
+            return False
+        path = e.path
+        while len(path) > len(top):
+            if path in removed and not (top and path.rpartition("/")[2] in PROSE):
                 return True
             path = path.rpartition("/")[0]
         return False
 
-    return "\n".join(w for e, w in found if not gone(e.path))
+    found = [(e, w) for e, w in blocks(page) if not e.chrome]
+    if any(e.article for e, _ in found) or re.search(r"<(?:article|main)[\s>]", page, re.I):
+        found = [(e, w) for e, w in found if e.article]
+    return "\n".join(w for e, w in found if not gone(e))
 
 
 def host_of(url: str) -> Column:

@@ -65,5 +65,12 @@ def test_same_words_in_many_articles_stay(spark):
     assert {r.text for r in main_texts(table).collect()} == {"Same opening line."}
 
 
+def test_repeated_branches_inside_articles_go(spark):
+    page = "<article><h1>Daily</h1><p>Same opening line.</p><div class=k7><p>Get our letter</p></div><p>Story {0} tells of {0} things</p><p class=q>Buy now</p></article>"
+    rows = [(n, f"http://h.example/{n}", page.format(n)) for n in range(20)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in main_texts(table).collect()} == {n: f"Daily\nSame opening line.\nStory {n} tells of {n} things" for n in range(20)}
+
+
 def test_empty_table(spark):
     assert main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
