@@ -4,10 +4,15 @@ The element trees of all pages of a host are merged by style: an element's path
 of the merged tree two entropies tell how much it varies over the pages that have it, each divided by the largest
 possible one: of its presentation (the sequence of styles below it) and of its content (the text below it). The
 importance is a mixture of the two; a node that looks and reads the same on page after page has one near 0. Branches of
-low importance are removed from each page, inside articles too. A prior by tag, role and class is the other input: chrome
-(navigation, headers, footers, sidebars, adverts, notices, forms and reader comments) has importance 0, prose tags without
-class inside an article 1, so that a passage repeated in many articles of a host stays; where the article as a whole
-repeats, nothing in it can be told apart, and it stays whole. Of a page with articles only these count.
+low importance are removed from each page, inside articles too. A prior by tag, role and class or id words is the other
+input: chrome (navigation, footers, adverts, forms, reader comments) has importance 0, prose tags without class inside an
+article 1, so that a passage repeated in many articles of a host stays; where the article as a whole repeats, nothing in
+it can be told apart, and it stays whole. A class or id word alone is a hint that a high importance overrules, except
+words for parts that differ from page to page by nature (comments, related, adverts).
+
+The articles of a page count if they hold text. An article is not chrome because of what it stands in, unless that is a
+list of other articles (comments, related, nav, aside, footer); those count last, when nothing else on the page is left.
+Without articles the rest of the page is judged. An article element with nothing in it at all gives an empty text.
 
 Inside a block white space becomes one space; blocks are joined by line breaks in page order. Null or empty pages give
 an empty text, broken markup is read up to its end, pages without a host are judged by the prior alone. Repeated rows
@@ -29,6 +34,8 @@ from loanscope.llm.shared import written
 
 #: Share of the content entropy in the mixture; importance below LOW on at least PAGES pages removes a node.
 CONTENT, LOW, PAGES = 0.9, 0.2, 4
+#: Importance from which a node is text although a class or id word calls it chrome.
+HIGH = 0.8
 
 # Fixed word lists of the prior.
 CHROME_TAGS = frozenset("nav footer aside form button select input textarea option dialog menu head title script style noscript template iframe svg canvas object math audio video".split())
@@ -37,9 +44,12 @@ CHROME_WORDS = frozenset(
     "login masthead menu modal nav navbar navigation newsletter notice notices popup promo related search share sharing sidebar social "
     "sponsor sponsored subscribe widget".split()
 )
+#: Words for parts that differ from page to page, so that entropies say nothing against them.
+VARYING = frozenset("ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments promo related sponsor sponsored".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
-#: Tags that are prose inside an article.
+#: Chrome that may stand around a page's own article, and tags that are prose inside one.
+WRAPPERS = frozenset("form header dialog".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp".split())
@@ -62,7 +72,12 @@ _PARTS = re.compile(r"[^a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "style", "path", "chrome", "article")
+    """hard, soft: chrome since the innermost article, for good or by a word of the style paths listed.
+
+    article: the path of the innermost article; outer: that article stands in a list of other articles (boxed).
+    """
+
+    __slots__ = ("tag", "style", "path", "hard", "soft", "article", "boxed", "outer", "chrome")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         words, role, classes = set(), "", ""
@@ -74,18 +89,33 @@ class Element:
                 words.update(_PARTS.split(value))
                 if m[1].lower() == "class":
                     classes = " ".join(sorted(value.split()))
+        within = parent is not None and parent.article is not None
+        article, page = tag in ARTICLE_TAGS or role in ARTICLE_TAGS, tag in ("body", "html")
+        # the body's class names speak of the page as a whole; an article's only where they name another kind of article
+        own = set() if page else words & (VARYING if article else CHROME_WORDS)
+        if within:
+            own.discard("header")  # like the tag
+        hints = own - VARYING
+        named = not page and not article and role in CHROME_ROLES
+        hard = tag in CHROME_TAGS or named or (tag == "header" and not within) or bool(own & VARYING)
         self.tag, self.style = tag, f"{tag}.{re.sub('[0-9]+', '#', classes)}" if classes else tag
+        if hints:
+            self.style += "!" + "-".join(sorted(hints))
         self.path = f"{parent.path}/{self.style}" if parent else self.style
-        within = parent is not None and parent.article is not None
-        # the path of the innermost article
-        self.article = self.path if tag in ARTICLE_TAGS or role in ARTICLE_TAGS else parent.article if parent else None
-        # the body's class names speak of the page as a whole
-        named = tag not in ("body", "html") and (bool(words & CHROME_WORDS) or role in CHROME_ROLES)
-        self.chrome = (parent is not None and parent.chrome) or tag in CHROME_TAGS or named or (tag == "header" and not within)
-
-
-def blocks(page: str) -> Iterator[tuple[Element, str]]:
-    """The text blocks of a page with the innermost block element each stands in."""
+        boxed = parent is not None and parent.boxed
+        if article and not own:
+            self.hard, self.soft, self.article = False, (), self.path
+            self.outer = boxed or (parent is not None and parent.outer)
+        else:
+            self.hard = hard or (parent is not None and parent.hard)
+            self.soft = (parent.soft if parent else ()) + ((self.path,) if hints else ())
+            self.article, self.outer = (parent.article, parent.outer) if parent else (None, False)
+        self.boxed = boxed or (hard and tag not in WRAPPERS and role != "form")
+        self.chrome = self.outer or self.hard or bool(self.soft)
+
+
+def blocks(page: str, articles: list[Element] | None = None) -> Iterator[tuple[Element, str]]:
+    """The text blocks of a page with the innermost block element each stands in; `articles` takes the elements."""
     root = Element("body", "", None)
     stack: list[Element] = [root]
     text: list[str] = []
@@ -154,6 +184,8 @@ def blocks(page: str) -> Iterator[tuple[Element, str]]:
             continue
         if not attributes.endswith("/") or tag in ARTICLE_TAGS:
             stack.append(Element(tag, attributes, stack[-1]))
+            if articles is not None and stack[-1].article == stack[-1].path and not stack[-1].outer:
+                articles.append(stack[-1])
     text = outside or text
     yield from flush()
 
@@ -176,8 +208,13 @@ def node_features(page: str) -> dict[str, tuple[int, int]]:
     return {node: (_digest(looks[node]), _digest(reads[node])) for node in looks}
 
 
-def main_text(page: str, removed: frozenset[str] = frozenset()) -> str:
-    """The blocks that stay: those of articles if there are any, none below a chrome element or a removed style."""
+def main_text(page: str, removed: frozenset[str] = frozenset(), kept: frozenset[str] = frozenset()) -> str:
+    """The blocks that stay: those of articles if these hold any, none below a chrome element or a removed style.
+
+    removed, kept: the host's style paths of low importance, and those that a word calls chrome but are of high one.
+    """
+    articles: list[Element] = []
+    every = list(blocks(page, articles))
 
     def gone(e: Element) -> bool:
         top = e.article or ""
@@ -190,10 +227,12 @@ def main_text(page: str, removed: frozenset[str] = frozenset()) -> str:
             path = path.rpartition("/")[0]
         return False
 
-    found = [(e, w) for e, w in blocks(page) if not e.chrome]
-    if any(e.article for e, _ in found) or re.search(r"<(?:article|main)[\s>]", page, re.I):
-        found = [(e, w) for e, w in found if e.article]
-    return "\n".join(w for e, w in found if not gone(e))
+    clear = [(e, w) for e, w in every if not e.hard and not any(s not in kept for s in e.soft)]
+    found = [(e, w) for e, w in clear if not e.outer and not gone(e)]
+    inside = [w for e, w in found if e.article]
+    if inside or articles and not any(e.article and not e.outer for e, _ in every):
+        return "\n".join(inside)
+    return "\n".join([w for _, w in found] or [w for e, w in clear if e.outer and not gone(e)])
 
 
 def host_of(url: str) -> Column:
@@ -226,19 +265,22 @@ def importance(pages: DataFrame, url: str = "url", page: str = "html") -> DataFr
 
 def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", low: float = LOW, least: int = PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every row of `pages`."""
-    nodes = importance(pages, url, page).filter((F.col("importance") < low) & (F.col("pages") >= least))
+    known = importance(pages, url, page).filter(F.col("pages") >= least)
+    is_low, hint = F.col("importance") < low, F.col("node").rlike("![a-z-]+$")
+    nodes = known.filter(is_low | (hint & (F.col("importance") >= HIGH)))
     # written, so that its size is known before the pages are read and a small table goes to them
-    removed = written(nodes.groupBy("host").agg(F.collect_set("node").alias("removed")))
+    lists = (F.collect_set(F.when(is_low, F.col("node"))).alias("removed"), F.collect_set(F.when(~is_low, F.col("node"))).alias("kept"))
+    removed = written(nodes.groupBy("host").agg(*lists))
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), host_of(url).alias("host"), F.col(page).cast("string").alias("html"))
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            lists = batch.column(3).to_pylist()
-            texts = [main_text(p or "", frozenset(r or ())) for p, r in zip(batch.column(2).to_pylist(), lists)]
+            columns = (batch.column(k).to_pylist() for k in (2, 3, 4))
+            texts = [main_text(p or "", frozenset(r or ()), frozenset(k or ())) for p, r, k in zip(*columns)]
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    joined = rows.join(removed, "host", "left").select("page_id", "url", "html", "removed")
+    joined = rows.join(removed, "host", "left").select("page_id", "url", "html", "removed", "kept")
     return joined.mapInArrow(task, "page_id long, url string, text string, n_chars long")

@@ -72,5 +72,26 @@ def test_repeated_branches_inside_articles_go(spark):
     assert {r.page_id: r.text for r in main_texts(table).collect()} == {n: f"Daily\nSame opening line.\nStory {n} tells of {n} things" for n in range(20)}
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<div><p>text</p></div><script>x = '<article>'</script><!-- <main> -->", "text"),
+    ("<div><p>text</p></div><article class=comment><p>nice</p></article><article class='card related'>teaser</article>", "text"),
+    ("<div><p>text</p></div><div class=comments><article>nice</article></div><aside><article>teaser</article></aside>", "text"),
+    ("<div><p>text</p></div><article><div class=share>send</div></article>", "text"),
+    ('<div class="content-sidebar-wrap"><article><p>text</p><div class=share>send</div></article></div>', "text"),
+    ('<form id=page><header><main><p>text</p></main></header></form><div class=related><article>teaser</article></div>', "text"),
+    ('<div class="related"><article><p>text</p></article></div>', "text"),
+    ('<article><div class="article-header"><h1>title</h1></div><p>text</p></article>', "title\ntext"),
+])
+def test_articles_are_found_by_parsing(page, text):
+    assert main_text(page) == text
+
+
+def test_entropies_overrule_class_names(spark):
+    page = "<div class='search wide'>Find</div><div id=sidebar-left><p>Story {0} of {0}</p></div><div class=comments>I like {0}</div><div class=header>Top</div>"
+    rows = [(n, f"http://h.example/{n}", page.format(n)) for n in range(20)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in main_texts(table).collect()} == {n: f"Story {n} of {n}" for n in range(20)}
+
+
 def test_empty_table(spark):
     assert main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
