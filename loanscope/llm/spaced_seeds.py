@@ -5,6 +5,9 @@ others, so a window still matches after substitutions there. Seeds of all benchm
 are joined on their hashes; around each hit the tokens are laid side by side, and a document is reported with an item
 if some WINDOW aligned tokens (or all of a shorter item) agree in at least SHARE of their positions.
 
+The masks were chosen by enumeration for each item length up to WINDOW: whatever positions are substituted in a window
+that is still good enough, some mask at some place of the window ignores them all. Longer items hold such a window.
+
 A Bloom filter of fixed size with the items' seeds keeps other positions out of the join, whose matches are exact.
 Equal items are one, named by the smallest item_id. Items of 8 to 10 tokens are found where all tokens agree in a row;
 still shorter ones only as a document's whole token sequence, since less can't be told from chance. Items and documents
@@ -22,12 +25,17 @@ from pyspark.sql import DataFrame, functions as F
 from loanscope.llm.shared import bloom, in_bloom, split_by_ids, written
 from loanscope.llm.words import NO_SIGN, blocks, find_words, hash_words, mix, odd_numbers, text_bytes
 
-#: Fixed masks: 1 takes part, 0 is ignored.
-MASKS = ("11011001011", "11100101101", "10110111001")
 SPAN = 11
 SHORT = 8
 WINDOW = 13
 SHARE = 0.8
+#: Fixed masks by item length, the last for all longer ones: 1 takes part, 0 is ignored.
+MASKS = {
+    8: ("1" * 8,), 9: ("1" * 9,), 10: ("1" * 10,),
+    11: ("1101111", "111100011", "1100011011"),
+    12: ("11010111", "1110001011", "10011010011"),
+    13: ("111010111", "11010011011", "110011100101"),
+}
 _TIMES = odd_numbers(64, 31)
 
 
@@ -74,7 +82,7 @@ def _item_seeds(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in source:
         for item, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             h = np.frombuffer(raw, np.uint64)
-            masks = MASKS if len(h) >= SPAN else ("1" * len(h),) if len(h) >= SHORT else ()
+            masks = MASKS.get(min(len(h), WINDOW), ())
             found = [(seeds(h, m), np.arange(len(h) - len(m) + 1)) for m in masks] or [(np.array([whole_seed(h)]), np.zeros(1, np.int64))]
             out, at = (np.concatenate(x) for x in zip(*found))
             yield pa.record_batch(
@@ -83,8 +91,11 @@ def _item_seeds(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _segments(table, lengths: tuple[int, ...]):
-    """Stretches of documents around positions whose seeds the filter holds: tokens, seeds and their places."""
-    masks = (*MASKS, *("1" * n for n in lengths if SHORT <= n < SPAN))
+    """Stretches of documents around positions whose seeds the filter holds: tokens, seeds and their places.
+
+    lengths: of the items, WINDOW for all that are not shorter.
+    """
+    masks = sorted({m for n in lengths for m in MASKS.get(n, ())})
     short = any(n < SHORT for n in lengths)
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,14 +113,14 @@ def _segments(table, lengths: tuple[int, ...]):
                 for k in np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < SHORT)) if short else ():
                     hits.append(np.array([whole_seed(hashes[first[k] : first[k + 1]])]))
                     places.append(first[k : k + 1])
-                hits, places = np.concatenate(hits), np.concatenate(places)
+                hits, places = (np.concatenate([np.zeros(0, t), *x]) for t, x in ((np.uint64, hits), (np.int64, places)))
                 order = np.argsort(places, kind="stable")
                 hits, places = hits[order], places[order]
                 new = np.ones(len(places), bool)
-                new[1:] = (doc[places[1:]] != doc[places[:-1]]) | (places[1:] - places[:-1] > SPAN + 2 * WINDOW)
+                new[1:] = (doc[places[1:]] != doc[places[:-1]]) | (places[1:] - places[:-1] > 3 * WINDOW)
                 for a, b in zip(*(lambda s: (s, [*s[1:], len(places)]))(np.flatnonzero(new).tolist())):
                     k = int(doc[places[a]])
-                    low, high = max(first[k], places[a] - WINDOW), min(first[k + 1], places[b - 1] + SPAN + WINDOW)
+                    low, high = max(first[k], places[a] - WINDOW), min(first[k + 1], places[b - 1] + 2 * WINDOW)
                     out.append((batch.column(0)[i + k].as_py(), int(low - first[k]), hashes[low:high].tobytes(), hits[a:b].view(np.int64), (places[a:b] - low).astype(np.int32)))
             yield pa.record_batch(
                 [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())))],
@@ -162,7 +173,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.mapInArrow(_items, "item_id long, n_tokens int, tokens binary").filter("n_tokens > 0 and item_id is not null")
     items = written(items.groupBy("tokens", "n_tokens").agg(F.min("item_id").alias("item_id")))
-    lengths = tuple(r.n_tokens for r in items.select("n_tokens").filter(F.col("n_tokens") < SPAN).distinct().collect())
+    lengths = tuple(r.n for r in items.select(F.least("n_tokens", F.lit(WINDOW)).alias("n")).distinct().collect())
     marks = written(items.select("item_id", "tokens").mapInArrow(_item_seeds, "seed long, item_id long, item_at int"))
     table = bloom(marks.select("seed").distinct()).table
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

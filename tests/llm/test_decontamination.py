@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 
 from loanscope.llm import spaced_seeds
@@ -54,3 +55,26 @@ def test_repeated_words_are_no_leak(spark):
     docs = spark.createDataFrame([(1, "of, " * 5000, "", ""), (2, "the of and " * 3000, "", "")], SCHEMA)
     bench = spark.createDataFrame([(1, "the cat of the dog and the bird of the tree and of the sea " * 2)], "item_id long, text string")
     assert spaced_seeds.leaks(docs, bench).count() == 0
+
+
+def patterns(n, need):
+    """All substitutions in an item of n tokens of which some 13 tokens in a row (all of a shorter item) agree in `need`."""
+    for k in range(4):
+        for p in itertools.combinations(range(n), k):
+            if any(sum(a <= x < a + 13 for x in p) <= min(13, n) - need for a in range(max(1, n - 12))):
+                yield p
+
+
+def all_patterns_found(spark, lengths):
+    rng = random.Random(5)
+    items = {n: words(rng, n) for n in lengths}
+    docs = [(n, p) for n, need in lengths.items() for p in patterns(n, need)]
+    texts = [" ".join([*words(rng, 20), *("changed" if k in p else w for k, w in enumerate(items[n])), *words(rng, 20)]) for n, p in docs]
+    table = spark.createDataFrame([(k, t, "x", "y") for k, t in enumerate(texts)], SCHEMA)
+    found = spaced_seeds.leaks(table, spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string"))
+    missed = {docs[k] for k in range(len(docs))} - {docs[r.doc_id] for r in found.collect() if docs[r.doc_id][0] == r.item_id}
+    assert missed == set()
+
+
+def test_every_accepted_substitution_is_found(spark):
+    all_patterns_found(spark, {11: 9, 12: 10, 13: 11, 14: 11, 15: 11, 16: 11})
