@@ -9,9 +9,9 @@ The masks were chosen by enumeration for each item length up to WINDOW: whatever
 that is still good enough, some mask at some place of the window ignores them all. Longer items hold such a window.
 
 A Bloom filter of fixed size with the items' seeds keeps other positions out of the join, whose matches are exact.
-Equal items are one, named by the smallest item_id. Items of 8 to 10 tokens are found where all tokens agree in a row;
-still shorter ones only as a document's whole token sequence, since less can't be told from chance. Items and documents
-without tokens match nothing. Null texts count as empty. Repeated rows give one row. Rows without identifier keep a null.
+Equal items are one, named by the smallest item_id. Items of fewer than 8 tokens are found only as a document's whole
+token sequence, since less can't be told from chance. Items and documents without tokens match nothing. Null texts count
+as empty. Repeated rows give one row. Rows without identifier keep a null; each item without one is an item of its own.
 """
 
 from __future__ import annotations
@@ -25,13 +25,14 @@ from pyspark.sql import DataFrame, functions as F
 from loanscope.llm.shared import bloom, in_bloom, split_by_ids, written
 from loanscope.llm.words import NO_SIGN, blocks, find_words, hash_words, mix, odd_numbers, text_bytes
 
-SPAN = 11
 SHORT = 8
 WINDOW = 13
 SHARE = 0.8
 #: Fixed masks by item length, the last for all longer ones: 1 takes part, 0 is ignored.
 MASKS = {
-    8: ("1" * 8,), 9: ("1" * 9,), 10: ("1" * 10,),
+    8: ("110111", "11011001"),
+    9: ("1110111", "11011101"),
+    10: ("110111", "1101011", "10100111"),
     11: ("1101111", "111100011", "1100011011"),
     12: ("11010111", "1110001011", "10011010011"),
     13: ("111010111", "11010011011", "110011100101"),
@@ -86,7 +87,7 @@ def _item_seeds(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = [(seeds(h, m), np.arange(len(h) - len(m) + 1)) for m in masks] or [(np.array([whole_seed(h)]), np.zeros(1, np.int64))]
             out, at = (np.concatenate(x) for x in zip(*found))
             yield pa.record_batch(
-                [pa.array(out.astype(np.uint64).view(np.int64)), pa.array(np.full(len(out), item)), pa.array(at.astype(np.int32))], names=["seed", "item_id", "item_at"]
+                [pa.array(out.astype(np.uint64).view(np.int64)), pa.array(np.full(len(out), item)), pa.array(at.astype(np.int32))], names=["seed", "number", "item_at"]
             )
 
 
@@ -135,7 +136,7 @@ def agreement(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, in
 
     diagonal: the document's place minus the item's. The best window is grown by what else agrees next to it.
     """
-    need = len(item) if len(item) < SPAN else min(WINDOW, len(item))
+    need = min(WINDOW, len(item))
     low, high = max(0, diagonal), min(len(doc), diagonal + len(item))
     if high - low < need:
         return None
@@ -143,7 +144,7 @@ def agreement(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, in
     sums = np.concatenate([[0], np.cumsum(same)])
     window = sums[need:] - sums[:-need]
     at = int(window.argmax())
-    if window[at] < (need if len(item) < SPAN else np.ceil(SHARE * need)):
+    if window[at] < (need if need < SHORT else np.ceil(SHARE * need)):
         return None
     end = at + need
     while at > 0 and same[at - 1]:
@@ -156,25 +157,26 @@ def agreement(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, in
 def _verify(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in source:
         out = []
-        for doc_id, start, doc, item_id, item, diagonal in zip(*(c.to_pylist() for c in batch.columns)):
+        for doc_id, start, doc, number, item_id, item, diagonal in zip(*(c.to_pylist() for c in batch.columns)):
             h = np.frombuffer(item, np.uint64)
             found = agreement(np.frombuffer(doc, np.uint64), h, diagonal)
             if found:
-                out.append((doc_id, item_id, found[0], found[1], start + found[2], len(h)))
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
+                out.append((doc_id, number, item_id, found[0], found[1], start + found[2], len(h)))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
         yield pa.record_batch(
-            [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, kinds)],
-            names=["doc_id", "item_id", "agreeing", "aligned", "token_at", "item_tokens"],
+            [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 7, kinds)],
+            names=["doc_id", "number", "item_id", "agreeing", "aligned", "token_at", "item_tokens"],
         )
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per (document, item) that overlap: doc_id, item_id, agreeing, aligned, token_at, item_tokens."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.mapInArrow(_items, "item_id long, n_tokens int, tokens binary").filter("n_tokens > 0 and item_id is not null")
-    items = written(items.groupBy("tokens", "n_tokens").agg(F.min("item_id").alias("item_id")))
+    items = items.mapInArrow(_items, "item_id long, n_tokens int, tokens binary").filter("n_tokens > 0")
+    items = items.groupBy("tokens", "n_tokens").agg(F.min("item_id").alias("item_id"))
+    items = written(items.withColumn("number", F.monotonically_increasing_id()))
     lengths = tuple(r.n for r in items.select(F.least("n_tokens", F.lit(WINDOW)).alias("n")).distinct().collect())
-    marks = written(items.select("item_id", "tokens").mapInArrow(_item_seeds, "seed long, item_id long, item_at int"))
+    marks = written(items.select("number", "tokens").mapInArrow(_item_seeds, "seed long, number long, item_at int"))
     table = bloom(marks.select("seed").distinct()).table
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = "doc_id long, start long, tokens binary, seeds array<long>, places array<int>"
@@ -182,14 +184,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         rows.mapInArrow(_segments(table, lengths), kind).withColumn("segment", F.xxhash64("doc_id", "start", "tokens"))
     )
     hits = segments.select("segment", F.explode(F.arrays_zip("seeds", "places")).alias("h")).select("segment", F.col("h.seeds").alias("seed"), F.col("h.places").alias("place"))
-    pairs = hits.join(marks, "seed").select("segment", "item_id", (F.col("place") - F.col("item_at")).alias("diagonal")).distinct()
+    pairs = hits.join(marks, "seed").select("segment", "number", (F.col("place") - F.col("item_at")).alias("diagonal")).distinct()
     texts = segments.select("segment", "doc_id", "start", "tokens").dropDuplicates(["segment"])
-    laid = pairs.join(items.select("item_id", F.col("tokens").alias("item")), "item_id").join(texts, "segment")
-    found = laid.select("doc_id", "start", "tokens", "item_id", "item", "diagonal").mapInArrow(
-        _verify, "doc_id long, item_id long, agreeing int, aligned int, token_at long, item_tokens int"
+    laid = pairs.join(items.select("number", "item_id", F.col("tokens").alias("item")), "number").join(texts, "segment")
+    found = laid.select("doc_id", "start", "tokens", "number", "item_id", "item", "diagonal").mapInArrow(
+        _verify, "doc_id long, number long, item_id long, agreeing int, aligned int, token_at long, item_tokens int"
     )
     best = F.max(F.struct("agreeing", (-F.col("aligned")).alias("less"), (-F.col("token_at")).alias("early"), "item_tokens")).alias("x")
-    return found.groupBy("doc_id", "item_id").agg(best).select(
+    unnamed = F.when(F.col("item_id").isNull(), F.col("number")).alias("unnamed")
+    return found.groupBy("doc_id", "item_id", unnamed).agg(best).select(
         "doc_id", "item_id", "x.agreeing", (-F.col("x.less")).alias("aligned"), (-F.col("x.early")).alias("token_at"), "x.item_tokens"
     )
 

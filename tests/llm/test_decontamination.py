@@ -78,3 +78,18 @@ def all_patterns_found(spark, lengths):
 
 def test_every_accepted_substitution_is_found(spark):
     all_patterns_found(spark, {11: 9, 12: 10, 13: 11, 14: 11, 15: 11, 16: 11})
+
+
+def test_short_items_with_substitutions_are_found(spark):
+    all_patterns_found(spark, {8: 7, 9: 8, 10: 8})
+
+
+def test_items_without_identifier_are_kept(spark):
+    rng = random.Random(7)
+    items = [words(rng, n) for n in (16, 20, 9)]
+    bench = spark.createDataFrame([(None, " ".join(w)) for w in items] + [(5, " ".join(items[2]))], "item_id long, text string")
+    docs = [(k, " ".join([*words(rng, 9), *w, *words(rng, 9)]), "x", "y") for k, w in enumerate(items)] + [(9, " ".join(items[0] + items[1]), "x", "y"), (10, " ".join(words(rng, 50)), "x", "y")]
+    table = spark.createDataFrame(docs, SCHEMA)
+    found = sorted((r.doc_id, r.item_id or 0, r.item_tokens) for r in spaced_seeds.leaks(table, bench).collect())
+    assert found == [(0, 0, 16), (1, 0, 20), (2, 5, 9), (9, 0, 16), (9, 0, 20)]
+    assert [r.doc_id for r in spaced_seeds.drop_leaks(table, bench).collect()] == [10]
