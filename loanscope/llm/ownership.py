@@ -2,7 +2,7 @@
 
 Base spans come from fixed patterns. Every candidate value (the assigned value, the access key, the hex run) is hashed,
 and the distinct owners and repositories that have it are counted over the whole corpus: a value that more than
-MAX_OWNERS owners have is a copied example, one of few owners looks live. The method also takes bare candidates, runs of
+MAX_OWNERS owners or more than MAX_REPOSITORIES repositories have is a copied example, any other looks live. The method also takes bare candidates, runs of
 16 or more key characters with a letter and a digit outside base spans; those that look live are added as `bare` spans.
 
 Offsets count code points. They come from the texts between matches, whose lengths are added up per row. Copies of a
@@ -25,6 +25,7 @@ PATTERNS = {
 BARE = "(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}"
 KINDS = (*PATTERNS, "bare")
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 10
 
 
 def _found(docs: DataFrame, key: str, text: str, owner: str, repository: str) -> DataFrame:
@@ -82,7 +83,8 @@ def _joined(spans, sep: str = ","):
 
 
 def secrets(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id", max_owners: int = MAX_OWNERS
+    docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id", max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans; n_live, n_copied and the live spans besides."""
     found = _found(docs, key, text, owner, repository)
@@ -93,7 +95,8 @@ def secrets(
     b = spans.filter((F.col("kind") == bare) & F.col("value").rlike("[A-Za-z]"))
     b = b.join(near, (F.col("row") == F.col("r")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti")
     candidates = written(base.unionAll(b))
-    judged = candidates.join(ownership(candidates), "digest").withColumn("live", F.col("owners") <= max_owners)
+    few = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
+    judged = candidates.join(ownership(candidates), "digest").withColumn("live", few)
     judged = judged.filter((F.col("kind") < bare) | F.col("live"))
     parts = judged.groupBy("row").agg(
         *(F.count_if(F.col("kind") == n).alias(f"n_{k}") for n, k in enumerate(KINDS)),

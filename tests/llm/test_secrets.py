@@ -44,6 +44,16 @@ def test_copied_examples_and_live_values(spark):
     assert all(r.spans == "" and r.n_bare == 0 for r in found[7:])  # many owners have it, and no pattern names it
 
 
+def test_value_copied_across_documents_of_one_source(spark):
+    rows = [(k, "password=example123 and sk_live_ABCDEF0123456789", "hot", "x", 1) for k in range(11)]
+    rows += [(20 + k, "password=verysecret9 and sk_live_GHIJKL0123456789", "hot", "x", 1) for k in range(10)]
+    rows += [(30, "password=onlyonedoc1", "hot", "x", 1)] * 15
+    found = sorted(secrets(spark.createDataFrame(rows, SCHEMA)).collect(), key=lambda r: r.doc_id)
+    assert all((r.n_copied, r.n_live, r.n_bare, r.live_spans, r.spans) == (1, 0, 0, "", "assign:0:19") for r in found[:11])
+    assert all((r.n_copied, r.n_live, r.n_bare) == (0, 2, 1) and r.live_spans == r.spans for r in found[11:21])
+    assert all((r.n_copied, r.n_live) == (0, 1) for r in found[21:])
+
+
 def test_empty_table_and_native_plan(spark, sf_dir, capsys):
     none = spark.createDataFrame([], SCHEMA)
     assert secrets(none).count() == 0
