@@ -20,9 +20,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from loanscope.llm.shared import bloom, in_bloom, split_by_ids, written
+from loanscope.llm.shared import bloom, in_bloom, split_by_ids, whole, written
 from loanscope.llm.words import NO_SIGN, blocks, find_words, hash_words, mix, odd_numbers, text_bytes
 
 SHORT = 8
@@ -122,10 +122,10 @@ def _segments(table, lengths: tuple[int, ...]):
                 for a, b in zip(*(lambda s: (s, [*s[1:], len(places)]))(np.flatnonzero(new).tolist())):
                     k = int(doc[places[a]])
                     low, high = max(first[k], places[a] - WINDOW), min(first[k + 1], places[b - 1] + 2 * WINDOW)
-                    out.append((batch.column(0)[i + k].as_py(), int(low - first[k]), hashes[low:high].tobytes(), hits[a:b].view(np.int64), (places[a:b] - low).astype(np.int32)))
+                    out.append((batch.column(0)[i + k].as_py(), batch.column(2)[i + k].as_py(), int(low - first[k]), hashes[low:high].tobytes(), hits[a:b].view(np.int64), (places[a:b] - low).astype(np.int32)))
             yield pa.record_batch(
-                [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())))],
-                names=["doc_id", "start", "tokens", "seeds", "places"],
+                [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())))],
+                names=["doc_id", "content", "start", "tokens", "seeds", "places"],
             )
 
     return task
@@ -157,20 +157,25 @@ def agreement(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, in
 def _verify(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in source:
         out = []
-        for doc_id, start, doc, number, item_id, item, diagonal in zip(*(c.to_pylist() for c in batch.columns)):
+        for doc_id, content, start, doc, number, item_id, item, diagonal in zip(*(c.to_pylist() for c in batch.columns)):
             h = np.frombuffer(item, np.uint64)
             found = agreement(np.frombuffer(doc, np.uint64), h, diagonal)
             if found:
-                out.append((doc_id, number, item_id, found[0], found[1], start + found[2], len(h)))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
+                out.append((doc_id, content, number, item_id, found[0], found[1], start + found[2], len(h)))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
         yield pa.record_batch(
-            [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 7, kinds)],
-            names=["doc_id", "number", "item_id", "agreeing", "aligned", "token_at", "item_tokens"],
+            [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 8, kinds)],
+            names=["doc_id", "content", "number", "item_id", "agreeing", "aligned", "token_at", "item_tokens"],
         )
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per (document, item) that overlap: doc_id, item_id, agreeing, aligned, token_at, item_tokens."""
+def _content(key: str, text: str) -> Column:
+    """A hash of a row's identifier and text; rows that share it leak alike."""
+    return F.xxhash64(whole(text), F.col(key).cast("long"))
+
+
+def _overlaps(docs: DataFrame, benchmark: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, content, number, item_id, agreeing, aligned, token_at, item_tokens of every overlap, on every diagonal."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.mapInArrow(_items, "item_id long, n_tokens int, tokens binary").filter("n_tokens > 0")
     items = items.groupBy("tokens", "n_tokens").agg(F.min("item_id").alias("item_id"))
@@ -178,18 +183,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     lengths = tuple(r.n for r in items.select(F.least("n_tokens", F.lit(WINDOW)).alias("n")).distinct().collect())
     marks = written(items.select("number", "tokens").mapInArrow(_item_seeds, "seed long, number long, item_at int"))
     table = bloom(marks.select("seed").distinct()).table
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    kind = "doc_id long, start long, tokens binary, seeds array<long>, places array<int>"
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), _content(key, text).alias("content"))
+    kind = "doc_id long, content long, start long, tokens binary, seeds array<long>, places array<int>"
     segments = written(
-        rows.mapInArrow(_segments(table, lengths), kind).withColumn("segment", F.xxhash64("doc_id", "start", "tokens"))
+        rows.mapInArrow(_segments(table, lengths), kind).withColumn("segment", F.xxhash64("content", "start", "tokens"))
     )
     hits = segments.select("segment", F.explode(F.arrays_zip("seeds", "places")).alias("h")).select("segment", F.col("h.seeds").alias("seed"), F.col("h.places").alias("place"))
     pairs = hits.join(marks, "seed").select("segment", "number", (F.col("place") - F.col("item_at")).alias("diagonal")).distinct()
-    texts = segments.select("segment", "doc_id", "start", "tokens").dropDuplicates(["segment"])
+    texts = segments.select("segment", "doc_id", "content", "start", "tokens").dropDuplicates(["segment"])
     laid = pairs.join(items.select("number", "item_id", F.col("tokens").alias("item")), "number").join(texts, "segment")
-    found = laid.select("doc_id", "start", "tokens", "number", "item_id", "item", "diagonal").mapInArrow(
-        _verify, "doc_id long, number long, item_id long, agreeing int, aligned int, token_at long, item_tokens int"
+    return laid.select("doc_id", "content", "start", "tokens", "number", "item_id", "item", "diagonal").mapInArrow(
+        _verify, "doc_id long, content long, number long, item_id long, agreeing int, aligned int, token_at long, item_tokens int"
     )
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per (document, item) that overlap: doc_id, item_id, agreeing, aligned, token_at, item_tokens."""
+    found = _overlaps(docs, benchmark, key, text)
     best = F.max(F.struct("agreeing", (-F.col("aligned")).alias("less"), (-F.col("token_at")).alias("early"), "item_tokens")).alias("x")
     unnamed = F.when(F.col("item_id").isNull(), F.col("number")).alias("unnamed")
     return found.groupBy("doc_id", "item_id", unnamed).agg(best).select(
@@ -198,5 +208,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` without those that overlap an item."""
-    return split_by_ids(docs, leaks(docs, benchmark, key, text).select("doc_id"), key)[0]
+    """`docs` without the rows that overlap an item; others with the same identifier or none stay."""
+    found = _overlaps(docs, benchmark, key, text).select("content")
+    return split_by_ids(docs.withColumn("__llm_content", _content(key, text)), found, "__llm_content")[0].drop("__llm_content")

@@ -93,3 +93,17 @@ def test_items_without_identifier_are_kept(spark):
     found = sorted((r.doc_id, r.item_id or 0, r.item_tokens) for r in spaced_seeds.leaks(table, bench).collect())
     assert found == [(0, 0, 16), (1, 0, 20), (2, 5, 9), (9, 0, 16), (9, 0, 20)]
     assert [r.doc_id for r in spaced_seeds.drop_leaks(table, bench).collect()] == [10]
+
+
+def test_only_leaking_rows_of_an_identifier_go(spark):
+    rng = random.Random(9)
+    item = " ".join(words(rng, 20))
+    clean = [" ".join(words(rng, 30)) for _ in range(6)]
+    docs = [(None, item), (None, clean[0]), (None, clean[1]), (None, None), (7, f"so {item}"), (7, clean[2]), (7, clean[2]), (8, f"so {item}"), (8, f"so {item}"), (9, clean[3])]
+    table = spark.createDataFrame([(i, t, "x", "y") for i, t in docs], SCHEMA)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = spaced_seeds.drop_leaks(table, bench)
+    assert kept.columns == table.columns
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == sorted((d for d in docs if item not in (d[1] or "")), key=key)
+    assert {(r.doc_id, r.item_id) for r in spaced_seeds.leaks(table, bench).collect()} == {(None, 1), (7, 1), (8, 1)}
