@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loanscope.llm import (
-    agenda_bpe, bradley_terry, factorization_machine, feistel_shards, ownership, semi_markov, signature_join, spaced_seeds,
-    style_tree, trie_dedup,
+    agenda_bpe, bradley_terry, conversation_repair, factorization_machine, feistel_shards, importance_resampling, ownership,
+    semi_markov, signature_join, spaced_seeds, style_tree, trie_dedup, vantage_trees,
 )
 from loanscope.llm.shared import tuned
 
@@ -65,6 +65,20 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ownership.secrets(_table(spark, sf_dir, "documents"), owner="source", repository="doc_id")
 
 
+def resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return importance_resampling.resampled(docs, target).drop("n_words")
+
+
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    return conversation_repair.repaired(conversation_repair.damaged(rows), rows.select("conv_id"))
+
+
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage_trees.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": exact_dedup,
@@ -77,4 +91,7 @@ def queries() -> dict[str, Query]:
         "op8_piece_tokens": piece_tokens,
         "op9_personal_data": personal_data,
         "op10_secrets": secrets,
+        "op11_resampling": resampling,
+        "op12_conversations": conversations,
+        "op13_neighbours": neighbours,
     }

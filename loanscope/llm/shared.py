@@ -53,6 +53,19 @@ def whole(text: str | Column) -> Column:
     return F.coalesce((F.col(text) if isinstance(text, str) else text).cast("string"), F.lit(""))
 
 
+def repeated(df: DataFrame, times: str, nth: str, run: int = 4096) -> DataFrame:
+    """Each row as often as its column `times` says, numbered from 0 in `nth`.
+
+    Large multiplicities are cut into runs, which are dealt over all partitions before they are written out.
+    """
+    runs = df.withColumn("__llm_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / run).cast("long"))))
+    many = runs.filter(F.col(times) > run)
+    runs = runs.filter(F.col(times) <= run).unionAll(many.repartition(*many.columns))
+    first = F.col("__llm_run") * run
+    last = F.least(first + run, F.col(times)) - 1
+    return runs.withColumn(nth, F.explode(F.sequence(first, last))).drop("__llm_run", times)
+
+
 def bloom(keys: DataFrame, bits: int = BLOOM_BITS) -> Callable[[Column], Column]:
     """A test for the 64-bit hashes in the only column of `keys`: false means surely absent.
 
