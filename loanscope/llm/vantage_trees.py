@@ -37,9 +37,9 @@ SAMPLE_BYTES = 2 << 20
 SHARD_BYTES = 2 << 20
 #: Sample vectors of a region at least.
 REGION_SAMPLE = 16
-LEAF = 64
+LEAF = 256
 #: Queries that walk a tree together, and pairs whose scores are summed again at a time.
-BLOCK, PAIRS = 256, 1 << 16
+BLOCK, PAIRS = 2048, 1 << 16
 #: Rounding of matrix products, as a share of the largest value.
 SLACK = 1e-9
 
@@ -105,11 +105,12 @@ class Search:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, tree: Node, longest: float, k: int, factor: float) -> None:
         self.ids, self.x, self.tree, self.longest, self.k, self.factor = ids, x, tree, longest, k, factor
-        self.scanned = 0
+        self.x_columns, self.scanned = np.ascontiguousarray(x.T), 0
 
     def run(self, query_ids: np.ndarray, q: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(number of the query, identifier, score) of what may be among the nearest; `bound` is a distance per query."""
         n = len(q)
+        self.columns = np.ascontiguousarray(q.T)
         self.q, self.query_ids, self.lift = q, query_ids, np.hstack([q, np.zeros((n, 1))])
         self.size = np.einsum("ij,ij->i", q, q) + self.longest
         self.slack = SLACK * self.size
@@ -129,8 +130,8 @@ class Search:
         if not len(rows):
             return
         if node.members is not None:
-            for at in range(0, len(node.members), 4 * LEAF):
-                self._scan(rows, node.members[at:at + 4 * LEAF])
+            for at in range(0, len(node.members), LEAF):
+                self._scan(rows, node.members[at:at + LEAF])
             return
         d = distances(self.lift[rows], node.vantage)
         near, far = _gap(d, node.near_range), _gap(d, node.far_range)
@@ -153,7 +154,7 @@ class Search:
         if not len(r):
             return
         scores = np.concatenate([
-            products(self.q[rows[r[at:at + PAIRS]]], self.x[members[c[at:at + PAIRS]]]) for at in range(0, len(r), PAIRS)
+            products(self.columns, rows[r[at:at + PAIRS]], self.x_columns, members[c[at:at + PAIRS]]) for at in range(0, len(r), PAIRS)
         ])
         changed, local = np.unique(r, return_inverse=True)
         kept = rows[changed]
@@ -168,11 +169,11 @@ class Search:
         self.least[kept] = np.maximum(self.least[kept], self.scores[kept, -1] - self.slack[kept])
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products row by row, summed in the order of the components."""
-    out = np.zeros(len(a))
-    for n in range(a.shape[1]):
-        out += a[:, n] * b[:, n]
+def products(a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray) -> np.ndarray:
+    """Inner products of columns of a and b, summed in the order of the components."""
+    out = np.zeros(len(of_a))
+    for x, y in zip(a, b):
+        out += x[of_a] * y[of_b]
     return out
 
 
@@ -327,29 +328,35 @@ def nearest(
                         [pa.array(np.full(len(some), shard)), pa.array(np.ones(len(some), np.int32)), pa.array(ids[some]),
                          _lists(x[some], dim), pa.array(bound[some, region])], _COLUMNS)
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready, ids, x, now = None, [], [], None
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """(shard, mark, identifiers, vectors, bounds): the vectors of a shard at once, then its queries in blocks."""
+        held, kind, size = [], None, 0
         for batch in batches:
             shard, mark = (batch.column(n).to_numpy() for n in (0, 1))
             edges = [0, *(np.flatnonzero((np.diff(shard) != 0) | (np.diff(mark) != 0)) + 1), len(shard)]
             for a, b in zip(edges, edges[1:]):
                 if a == b:
                     continue
-                if shard[a] != now:
-                    ready, ids, x, now = None, [], [], shard[a]
-                some, vectors = batch.column(2).slice(a, b - a).to_numpy(), _matrix(batch.column(3).slice(a, b - a), dim)
-                if not mark[a]:
-                    ids.append(some)
-                    x.append(vectors)
-                    continue
-                if ready is None:
-                    mine = thinned(np.concatenate([np.zeros(0, np.int64), *ids]), np.concatenate([np.zeros((0, dim)), *x]), k)
-                    ready, ids, x = Search(*mine, build(lifted(mine[1], longest)), longest, k, factor), [], []
-                bound = batch.column(4).slice(a, b - a).to_numpy()
-                for n in range(0, b - a, BLOCK):
-                    row, found, score = ready.run(some[n:n + BLOCK], vectors[n:n + BLOCK], bound[n:n + BLOCK])
-                    yield pa.record_batch(
-                        [pa.array(some[n:n + BLOCK][row]), pa.array(found), pa.array(score)], ["query_id", "vec_id", "score"])
+                if held and ((shard[a], mark[a]) != kind or (kind[1] and size >= BLOCK)):
+                    yield *kind, *map(np.concatenate, zip(*held))
+                    held, size = [], 0
+                kind, piece = (shard[a], mark[a]), batch.slice(a, b - a)
+                held.append((piece.column(2).to_numpy(), _matrix(piece.column(3), dim), piece.column(4).to_numpy()))
+                size += b - a
+        if held:
+            yield *kind, *map(np.concatenate, zip(*held))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready, now = None, None
+        for shard, mark, ids, x, bound in runs(batches):
+            if shard != now:
+                ready, now = None, shard
+            if not mark:
+                ids, x = thinned(ids, x, k)
+                ready = Search(ids, x, build(lifted(x, longest)), longest, k, factor)
+            elif ready:  # a shard may have no vectors
+                row, found, score = ready.run(ids, x, bound)
+                yield pa.record_batch([pa.array(ids[row]), pa.array(found), pa.array(score)], ["query_id", "vec_id", "score"])
 
     asked = rows.filter("is_query").groupBy("id").agg(F.min("x").alias("x"))
     both = rows.select("id", "x").mapInArrow(deal, _DEALT).unionAll(asked.mapInArrow(ask, _DEALT))
