@@ -72,7 +72,7 @@ def features(texts: list[bytes], most_words: int, buckets: int) -> tuple[np.ndar
         owners.append(owner[: len(sums)][same])
         hashes.append(np.array(sums, np.uint32)[same])
     hashes = np.concatenate([np.asarray(h, np.uint32) for h in hashes])
-    return np.concatenate(owners), (hashes % np.uint32(buckets)).astype(np.int64), np.bincount(owner, minlength=len(texts))
+    return np.concatenate(owners), hashes.astype(np.int64) % buckets, np.bincount(owner, minlength=len(texts))
 
 
 def bucket_counts(docs: DataFrame, text: str, most_words: int, buckets: int) -> np.ndarray:

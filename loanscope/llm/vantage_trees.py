@@ -3,7 +3,8 @@
 Vectors get one more coordinate, sqrt(M^2 - |x|^2) for the longest length M (0 for queries); Euclidean order is then the
 order by inner product, and the triangle inequality holds. A vantage point splits its points into a near and a far half;
 a half whose distance from the query, times `factor`, is more than the k-th best distance so far is not entered. Factor
-one restores exact search, larger ones skip more.
+one restores exact search, larger ones skip more. How much a factor loses depends on the data, so unless one is given, the
+largest of a few that finds nearly all neighbours within the sample is taken.
 
 A top tree over a bounded sample deals all vectors to regions, each cut into shards of bounded size by position, so that
 a vector that a third of all rows repeat is spread. Each query starts with the k-th distance within the sample as its
@@ -29,8 +30,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: See the README for recall and work at other factors.
-FACTOR = 4.0
+#: Factors tried on the sample, and the recall that the first one taken reaches there; else factor one.
+FACTORS, RECALL = (2.0, 1.5, 1.25, 1.1, 1.05), 0.99
+#: Sample vectors that are searched for in the sample to measure recall.
+TRIALS = 200
 #: Bytes of the sample that the top tree is fit on and that gives queries their first bound.
 SAMPLE_BYTES = 2 << 20
 #: Bytes of the vectors of a shard, as doubles.
@@ -269,15 +272,25 @@ def fit(rows: DataFrame, count: int, dim: int, longest: float) -> Top:
     return top
 
 
+def measured_factor(ids: np.ndarray, x: np.ndarray, longest: float, k: int) -> float:
+    """The largest of FACTORS whose search of the sample finds RECALL of what comparing all pairs finds."""
+    asked = np.linspace(0, len(x) - 1, min(len(x), TRIALS)).astype(int)
+    tree, found = build(lifted(x, longest), max(2, len(x) // 128)), []
+    for factor in (1.0, *FACTORS):
+        row, near, _ = Search(ids, x, tree, longest, k, factor).run(ids[asked], x[asked], np.full(len(asked), np.inf))
+        found.append(set(zip(row.tolist(), near.tolist())))
+    return next((f for f, some in zip(FACTORS, found[1:]) if len(some & found[0]) >= RECALL * len(found[0])), 1.0)
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
 
 
-def _lists(x: np.ndarray, dim: int) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, dim, dtype=np.int32)), pa.array(x.ravel()))
+def _lists(x: np.ndarray, dim: int, single: bool) -> pa.Array:
+    flat = x.ravel().astype(np.float32 if single else float)
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, dim, dtype=np.int32)), pa.array(flat))
 
 
-_DEALT = "shard long, mark int, id long, x array<double>, bound double"
 _COLUMNS = ["shard", "mark", "id", "x", "bound"]
 
 
@@ -285,15 +298,19 @@ def usable(vectors: DataFrame, key: str, vector: str, is_query: Column) -> DataF
     """id, x, is_query of the rows that take part, whatever their length."""
     finite = F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     rows = vectors.filter(F.col(key).isNotNull() & F.col(vector).isNotNull() & finite & F.exists(vector, lambda v: v != 0))
-    return rows.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("x"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    single = vectors.schema[vector].dataType.simpleString() == "array<float>"  # travels as it is
+    x = F.col(vector) if single else F.col(vector).cast("array<double>")
+    return rows.select(F.col(key).cast("long").alias("id"), x.alias("x"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
 
 
 def nearest(
-    vectors: DataFrame, is_query: Column, k: int = 20, factor: float = FACTOR, key: str = "vec_id", vector: str = "embedding",
+    vectors: DataFrame, is_query: Column, k: int = 20, factor: float | None = None, key: str = "vec_id", vector: str = "embedding",
 ) -> DataFrame:
-    """query_id, rank, vec_id, score: for each query its k nearest of all other rows."""
+    """query_id, rank, vec_id, score: for each query its k nearest of all other rows; without a factor, by a measured one."""
     spark = vectors.sparkSession
     rows = usable(vectors, key, vector, is_query)
+    x_type = rows.schema["x"].dataType.simpleString()
+    single, dealt = x_type == "array<float>", f"shard long, mark int, id long, x {x_type}, bound double"
     square = F.aggregate("x", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
     # one row per length of vectors; the most frequent length is the table's
     sizes = rows.groupBy(F.size("x").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("longest"))
@@ -302,7 +319,9 @@ def nearest(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim, count, longest = first
     rows = rows.filter(F.size("x") == dim)
-    top = spark.sparkContext.broadcast(fit(rows.select("id", "x"), count, dim, longest))
+    fitted = fit(rows.select("id", "x"), count, dim, longest)
+    factor = measured_factor(fitted.ids, fitted.x, longest, k) if factor is None else factor
+    top = spark.sparkContext.broadcast(fitted)
     shards = int(top.value.shards.sum())
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +333,7 @@ def nearest(
             done += len(x)
             n = len(x)
             yield pa.record_batch(
-                [pa.array(shard), pa.array(np.zeros(n, np.int32)), batch.column(0), _lists(x, dim), pa.array(np.zeros(n))], _COLUMNS)
+                [pa.array(shard), pa.array(np.zeros(n, np.int32)), batch.column(0), _lists(x, dim, single), pa.array(np.zeros(n))], _COLUMNS)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = top.value
@@ -326,7 +345,7 @@ def nearest(
                 for shard in range(at.first_shard[region], at.first_shard[region] + at.shards[region]):
                     yield pa.record_batch(
                         [pa.array(np.full(len(some), shard)), pa.array(np.ones(len(some), np.int32)), pa.array(ids[some]),
-                         _lists(x[some], dim), pa.array(bound[some, region])], _COLUMNS)
+                         _lists(x[some], dim, single), pa.array(bound[some, region])], _COLUMNS)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         """(shard, mark, identifiers, vectors, bounds): the vectors of a shard at once, then its queries in blocks."""
@@ -359,9 +378,9 @@ def nearest(
                 yield pa.record_batch([pa.array(ids[row]), pa.array(found), pa.array(score)], ["query_id", "vec_id", "score"])
 
     asked = rows.filter("is_query").groupBy("id").agg(F.min("x").alias("x"))
-    both = rows.select("id", "x").mapInArrow(deal, _DEALT).unionAll(asked.mapInArrow(ask, _DEALT))
+    both = rows.select("id", "x").mapInArrow(deal, dealt).unionAll(asked.mapInArrow(ask, dealt))
     # as many partitions as shards, so that none is joined to others; a partition of several takes one after the other
-    dealt = both.repartition(min(shards, 1 << 17), "shard").sortWithinPartitions("shard", "mark", "id")
-    found = dealt.mapInArrow(search, "query_id long, vec_id long, score double")
+    placed = both.repartition(min(shards, 1 << 17), "shard").sortWithinPartitions("shard", "mark", "id")
+    found = placed.mapInArrow(search, "query_id long, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
