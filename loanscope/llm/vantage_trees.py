@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 #: Factors tried on the sample, and the recall that the first one taken reaches there; else factor one.
 FACTORS, RECALL = (2.0, 1.5, 1.25, 1.1, 1.05), 0.99
 #: Sample vectors that are searched for in the sample to measure recall.
-TRIALS = 200
+TRIALS = 128
 #: Bytes of the sample that the top tree is fit on and that gives queries their first bound.
 SAMPLE_BYTES = 2 << 20
 #: Bytes of the vectors of a shard, as doubles.
@@ -275,11 +275,16 @@ def fit(rows: DataFrame, count: int, dim: int, longest: float) -> Top:
 def measured_factor(ids: np.ndarray, x: np.ndarray, longest: float, k: int) -> float:
     """The largest of FACTORS whose search of the sample finds RECALL of what comparing all pairs finds."""
     asked = np.linspace(0, len(x) - 1, min(len(x), TRIALS)).astype(int)
-    tree, found = build(lifted(x, longest), max(2, len(x) // 128)), []
-    for factor in (1.0, *FACTORS):
-        row, near, _ = Search(ids, x, tree, longest, k, factor).run(ids[asked], x[asked], np.full(len(asked), np.inf))
-        found.append(set(zip(row.tolist(), near.tolist())))
-    return next((f for f, some in zip(FACTORS, found[1:]) if len(some & found[0]) >= RECALL * len(found[0])), 1.0)
+    scores = x[asked] @ x.T
+    scores[ids[asked][:, None] == ids[None, :]] = -np.inf
+    best = np.sort(scores, axis=1)[:, -min(k, len(x)):]
+    least, wanted = best[:, :1] - SLACK * longest, np.isfinite(best).sum()
+    tree, unbounded = build(lifted(x, longest), max(8, len(x) // 32)), np.full(len(asked), np.inf)
+    for factor in FACTORS:
+        row, _, score = Search(ids, x, tree, longest, k, factor).run(ids[asked], x[asked], unbounded)
+        if (score >= least[row, 0]).sum() >= RECALL * wanted:
+            return factor
+    return 1.0
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
