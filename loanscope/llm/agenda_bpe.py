@@ -6,8 +6,10 @@ character, so a text falls into segments (spaces and the word behind them, or a
 whose agendas don't touch. Equal segments of a block are encoded once; short ones run their agendas side by side as numpy
 rows, long ones have a heap each.
 
-Every ``check_every``-th text of each Arrow batch is also encoded and decoded by the sentencepiece library; a difference
-ends the job. A null is an empty text; it has only the begin and end ids and decodes to an empty text.
+Every text is also encoded and decoded by the sentencepiece library, and a difference ends the job; ``check_every`` n
+checks one text in n of each Arrow batch, 0 none. A null is an empty text; it has only the begin and end ids and decodes
+to an empty text. Repeated rows are rows of their own, an empty table gives no rows, and other columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations
@@ -20,14 +22,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from loanscope.llm.shared import lean
 from loanscope.llm.words import blocks, hash_words, text_bytes
 
 #: Symbols up to which segments run side by side; longer ones have a heap each.
 SIDE_BY_SIDE = 40
 #: Bytes of text whose equal segments are encoded once.
 BLOCK = 4 << 20
-#: Distinct segments whose ids a worker keeps from block to block.
-CACHED = 1_500_000
+#: Distinct segments whose ids a task keeps from block to block.
+CACHED = 400_000
 EMPTY = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))
 NONE = np.int32(2**31 - 1)
 MARK = "▁"
@@ -324,15 +327,17 @@ _codecs: dict[str, PieceCodec] = {}
 
 
 def codec_of(path: str) -> PieceCodec:
+    """The worker's codec with an empty cache: a task doesn't hold what others before it have met."""
     if path not in _codecs:
         _codecs[path] = PieceCodec(path)
+    _codecs[path].cache = EMPTY
     return _codecs[path]
 
 
 DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def token_digests(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", check_every: int = 16) -> DataFrame:
+def token_digests(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", check_every: int = 1) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,10 +351,10 @@ def token_digests(docs: DataFrame, model_file: str, key: str = "doc_id", text: s
             yield pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], schema=DIGESTS)
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(task, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(lean(task), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def tokens(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", check_every: int = 16) -> DataFrame:
+def tokens(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "text", check_every: int = 1) -> DataFrame:
     """doc_id, ids (with begin and end ids) and decoded text of every row."""
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
@@ -361,4 +366,4 @@ def tokens(docs: DataFrame, model_file: str, key: str = "doc_id", text: str = "t
                 yield pa.record_batch([one.column(0), pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array([x for _, x in found], pa.string())], schema=schema)
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(task, "doc_id long, ids array<int>, decoded string")
+    return rows.mapInArrow(lean(task), "doc_id long, ids array<int>, decoded string")

@@ -2,34 +2,54 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Bits of a Bloom filter; the broadcast has an eighth of that in bytes, however many keys it holds.
-BLOOM_BITS = 1 << 23
+#: Bits of a Bloom filter at least and at most (16 MB), and per key in between. Beyond 13 million keys more rows pass.
+BLOOM_LEAST, BLOOM_MOST, BLOOM_PER_KEY = 1 << 16, 1 << 27, 10
 #: Bytes of text in an Arrow batch that a task hands back.
 OUT_BYTES = 4 << 20
 
 #: Rows of an Arrow batch unless the session says otherwise: whole texts are long, and a batch is held in memory.
 BATCH_ROWS = 500
+#: Bytes of an Arrow batch unless the session says otherwise; a row longer than that is a batch of its own.
+BATCH_BYTES = 4 << 20
 
 _local: dict[str, str] = {}
 
 
 def tuned(spark: SparkSession) -> SparkSession:
-    """The session, with smaller Arrow batches if it still has Spark's default of 10,000 rows."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == "10000":
-        spark.conf.set(name, BATCH_ROWS)
+    """The session, with smaller Arrow batches if it still has Spark's default of 10,000 rows and 64 MB."""
+    for name, default, value in (("maxRecordsPerBatch", "10000", BATCH_ROWS), ("maxBytesPerBatch", "67108864b", f"{BATCH_BYTES}b")):
+        name = f"spark.sql.execution.arrow.{name}"
+        if spark.conf.get(name, None) == default:
+            spark.conf.set(name, value)
     return spark
 
 
+def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task, handing its memory back to the system at its end: workers live on and serve other stages."""
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(source)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
+            if trim:
+                trim(0)
+
+    return run
+
+
 def folder(spark: SparkSession) -> str:
     """A fresh path below ``spark.checkpoint.dir``; only a local session may go without that setting."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -66,22 +86,23 @@ def repeated(df: DataFrame, times: str, nth: str, run: int = 4096) -> DataFrame:
     return runs.withColumn(nth, F.explode(F.sequence(first, last))).drop("__llm_run", times)
 
 
-def bloom(keys: DataFrame, bits: int = BLOOM_BITS) -> Callable[[Column], Column]:
+def bloom(keys: DataFrame) -> Callable[[Column], Column]:
     """A test for the 64-bit hashes in the only column of `keys`: false means surely absent.
 
-    The filter is built by a distributed aggregate over its words; the driver and each executor hold bits / 8 bytes.
+    The filter's size follows the number of keys up to a ceiling; it is built by a distributed aggregate over its words.
     """
     (key,) = keys.columns
+    keys = written(keys)
+    bits = min(max(BLOOM_LEAST, 1 << (BLOOM_PER_KEY * keys.count()).bit_length()), BLOOM_MOST)
     at = F.explode(F.array(*(F.shiftrightunsigned(key, n).bitwiseAND(F.lit(bits - 1)) for n in (0, 32))))
     words = (
         keys.select(at.alias("at"))
         .groupBy(F.shiftright("at", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
-        .collect()
+        .toArrow()
     )
     table = np.zeros(bits >> 6, np.int64)
-    for word, value in words:
-        table[word] = value
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
     shared = keys.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("boolean")
@@ -116,6 +137,28 @@ def split_by_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> tuple[
     return rest, maybe.join(ids, same, "left_semi")
 
 
+def row_hash(text: str) -> Column:
+    """What tells rows of one identifier apart."""
+    return F.xxhash64(whole(text))
+
+
+def without_rows(docs: DataFrame, verdicts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs` without the rows named in `verdicts` (doc_id, content, stays: one row for each identifier and row_hash).
+
+    Of equal rows that are named and stay, one does. Only rows that pass a filter of bounded size are shuffled.
+    """
+    verdicts = written(verdicts.select(F.col("doc_id").alias("__llm_id"), F.col("content").alias("__llm_content"), F.col("stays").alias("__llm_stays")))
+    holds = bloom(verdicts.select(F.xxhash64("__llm_id", "__llm_content").alias("h")))
+    marked = docs.withColumns({"__llm_own": F.col(key).cast("long"), "__llm_text": row_hash(text)})
+    marked = marked.withColumn("__llm_maybe", holds(F.xxhash64("__llm_own", "__llm_text")))
+    maybe = marked.filter("__llm_maybe")
+    same = F.col("__llm_own").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_text") == F.col("__llm_content"))
+    found = maybe.join(verdicts, same, "left")
+    one = found.filter("__llm_stays").dropDuplicates(["__llm_own", "__llm_text"])
+    parts = (marked.filter("not __llm_maybe"), found.filter("__llm_content is null"), one)
+    return reduce(DataFrame.unionAll, (part.select(*docs.columns) for part in parts))
+
+
 def batches(rows: Iterator[tuple], schema: pa.Schema, size: Callable[[tuple], int] = lambda _: 64, most: int = OUT_BYTES) -> Iterator[pa.RecordBatch]:
     """Rows as Arrow batches of about `most` bytes."""
     held, held_bytes = [], 0

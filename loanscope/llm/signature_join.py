@@ -15,20 +15,23 @@ deviations below the number to be expected at the threshold, so a link is missed
 
 Nulls count as empty texts; texts without words have no set and are linked with nothing. Repeated rows are one class.
 A row without identifier counts as the largest one, so it never stays while another does. An empty table gives no rows.
+Columns of other names are not looked at; `drop_near_copies` returns them as they are.
 """
 
 from __future__ import annotations
 
 import math
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from loanscope.llm.components import components
-from loanscope.llm.shared import batches, bloom, split_by_ids, written
+from loanscope.llm.shared import batches, bloom, in_bloom, lean, row_hash, without_rows, written
 from loanscope.llm.words import mix, odd_numbers, shingle_sets
 
 K = 128
@@ -92,8 +95,8 @@ def _profiles(rule: Rule):
                 ends = np.concatenate([[0], np.cumsum(full)]).astype(np.int32) * (K * 4)
                 cells = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends), flat])
                 yield pa.record_batch(
-                    [batch.column(0).slice(i, j - i), pa.array(size), pa.array(high), pa.array(low), cells],
-                    names=["doc_id", "n_shingles", "cls", "low", "sig"],
+                    [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(size), pa.array(high), pa.array(low), cells],
+                    names=["doc_id", "content", "n_shingles", "cls", "low", "sig"],
                 )
 
     return task
@@ -136,7 +139,7 @@ def _sketch(classes: DataFrame) -> np.ndarray:
 
     kind = "slice int, counts binary"
     out = np.zeros(SKETCH, np.int32).reshape(-1, SLICE)
-    for row in classes.select("sig").mapInArrow(count, kind).repartition("slice").mapInArrow(add, kind).collect():
+    for row in classes.select("sig").mapInArrow(lean(count), kind).repartition("slice").mapInArrow(lean(add), kind).collect():
         out[row.slice] = np.frombuffer(row.counts, np.int32)
     return out.ravel()
 
@@ -148,15 +151,20 @@ def _ordered(sig: np.ndarray, sketch: np.ndarray, prefix: int) -> np.ndarray:
     return np.take_along_axis(tokens, order, 1)
 
 
-def _postings(classes: DataFrame, sketch, prefix: int) -> DataFrame:
+def _postings(classes: DataFrame, sketch, prefix: int, shared=None) -> DataFrame:
+    """(token, cls, n_shingles) of the tokens in each prefix; with a filter's table only of those that it may hold."""
+
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for one in (batch.slice(k, 1024) for k in range(0, batch.num_rows, 1024)):
-                tokens = _ordered(_sig(one.column(2)), sketch.value, prefix)
+                tokens = _ordered(_sig(one.column(2)), sketch.value, prefix).ravel()
                 cls, size = (np.repeat(one.column(k).to_numpy(), prefix) for k in (0, 1))
-                yield pa.record_batch([pa.array(tokens.ravel().view(np.int64)), pa.array(cls), pa.array(size)], names=["token", "cls", "n_shingles"])
+                if shared is not None:
+                    some = in_bloom(shared.value, tokens)
+                    tokens, cls, size = tokens[some], cls[some], size[some]
+                yield pa.record_batch([pa.array(tokens.view(np.int64)), pa.array(cls), pa.array(size)], names=["token", "cls", "n_shingles"])
 
-    return classes.select("cls", "n_shingles", "sig").mapInArrow(task, "token long, cls long, n_shingles long")
+    return classes.select("cls", "n_shingles", "sig").mapInArrow(lean(task), "token long, cls long, n_shingles long")
 
 
 def _near_size(a: str, b: str, rule: Rule):
@@ -172,7 +180,7 @@ def _colliding(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
             same = (_sig(batch.column(2)) == _sig(batch.column(3))).sum(axis=1) >= rule.least
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(same)) for c in batch.columns[:2]], names=["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(task, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "s", "t").mapInArrow(lean(task), "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -185,22 +193,28 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
     left, right = (sets.select(F.col("cls").alias(k), F.col("shingles").alias(v)) for k, v in (("a", "x"), ("b", "y")))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(task, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lean(task), "a long, b long")
+
+
+def _id_hash() -> Column:
+    return F.xxhash64("doc_id")
 
 
 def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """(cls, shingles) of the classes in `wanted` (doc_id, cls), from the text of one document of each."""
 
+    table = bloom(wanted.select(_id_hash().alias("h"))).table
+
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
+            batch = batch.filter(pa.array(in_bloom(table.value, batch.column(2).to_numpy().view(np.uint64))))
             for i, j, hashes, at in shingle_sets(batch.column(1), rule.width):
                 high, _ = set_keys(hashes, at)
                 ends = pa.py_buffer((at * 8).astype(np.int32))
                 cells = pa.Array.from_buffers(pa.binary(), j - i, [None, ends, pa.py_buffer(hashes)])
                 yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(high), cells], names=["doc_id", "cls", "shingles"])
 
-    holds = bloom(wanted.select(F.xxhash64("doc_id").alias("h")))
-    found = rows.filter(holds(F.xxhash64("doc_id"))).mapInArrow(task, "doc_id long, cls long, shingles binary")
+    found = rows.select("doc_id", "text", _id_hash()).mapInArrow(lean(task), "doc_id long, cls long, shingles binary")
     return found.join(wanted, ["doc_id", "cls"]).dropDuplicates(["cls"]).select("cls", "shingles")
 
 
@@ -268,30 +282,64 @@ def _candidates(sketch, rule: Rule):
     return task
 
 
+#: Bytes of sets that a task holds of a group; what comes on top goes to a file of the task.
+HELD_SETS = 32 << 20
+
+
+class _Sets:
+    """Shingle sets by class, the first ones in memory and the others in a temporary file."""
+
+    def __init__(self) -> None:
+        self.held, self.places, self.size, self.file = {}, {}, 0, None
+
+    def __setitem__(self, cls: int, raw: bytes) -> None:
+        if self.size < HELD_SETS:
+            self.held[cls] = raw
+            self.size += len(raw)
+            return
+        self.file = self.file or tempfile.TemporaryFile()
+        self.places[cls] = self.file.seek(0, 2), len(raw)
+        self.file.write(raw)
+
+    def __getitem__(self, cls: int) -> np.ndarray:
+        raw = self.held.get(cls)
+        if raw is None:
+            at, n = self.places[cls]
+            self.file.seek(at)
+            raw = self.file.read(n)
+        return np.frombuffer(raw, np.uint64)
+
+
 def _late_links(rule: Rule):
     """Links (a, b) between components from rows (token, step, i, j, cls, comp, partners, shingles).
 
     Within a group a pair whose components have met already is passed over: only components are asked for.
     """
 
-    def links(group: list[tuple]) -> Iterator[tuple[int, int]]:
-        sets = {r[4]: np.frombuffer(r[7], np.uint64) for r in group}
-        comp, root = {r[4]: r[5] for r in group}, {r[5]: r[5] for r in group}
+    def links(group: Iterator[tuple]) -> Iterator[tuple[int, int]]:
+        sets, comp, asked = _Sets(), {}, []
+        for *_, cls, of, partners, raw in group:
+            sets[cls] = raw
+            comp[cls] = of
+            if partners:
+                asked.append((cls, partners))
+        root = {c: c for c in comp.values()}
 
         def find(c: int) -> int:
             while root[c] != c:
                 root[c] = c = root[root[c]]
             return c
 
-        for row in group:
-            for v in row[6]:
-                a, b = find(comp[row[4]]), find(comp[v])
-                if a != b and _similar(sets[row[4]], sets[v], rule):
+        for cls, partners in asked:
+            for v in partners:
+                a, b = find(comp[cls]), find(comp[v])
+                if a != b and _similar(sets[cls], sets[v], rule):
                     root[a] = b
-                    yield row[4], v
+                    yield cls, v
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = (pair for group in _groups(source) for pair in links(group))
+        rows = (row for batch in source for row in zip(*(c.to_pylist() for c in batch.columns)))
+        found = (pair for _, group in groupby(rows, lambda row: row[:4]) for pair in links(group))
         yield from batches(found, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     return task
@@ -326,15 +374,24 @@ def _mixed_groups(members: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame
     )
 
 
-def near_groups(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of `docs`."""
+def _grouped(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
+    """doc_id, content, n_shingles of every row, and the doc_id and content of the row that stays of its component.
+
+    LAST_ID stands for a missing identifier. Rows without shingles have no component.
+    """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    profiles = written(rows.mapInArrow(_profiles(rule), "doc_id long, n_shingles long, cls long, low long, sig binary"))
+    rows = docs.select(
+        F.coalesce(F.col(key).cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.col(text).cast("string").alias("text"), row_hash(text).alias("content")
+    )
+    kind = "doc_id long, content long, n_shingles long, cls long, low long, sig binary"
+    profiles = written(rows.mapInArrow(lean(_profiles(rule)), kind))
     clash = F.when(F.min("low") != F.max("low"), F.raise_error(F.lit("two sets have one hash")).cast("long")).otherwise(F.min("doc_id"))
     classes = written(
         profiles.filter("n_shingles > 0").groupBy("cls")
-        .agg(clash.alias("min_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
+        .agg(
+            clash.alias("min_id"), F.min(F.struct("doc_id", "content")).alias("least"), F.first("n_shingles").alias("n_shingles"),
+            F.first("sig").alias("sig"),
+        )
     )
     sketch = spark.sparkContext.broadcast(_sketch(classes))
     postings = _postings(classes, sketch, rule.prefix)
@@ -343,8 +400,8 @@ def near_groups(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text:
         .agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("hub"), F.min_by("n_shingles", "cls").alias("hub_shingles"))
         .filter("size > 1")
     )
-    shared = bloom(lists.select("token"))
-    members = written(postings.filter(shared(F.col("token"))).join(lists, "token"))
+    shared = bloom(lists.select("token")).table
+    members = written(_postings(classes, sketch, rule.prefix, shared).join(lists, "token"))
 
     near = members.filter("cls != hub").filter(_near_size("n_shingles", "hub_shingles", rule))
     stars = near.select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
@@ -358,28 +415,36 @@ def near_groups(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text:
     mixed = _mixed_groups(members, comps, rule).join(classes.select("cls", "sig"), "cls")
     mixed = mixed.select(*GROUP, "block", "bucket", "cls", "comp", "n_shingles", "sig").repartition(*GROUP).sortWithinPartitions(*GROUP)
     kind = "token long, step int, i int, j int, cls long, comp long, partners array<long>"
-    candidates = written(mixed.mapInArrow(_candidates(sketch, rule), kind))
+    candidates = written(mixed.mapInArrow(lean(_candidates(sketch, rule)), kind))
     if candidates.take(1):
         late = candidates.select("cls").distinct().join(touched, "cls", "left_anti")
         both = sets.unionAll(_sets(rows, ids.join(late, "cls"), rule))
         laid = candidates.join(both, "cls").select(*GROUP, "cls", "comp", "partners", "shingles").repartition(*GROUP).sortWithinPartitions(*GROUP)
-        more = written(laid.mapInArrow(_late_links(rule), "a long, b long"))
+        more = written(laid.mapInArrow(lean(_late_links(rule)), "a long, b long"))
         comps = written(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)))
 
-    found = classes.select("cls", "min_id").join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+    found = classes.select("cls", "least").join(comps.withColumnRenamed("node", "cls"), "cls", "left")
     found = found.withColumn("component", F.coalesce("component", "cls"))
-    least = found.groupBy("component").agg(F.min("min_id").alias("component_id"))
-    found = found.join(least, "component").select("cls", "component_id")
-    whole = profiles.select("doc_id", "n_shingles", "cls").join(found, "cls", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    named_id = lambda c: F.when(c != LAST_ID, c)
-    return whole.select(
-        named_id(F.col("doc_id")).alias("doc_id"), "n_shingles", named_id(component).alias("component_id"), (F.col("doc_id") == component).alias("kept")
+    stays = found.groupBy("component").agg(F.min("least").alias("stays"))
+    found = found.join(stays, "component").select("cls", "stays")
+    return profiles.select("doc_id", "content", "n_shingles", "cls").join(found, "cls", "left").drop("cls")
+
+
+def _named(c: Column) -> Column:
+    return F.when(c != LAST_ID, c)
+
+
+def near_groups(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row of `docs`."""
+    component = F.when(F.col("n_shingles") > 0, F.col("stays.doc_id")).otherwise(F.col("doc_id"))
+    return _grouped(docs, rule, key, text).select(
+        _named(F.col("doc_id")).alias("doc_id"), "n_shingles", _named(component).alias("component_id"), (F.col("doc_id") == component).alias("kept")
     )
 
 
 def drop_near_copies(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with one document of each group; only texts near the dropped identifiers' filter are shuffled."""
-    groups = near_groups(docs, rule, key, text)
-    state = groups.groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    return split_by_ids(docs, state.filter("not kept").select("doc_id"), key)[0]
+    """`docs` with one row of each group, the one with the smallest identifier, whatever other rows share that."""
+    rows = _grouped(docs, rule, key, text).filter("n_shingles > 0").groupBy("doc_id", "content", "stays").agg(F.count(F.lit(1)).alias("n"))
+    stays = (F.col("doc_id") == F.col("stays.doc_id")) & (F.col("content") == F.col("stays.content"))
+    verdicts = rows.select(_named(F.col("doc_id")).alias("doc_id"), "content", stays.alias("stays"), "n").filter("n > 1 or not stays")
+    return without_rows(docs, verdicts, key, text)

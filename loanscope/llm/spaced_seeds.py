@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loanscope.llm.shared import bloom, in_bloom, split_by_ids, whole, written
+from loanscope.llm.shared import bloom, in_bloom, lean, split_by_ids, whole, written
 from loanscope.llm.words import NO_SIGN, blocks, find_words, hash_words, mix, odd_numbers, text_bytes
 
 SHORT = 8
@@ -177,23 +177,23 @@ def _content(key: str, text: str) -> Column:
 def _overlaps(docs: DataFrame, benchmark: DataFrame, key: str, text: str) -> DataFrame:
     """doc_id, content, number, item_id, agreeing, aligned, token_at, item_tokens of every overlap, on every diagonal."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.mapInArrow(_items, "item_id long, n_tokens int, tokens binary").filter("n_tokens > 0")
+    items = items.mapInArrow(lean(_items), "item_id long, n_tokens int, tokens binary").filter("n_tokens > 0")
     items = items.groupBy("tokens", "n_tokens").agg(F.min("item_id").alias("item_id"))
     items = written(items.withColumn("number", F.monotonically_increasing_id()))
     lengths = tuple(r.n for r in items.select(F.least("n_tokens", F.lit(WINDOW)).alias("n")).distinct().collect())
-    marks = written(items.select("number", "tokens").mapInArrow(_item_seeds, "seed long, number long, item_at int"))
+    marks = written(items.select("number", "tokens").mapInArrow(lean(_item_seeds), "seed long, number long, item_at int"))
     table = bloom(marks.select("seed").distinct()).table
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), _content(key, text).alias("content"))
     kind = "doc_id long, content long, start long, tokens binary, seeds array<long>, places array<int>"
     segments = written(
-        rows.mapInArrow(_segments(table, lengths), kind).withColumn("segment", F.xxhash64("content", "start", "tokens"))
+        rows.mapInArrow(lean(_segments(table, lengths)), kind).withColumn("segment", F.xxhash64("content", "start", "tokens"))
     )
     hits = segments.select("segment", F.explode(F.arrays_zip("seeds", "places")).alias("h")).select("segment", F.col("h.seeds").alias("seed"), F.col("h.places").alias("place"))
     pairs = hits.join(marks, "seed").select("segment", "number", (F.col("place") - F.col("item_at")).alias("diagonal")).distinct()
     texts = segments.select("segment", "doc_id", "content", "start", "tokens").dropDuplicates(["segment"])
     laid = pairs.join(items.select("number", "item_id", F.col("tokens").alias("item")), "number").join(texts, "segment")
     return laid.select("doc_id", "content", "start", "tokens", "number", "item_id", "item", "diagonal").mapInArrow(
-        _verify, "doc_id long, content long, number long, item_id long, agreeing int, aligned int, token_at long, item_tokens int"
+        lean(_verify), "doc_id long, content long, number long, item_id long, agreeing int, aligned int, token_at long, item_tokens int"
     )
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from loanscope.llm.shared import batches, split_by_ids, whole
+from loanscope.llm.shared import batches, lean, split_by_ids, whole, written
 from loanscope.llm.words import text_bytes
 
 #: Bytes that a trie may hold before a subtree is spilled, and before a map task hands on what it has combined.
@@ -251,12 +251,12 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", trie_
     """One row per row of `docs`: doc_id, points, keep_id, group_size, kept, text_sha256."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     owners = (
-        rows.mapInArrow(_combine(min(trie_bytes, COMBINE_BYTES)), _spark_schema(TEXTS))
+        rows.mapInArrow(lean(_combine(min(trie_bytes, COMBINE_BYTES))), _spark_schema(TEXTS))
         .repartition("n_bytes", "digest")
-        .mapInArrow(_own(trie_bytes), _spark_schema(OWNERS))
+        .mapInArrow(lean(_own(trie_bytes)), _spark_schema(OWNERS))
     )
     members = (
-        rows.mapInArrow(_members, _spark_schema(MEMBERS)).groupBy(*MEMBERS.names).agg(F.count(F.lit(1)).alias("repeats"))
+        rows.mapInArrow(lean(_members), _spark_schema(MEMBERS)).groupBy(*MEMBERS.names).agg(F.count(F.lit(1)).alias("repeats"))
     )
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points"))
     return (
@@ -271,7 +271,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", trie_
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` without exact copies, all columns kept; only texts whose identifier has a dropped row are shuffled."""
-    groups = exact_groups(docs, key, text)
+    groups = written(exact_groups(docs, key, text).select("doc_id", "points", "kept", "text_sha256"))
     rest, touched = split_by_ids(docs, groups.filter("not kept").select("doc_id"), key)
     squeezed = F.regexp_replace(whole(text), "[\\x20\\x09-\\x0D]", "")
     marked = touched.withColumns({"__llm_sha": F.sha2(squeezed.cast("binary"), 256), "__llm_points": F.length(whole(text))})
