@@ -28,7 +28,7 @@ from loanscope.llm.words import blocks, hash_words, text_bytes
 #: Symbols up to which segments run side by side; longer ones have a heap each.
 SIDE_BY_SIDE = 40
 #: Bytes of text whose equal segments are encoded once.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 #: Distinct segments whose ids a task keeps from block to block.
 CACHED = 400_000
 EMPTY = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))

@@ -13,8 +13,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Bits of a Bloom filter at least and at most (16 MB), and per key in between. Beyond 13 million keys more rows pass.
-BLOOM_LEAST, BLOOM_MOST, BLOOM_PER_KEY = 1 << 16, 1 << 27, 10
+#: Bits of a Bloom filter at least and at most (1 and 16 MB), and per key in between. Beyond 8 million keys more rows pass.
+BLOOM_LEAST, BLOOM_MOST, BLOOM_PER_KEY = 1 << 23, 1 << 27, 16
 #: Bytes of text in an Arrow batch that a task hands back.
 OUT_BYTES = 4 << 20
 
