@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Texts that stand for "no value" in the raw extracts.
 MISSING_DATE_TEXT = "None"
@@ -27,26 +29,36 @@ def na_to_null(column: Column) -> Column:
     return F.when(~column.isin(*NA_TOKENS), column)
 
 
-def parse_us_date(text: str, lenient: bool = False) -> Column:
-    """``m/d/yyyy`` text (a SQL expression), with or without leading zeros.
+def _us_date(text: str) -> str:
+    """SQL for ``m/d/yyyy`` text as a date, NULL for any other. The text is named once: each use is generated anew."""
+    return f"try_to_date({text}, 'M/d/yyyy')"
 
-    Bad text is an error unless lenient. The strict form takes the parts between
-    the slashes instead of going through a date pattern, at less than half the
-    cost per row; a part that is no number or out of range still fails, also in
-    a session without ANSI mode, which would make it NULL.
-    """
+
+def parse_optional_us_date(text: str, lenient: bool = False) -> Column:
+    """``m/d/yyyy`` text (a SQL expression) as a date, 'None' as NULL; bad text is an error unless lenient."""
     if lenient:
-        return F.expr(f"try_to_date({text}, 'M/d/yyyy')")
-    month, year = f"substring_index({text}, '/', 1)", f"substring_index({text}, '/', -1)"
-    day = f"substring({text}, length({month}) + 2, length({text}) - length({month}) - length({year}) - 2)"
-    full_year = f"if(length({year}) = 4, {year}, {text})"
-    made = f"make_date(cast({full_year} as int), cast({month} as int), cast({day} as int))"
+        return F.expr(_us_date(text))
     bad = f"cast(raise_error(concat('bad date: ', {text})) as date)"
-    return F.expr(f"if({text} is null, null, coalesce({made}, {bad}))")
+    return F.expr(f"if({text} is null or {text} = '{MISSING_DATE_TEXT}', null, coalesce({_us_date(text)}, {bad}))")
 
 
-def parse_optional_us_date(text: str, lenient: bool = False) -> Column:
-    return parse_us_date(f"nullif({text}, '{MISSING_DATE_TEXT}')", lenient)
+def with_us_dates(df: DataFrame, plain: Sequence[str], optional: Sequence[str] = (), lenient: bool = False) -> DataFrame:
+    """Text columns of ``m/d/yyyy``, with or without leading zeros, as dates; in ``optional`` ones 'None' means NULL.
+
+    Bad text is an error unless lenient. Each cell is parsed once, in a projection
+    of its own; the next one only looks for cells that have text and no date.
+    """
+    names = [*plain, *optional]
+    parsed = {f"_date_{name}": F.expr(_us_date(f"`{name}`")) for name in names}
+    if lenient:
+        return df.withColumns({name: parsed[f"_date_{name}"] for name in names})
+
+    def checked(name: str) -> Column:
+        missing = f"`{name}` is null" + (f" or `{name}` = '{MISSING_DATE_TEXT}'" if name in optional else "")
+        bad = f"cast(raise_error(concat('bad date: ', `{name}`)) as date)"
+        return F.expr(f"if(`_date_{name}` is not null or {missing}, `_date_{name}`, {bad})")
+
+    return df.withColumns(parsed).withColumns({name: checked(name) for name in names}).drop(*parsed)
 
 
 def cell_to_date(column: Column) -> Column:

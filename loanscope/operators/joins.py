@@ -5,8 +5,8 @@ straight from shuffles on the join key; in a chain of joins on one key, or below
 a union or window, it does not. The joins here deal rows out themselves: the
 number of rows of each key and side comes from one aggregate over the key
 columns, combined map-side. A key with more than HOT_ROWS rows on a side has
-them dealt to several pieces by a hash of the row, and the matching rows of the
-other side go to each of these pieces; all other keys have one piece. Joins run
+them dealt to several pieces by a hash of the row and its place among equal ones,
+and the matching rows of the other side go to each of these pieces; all other keys have one piece. Joins run
 on (key, pieces), so a hot key never lands in one task, wherever the join stands.
 
 Outer joins are inner joins over sides that have first been completed with the
@@ -55,8 +55,10 @@ def split_join(left: DataFrame, right: DataFrame, key: str, sizes: DataFrame, le
     hot = hot.where("_lefts > 1 or _rights > 1")  # at most one key per HOT_ROWS rows
 
     def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
-        # the same for a row whenever its task runs again; equal rows are told apart by where they stand
-        seeded = df.withColumn("_seed", F.xxhash64(*df.columns, F.spark_partition_id()))
+        # Equal rows are told apart by their place among the rows of their partition in the order of a hash. They are
+        # interchangeable, so a task that runs again deals out the same rows, in whatever order it met them.
+        hashed = df.withColumn("_seed", F.xxhash64(*df.columns)).sortWithinPartitions("_seed")
+        seeded = hashed.withColumn("_seed", F.xxhash64("_seed", F.monotonically_increasing_id()))
         mine = F.pmod("_seed", F.coalesce(f"_{own}s", F.lit(1))).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.coalesce(f"_{other}s", F.lit(1)) - 1))
         return seeded.join(hot, key, "left").select(*df.columns, mine.alias(f"_{own}"), every.alias(f"_{other}"))

@@ -20,13 +20,9 @@ def credit_snapshots(raw: DataFrame, *extra: str, lenient_dates: bool = False) -
     if "snapshot_date" in raw.columns:
         return raw
 
-    dates = {name: cleaning.parse_us_date(name, lenient_dates) for name in schemas.CREDIT_DATES}
-    dates |= {
-        name: cleaning.parse_optional_us_date(name, lenient_dates)
-        for name in schemas.CREDIT_OPTIONAL_DATES
-    }
     kept = raw.select(*schemas.CREDIT.fieldNames(), *extra)
-    return kept.withColumns(dates).withColumnsRenamed(schemas.CREDIT_RENAMES)
+    dated = cleaning.with_us_dates(kept, schemas.CREDIT_DATES, schemas.CREDIT_OPTIONAL_DATES, lenient_dates)
+    return dated.withColumnsRenamed(schemas.CREDIT_RENAMES)
 
 
 def latest_snapshot(facts: DataFrame) -> Column:
