@@ -7,17 +7,14 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanscope.plans import marts, quality
+from loanscope.plans import marts, quality, states
 from loanscope.sinks import export, tables
 from loanscope.sources import files, schemas
 from loanscope.sources.derived import RawTables
 from loanscope.streaming import ingest
 
-MARTS = {
-    "mart_portfolio_performance": marts.portfolio_performance,
-    "mart_cohort_analysis": marts.cohort_analysis,
-    "mart_credit_vs_nps": marts.credit_vs_nps,
-}
+#: Marts built from all facts; those of ``states.KINDS`` come from stored states of each batch.
+MARTS = {"mart_credit_vs_nps": marts.credit_vs_nps}
 
 
 def stored_inputs(
@@ -45,15 +42,17 @@ def run(
     spark: SparkSession, raw_dir: str, out_dir: str, survey_headers: dict[str, str] | None = None,
     database: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Ingest new snapshots, rebuild and store the marts, export them, run the checks."""
+    """Ingest new snapshots, bring the marts up to date and replace each as one act, export them, run the checks."""
     seen = ingest.ingest(spark, raw_dir, f"{out_dir}/ingested")
+    states.update(spark, f"{out_dir}/ingested")
     facts = ingest.facts(spark, f"{out_dir}/ingested").drop("snapshot_table")
     raw = stored_inputs(spark, raw_dir, out_dir, facts, survey_headers, database)
     stored = {}
-    for name, build in MARTS.items():
-        stored[name] = tables.save_parquet(build(raw), f"{out_dir}/marts/{name}")
+    built = {name: states.mart(spark, f"{out_dir}/ingested", name, raw) for name in states.KINDS}
+    for name, mart in {**built, **{name: build(raw) for name, build in MARTS.items()}}.items():
+        stored[name] = tables.replace_table(mart, f"{out_dir}/marts/{name}")
         if database:
-            tables.name_table(spark, f"{database}.{name}", f"{out_dir}/marts/{name}")
+            tables.name_table(spark, f"{database}.{name}", tables.version_path(spark, f"{out_dir}/marts/{name}"))
     exports = [
         replace(item, build=lambda _, table=stored[item.name]: table) if item.name in stored else item
         for item in export.EXPORTS

@@ -27,10 +27,10 @@ def _mean(total: str, count: str) -> Column:
     return _weighted(total) / F.nullif(_weighted(count), F.lit(0.0))
 
 
-def portfolio_loans(facts: DataFrame, raw: RawTables) -> DataFrame:
-    """(snapshot, loan) rows with fact sums, flags and join weight."""
-    loans = loan_grain.fact_loans(
-        facts, "snapshot_date",
+def portfolio_states(facts: DataFrame, *extra: str) -> DataFrame:
+    """(snapshot, loan) rows with fact sums and flags."""
+    return loan_grain.fact_loans(
+        facts, "snapshot_date", *extra,
         measures=[
             F.sum("balance").alias("balance"),
             F.sum("total_paid").alias("paid"),
@@ -43,7 +43,11 @@ def portfolio_loans(facts: DataFrame, raw: RawTables) -> DataFrame:
             F.bit_or(FACT_FLAGS.pack()).alias(FACT_FLAGS.column),
         ],
     )
-    return loan_grain.weigh(loans, loan_grain.customer_profile(raw))
+
+
+def portfolio_loans(facts: DataFrame, raw: RawTables) -> DataFrame:
+    """(snapshot, loan) rows with fact sums, flags and join weight."""
+    return loan_grain.weigh(portfolio_states(facts), loan_grain.customer_profile(raw))
 
 
 def portfolio_performance(raw: RawTables, latest_only: bool = False) -> DataFrame:
@@ -51,7 +55,13 @@ def portfolio_performance(raw: RawTables, latest_only: bool = False) -> DataFram
     facts = staging.credit_snapshots(raw.credit_data)
     if latest_only:
         facts = staging.at_latest_snapshot(facts)
-    loans = portfolio_loans(facts, raw).withColumns({
+    return portfolio_of(portfolio_states(facts), raw)
+
+
+def portfolio_of(states: DataFrame, raw: RawTables) -> DataFrame:
+    """The portfolio table from one state per (snapshot, loan)."""
+    weighed = loan_grain.weigh(states, loan_grain.customer_profile(raw))
+    loans = weighed.withColumns({
         mask: loan_grain.loan_flags(mask) for mask in (FACT_FLAGS.column, SALE_FLAGS.column)
     })
     levels, dues, buckets = FACT_FLAG_NAMES[:4], FACT_FLAG_NAMES[4:7], FACT_FLAG_NAMES[7:]
@@ -85,12 +95,13 @@ def with_cohorts(facts: DataFrame) -> DataFrame:
     return facts.withColumns({"cohort_quarter": start, "cohort_age_quarters": age})
 
 
-def cohort_analysis(raw: RawTables) -> DataFrame:
-    """One row per sale quarter, cohort age and snapshot."""
-    facts = with_cohorts(staging.credit_snapshots(raw.credit_data))
-    keys = ["cohort_quarter", "cohort_age_quarters", "snapshot_date"]
-    loans = loan_grain.fact_loans(
-        facts.where(F.col("cohort_quarter").isNotNull()), *keys,
+COHORT_KEYS = ("cohort_quarter", "cohort_age_quarters", "snapshot_date")
+
+
+def cohort_states(facts: DataFrame, *extra: str) -> DataFrame:
+    """(cohort, loan) rows with fact sums and flags."""
+    return loan_grain.fact_loans(
+        with_cohorts(facts).where(F.col("cohort_quarter").isNotNull()), *COHORT_KEYS, *extra,
         measures=[
             F.sum("total_paid").alias("paid"),
             F.count("total_paid").alias("n_paid"),
@@ -102,7 +113,17 @@ def cohort_analysis(raw: RawTables) -> DataFrame:
             F.bit_or(FACT_FLAGS.pack()).alias(FACT_FLAGS.column),
         ],
     )
-    weighed = loan_grain.weigh(loans, loan_grain.customer_profile(raw))
+
+
+def cohort_analysis(raw: RawTables) -> DataFrame:
+    """One row per sale quarter, cohort age and snapshot."""
+    return cohort_of(cohort_states(staging.credit_snapshots(raw.credit_data)), raw)
+
+
+def cohort_of(states: DataFrame, raw: RawTables) -> DataFrame:
+    """The cohort table from one state per (cohort, loan)."""
+    keys = COHORT_KEYS
+    weighed = loan_grain.weigh(states, loan_grain.customer_profile(raw))
     weighed = weighed.withColumn(FACT_FLAGS.column, loan_grain.loan_flags(FACT_FLAGS.column))
     metrics = weighed.groupBy(*keys).agg(
         F.sum("is_loan").alias("cohort_size"),

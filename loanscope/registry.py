@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from loanscope import pipeline
 from loanscope.functions import bands, calendar, cleaning, money
 from loanscope.operators import joins
 from loanscope.operators.shares import percent_of_total
-from loanscope.plans import enrich, marts, quality, reports, segments, staging
+from loanscope.plans import enrich, marts, quality, reports, segments, staging, states
 from loanscope.plans.staging import KEY
 from loanscope.session import configure
 from loanscope.sinks import export, tables
@@ -287,10 +288,10 @@ def _optional_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionAll, counted)
 
 
-def _ingested(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+def _ingested(spark: SparkSession, sf_dir: str, after: Callable[[str], object] = lambda target: None) -> tuple[str, DataFrame]:
     """Three snapshots, one of them in part; then its late part files, the other two and a second file for the first.
 
-    Returns the folder of the ingested tables and the ledger.
+    Returns the folder of the ingested tables and the ledger; ``after`` is called after each ingest.
     """
     folder, target = scratch_dir(spark), scratch_dir(spark)
     snapshots = list(sample_files.snapshot_rows(raw_tables(spark, sf_dir)).items())
@@ -298,11 +299,37 @@ def _ingested(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     for n, (table, df) in enumerate(snapshots[:3]):
         sample_files.write_snapshot(df.where(early) if n == 1 else df, folder, table)
     ingest.ingest(spark, folder, target)
+    after(target)
     sample_files.write_snapshot(snapshots[1][1].where(~early), folder, snapshots[1][0], mode="append")
     for table, df in snapshots[3:]:
         sample_files.write_snapshot(df, folder, table)
     sample_files.write_snapshot(snapshots[0][1], folder, snapshots[0][0], suffix=" (copy)")
-    return target, ingest.ingest(spark, folder, target)
+    ledger = ingest.ingest(spark, folder, target)
+    after(target)
+    return target, ledger
+
+
+def _from_states(name: str) -> Query:
+    """A mart from the states of two ingests, the second with late rows of a snapshot of the first."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        target, _ = _ingested(spark, sf_dir, lambda target: states.update(spark, target))
+        return states.mart(spark, target, name, raw_tables(spark, sf_dir))
+
+    return query
+
+
+def _replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced by one that reads its rows, and after that a replacement that fails half way."""
+    mart, path = marts.cohort_analysis(raw_tables(spark, sf_dir)), f"{scratch_dir(spark)}/mart"
+    tables.replace_table(mart.where("cohort_age_quarters = 0"), path)
+    young = tables.current_table(spark, path)
+    tables.replace_table(young.unionAll(mart.where("cohort_age_quarters <> 0")), path)
+    fails = F.when(F.col("cohort_age_quarters") > 0, F.raise_error(F.lit("fails half way")).cast("bigint"))
+    try:
+        tables.replace_table(mart.withColumn("cohort_size", F.coalesce(fails, "cohort_size")), path)
+    except PySparkException:
+        return tables.current_table(spark, path)
+    raise AssertionError("the replacement should have failed")
 
 
 def _load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -420,6 +447,9 @@ ON_FILES: dict[str, Query] = {
     "cat_snapshot_counts": _snapshot_counts,
     "cat_union_snapshots": _union_of_tables,
     "sink_mart_table": _mart_table,
+    "sink_replaced_table": _replaced_table,
+    "mart_portfolio_from_states": _from_states("mart_portfolio_performance"),
+    "mart_cohort_from_states": _from_states("mart_cohort_analysis"),
     "sink_csv_export": _csv_export,
     "sink_csv_content": _csv_content,
     "sink_export_isolation": _export_isolation,

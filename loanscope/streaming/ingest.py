@@ -50,6 +50,15 @@ def facts(spark: SparkSession, table_dir: str) -> DataFrame:
     return stored.select(columns)
 
 
+def batch_facts(spark: SparkSession, table_dir: str, batches: list[int]) -> DataFrame:
+    """Conformed facts of some batches, with the number of each; partitions of other batches are not read."""
+    conformed = staging.credit_snapshots(spark.createDataFrame([], schemas.CREDIT)).withColumn(BATCH, F.lit(0).cast("bigint"))
+    if not batches:
+        return conformed
+    stored = spark.read.schema(conformed.schema).parquet(f"{table_dir}/{FACTS}")
+    return stored.where(F.col(BATCH).isin(batches)).select(conformed.columns)
+
+
 def latest_facts(spark: SparkSession, table_dir: str) -> DataFrame:
     """The facts of the newest snapshot date: it comes from partition values, and only its partitions are read."""
     return staging.at_latest_snapshot(facts(spark, table_dir))

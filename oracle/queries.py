@@ -377,6 +377,9 @@ FILES = {
         (select count(distinct snapshot_date) from snap) tables_detected from snap group by all""",
     "cat_union_snapshots": "select * from snap",
     "sink_mart_table": COHORT,
+    "sink_replaced_table": COHORT,
+    "mart_portfolio_from_states": _portfolio("*"),
+    "mart_cohort_from_states": COHORT,
     "sink_csv_content": f"""select *, row_number() over (order by cohort_quarter nulls last, snapshot_date nulls last,
         cohort_age_quarters nulls last) as position from ({COHORT})""",
     "sink_export_isolation": """select 'fails_in_python' export, 'SKIP' status, null::bigint "rows", true has_reason
