@@ -40,7 +40,7 @@ with d as (
 ), every as (
   select * from base union all select * from bare
 ), owned as (
-  select v, count(distinct source) <= 2 as live from every group by v
+  select v, count(distinct coalesce(source, chr(1))) <= 2 and count(distinct coalesce(doc_id::varchar, '')) <= 10 as live from every group by v
 ), judged as (
   select every.*, live, name || ':' || cast(s as bigint) || ':' || cast(e as bigint) as listed
   from every join owned using (v) join patterns using (kind) where kind < 3 or live

@@ -59,3 +59,9 @@ def test_empty_table_and_native_plan(spark, sf_dir, capsys):
     assert secrets(none).count() == 0
     secrets(spark.read.parquet(f"{sf_dir}/documents.parquet")).explain()
     assert not any(w in capsys.readouterr().out for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_long_runs_take_linear_time(spark):
+    docs = spark.createDataFrame([(1, "k" * 1_000_000, "s"), (2, "k" * 500_000 + "7", "s")], "doc_id long, text string, source string")
+    rows = {r.doc_id: r for r in secrets(docs).collect()}
+    assert rows[1].spans == "" and rows[2].spans == "bare:0:500001"
