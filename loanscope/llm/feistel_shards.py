@@ -6,7 +6,8 @@ at most, and whose every position can be computed, and inverted, without a look
 pairs (x, y) with x < a, y < b and a * b >= N as small as that goes; what lands at N or above walks on along its cycle.
 
 Numbering needs no global sort: rows are counted per hash bucket, and the offset of a bucket (one row each, a fixed
-number of them) is added to the number within. Equal rows are counted before they are shuffled and spread after.
+number of them) is added to the number within. Equal rows are counted before they are shuffled; many of them are dealt
+over all partitions in runs before each gets its number. Documents are read once.
 
 A null text has size 8 and the checksum of an empty text; a null identifier is a value of its own. Repeated rows have
 places of their own. An empty table gives no rows. `rows` is the law that holds, so grown_shard is null.
@@ -18,7 +19,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from loanscope.llm.shared import whole
+from loanscope.llm.shared import repeated, whole, written
 
 BUCKETS = 4096
 ROUNDS = 6
@@ -87,18 +88,16 @@ def permuted(df: DataFrame, column: str, n: int, seed: int = 1, back: bool = Fal
 def numbered(rows: DataFrame, columns: list[str]) -> tuple[DataFrame, int]:
     """`columns` of all rows with a reproducible `number` from 0 to n - 1, and n."""
     kinds = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("repeats"))
-    kinds = kinds.withColumn("bucket", F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)))
+    kinds = written(kinds.withColumn("bucket", F.pmod(F.xxhash64(*columns), F.lit(BUCKETS))))
     counts = kinds.groupBy("bucket").agg(F.sum("repeats").alias("rows"))
     # at most BUCKETS rows, whatever the input
     before = F.sum("rows").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("bucket", F.coalesce(before, F.lit(0)).alias("offset"), "rows")
     n = counts.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     within = F.sum("repeats").over(Window.partitionBy("bucket").orderBy(*columns))
-    out = (
-        kinds.withColumn("upto", within)
-        .join(F.broadcast(offsets.select("bucket", "offset")), "bucket")
-        .select(*columns, F.explode(F.sequence(F.col("offset") + F.col("upto") - F.col("repeats"), F.col("offset") + F.col("upto") - 1)).alias("number"))
-    )
+    placed = kinds.withColumn("upto", within).join(F.broadcast(offsets.select("bucket", "offset")), "bucket")
+    placed = placed.withColumn("first", F.col("offset") + F.col("upto") - F.col("repeats"))
+    out = repeated(placed, "repeats", "nth").select(*columns, (F.col("first") + F.col("nth")).alias("number"))
     return out, n
 
 

@@ -80,7 +80,9 @@ def repeated(df: DataFrame, times: str, nth: str, run: int = 4096) -> DataFrame:
     """
     runs = df.withColumn("__llm_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / run).cast("long"))))
     many = runs.filter(F.col(times) > run)
-    runs = runs.filter(F.col(times) <= run).unionAll(many.repartition(*many.columns))
+    # a fixed number of partitions: the runs are few and small, but not what they become
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = runs.filter(F.col(times) <= run).unionAll(many.repartition(spread, *many.columns))
     first = F.col("__llm_run") * run
     last = F.least(first + run, F.col(times)) - 1
     return runs.withColumn(nth, F.explode(F.sequence(first, last))).drop("__llm_run", times)

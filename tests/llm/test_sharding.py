@@ -39,3 +39,11 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark, sf_dir, capsys):
     feistel_shards.shards(spark.read.parquet(f"{sf_dir}/documents.parquet")).explain()
     assert not any(w in capsys.readouterr().out for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_many_equal_rows_leave_several_tasks(spark):
+    docs = spark.range(0, 300_000, 1, 4).select(F.lit(7).cast("long").alias("doc_id"), F.lit("copy").alias("text"))
+    rows = feistel_shards.shards(docs, k=24).withColumn("place", F.spark_partition_id())
+    sizes = [r["count"] for r in rows.groupBy("place").count().collect()]
+    assert sum(sizes) == 300_000 and max(sizes) < 200_000
+    assert rows.select("shard", "slot").distinct().count() == 300_000
