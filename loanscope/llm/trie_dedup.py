@@ -47,12 +47,12 @@ class Owner:
             self.points, self.ident = other.points, other.ident
 
     def pack(self) -> bytes:
-        return struct.pack("<QQQ", self.rows, self.points, self.ident + (1 << 63)) + self.digest
+        return struct.pack("<QQ", self.rows, self.points) + self.ident.to_bytes(9, "little", signed=True) + self.digest
 
     @classmethod
     def unpack(cls, raw: bytes) -> Owner:
-        rows, points, ident = struct.unpack("<QQQ", raw[:24])
-        return cls(rows, points, ident - (1 << 63), raw[24:])
+        rows, points = struct.unpack("<QQ", raw[:16])
+        return cls(rows, points, int.from_bytes(raw[16:25], "little", signed=True), raw[25:])
 
 
 class Node:
@@ -109,13 +109,12 @@ class PatriciaTrie:
                 break
             node = inner[0]
         node = max(inner, key=_weight)
-        if not node.below:
-            return
         freed, file = _weight(node), tempfile.TemporaryFile()
-        for suffix, owner in _walk(node, b""):
+        for suffix, owner in _walk(node, node.label[1:]):
             _append(file, suffix, owner)
-        node.below, node.owner, node.file = {}, None, file
-        self.held -= freed
+        # its first byte leads to the file; a long key of its own doesn't stay either
+        node.label, node.below, node.owner, node.file = node.label[:1], {}, None, file
+        self.held -= freed - NODE_BYTES - 1
 
     def owners(self) -> Iterator[tuple[bytes, Owner]]:
         """All (text, owner), spilled subtrees after the others."""

@@ -61,3 +61,13 @@ def test_trie_with_spill(keys, most):
         trie.insert(key, Owner(1, 0, k, b"d"))
     found = sorted((text, o.rows, o.ident) for text, o in trie.owners())
     assert found == sorted((key, n, keys.index(key)) for key, n in Counter(keys).items())
+
+
+def test_long_key_is_spilled():
+    trie, digest = trie_dedup.PatriciaTrie(200_000), b"d" * 32
+    keys = [b"x" * 150_000, *(b"y%06d" % i + b"z" * 300 for i in range(3000)), b"x" * 150_000 + b"more", b"x"]
+    for n, key in enumerate(keys):
+        trie.insert(key, trie_dedup.Owner(1, len(key), n, digest))
+        assert trie.held < 200_000 + 160_000
+    assert trie.held <= 200_000
+    assert sorted(text for text, _ in trie.owners()) == sorted(keys)
