@@ -9,8 +9,8 @@ The masks were chosen by enumeration for each item length up to WINDOW: whatever
 that is still good enough, some mask at some place of the window ignores them all. Longer items hold such a window.
 
 A Bloom filter of fixed size with the items' seeds keeps other positions out of the join, whose matches are exact.
-Equal items are one, named by the smallest item_id. Items of fewer than 8 tokens are found only as a document's whole
-token sequence, since less can't be told from chance. Items and documents without tokens match nothing. Null texts count
+Equal items are one, named by the smallest item_id. Items of 5 to 7 tokens are found at every place where all their
+tokens stand, shorter ones only as a document's whole token sequence, since less can't be told from chance. Items and documents without tokens match nothing. Null texts count
 as empty. Repeated rows give one row. Rows without identifier keep a null; each item without one is an item of its own.
 """
 
@@ -25,11 +25,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from loanscope.llm.shared import bloom, in_bloom, lean, split_by_ids, whole, written
 from loanscope.llm.words import NO_SIGN, blocks, find_words, hash_words, mix, odd_numbers, text_bytes
 
-SHORT = 8
+#: Items of fewer tokens are found only as a whole document, those of fewer than EXACT tokens only without substitutions.
+SHORT, EXACT = 5, 8
 WINDOW = 13
 SHARE = 0.8
 #: Fixed masks by item length, the last for all longer ones: 1 takes part, 0 is ignored.
 MASKS = {
+    5: ("11111",),
+    6: ("111111",),
+    7: ("1111111",),
     8: ("110111", "11011001"),
     9: ("1110111", "11011101"),
     10: ("110111", "1101011", "10100111"),
@@ -144,7 +148,7 @@ def agreement(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, in
     sums = np.concatenate([[0], np.cumsum(same)])
     window = sums[need:] - sums[:-need]
     at = int(window.argmax())
-    if window[at] < (need if need < SHORT else np.ceil(SHARE * need)):
+    if window[at] < (need if need < EXACT else np.ceil(SHARE * need)):
         return None
     end = at + need
     while at > 0 and same[at - 1]:

@@ -107,3 +107,11 @@ def test_components(spark):
     found = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     alone = {n for n in root if not any(n in p and p[0] != p[1] for p in pairs)}
     assert found == {n: c for n, c in root.items() if n not in alone}
+
+
+def test_one_row_of_a_group_stays_whatever_shares_its_identifier(spark):
+    text = " ".join(f"w{k}" for k in range(100))
+    rows = [(5, text), (5, text + " x"), (5, "something else altogether, that is like nothing here"), (None, text + " y"), (None, "no near copy of any other row is this"), (6, text), (7, ""), (7, "")]
+    docs = spark.createDataFrame([(i, t, "a", "b") for i, t in rows], SCHEMA)
+    kept = [(r.doc_id, r.text) for r in signature_join.drop_near_copies(docs, Rule(5, 80)).collect()]
+    assert len([t for _, t in kept if t.startswith("w0")]) == 1 and len(kept) == 5
