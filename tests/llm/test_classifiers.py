@@ -60,3 +60,27 @@ def test_pairs_order_documents():
     label = np.array([1] * 30 + [0] * 10)
     model = bradley_terry.fit_pairs(x, label, 0.25)
     assert ((model.scores(x) >= bradley_terry.CUT) == (label == 1)).all()
+
+
+def test_fit_finds_a_pair_of_neutral_terms(spark):
+    """Two words stand in half of the toxic and half of the clean documents each; only together or apart do they tell."""
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 10))) for _ in range(2000)]
+    rows, labels = [], []
+    for n in range(4000):
+        text, first = list(rng.choice(words, 40)), rng.integers(2)
+        for word, there in (("gravel", first), ("teapot", first == n % 2)):
+            if there:
+                text.insert(rng.integers(len(text)), word)
+        rows.append((n, " ".join(text)))
+        labels.append((n, n % 2))
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = factorization_machine.fit(docs, known)
+    found = factorization_machine.scored(docs, model).collect()
+    held = [r for r in found if r.held_out]
+    assert len(held) > 700 and np.mean([r.predicted == r.doc_id % 2 for r in held]) >= 0.9
+    for r in held[:50]:  # every score from the plain sum over terms and pairs
+        (_, _, places, owner), = factorization_machine.terms(pa.array([rows[r.doc_id][1]]))
+        at = [k for k, key in enumerate(model.keys) if key in set(places)]
+        z = model.bias + sum(model.linear[k] for k in at) + sum(model.factors[i] @ model.factors[k] for i in at for k in at if i < k)
+        assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-9
