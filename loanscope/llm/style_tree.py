@@ -2,9 +2,12 @@
 
 The element trees of all pages of a host are merged by style: an element's path of tags and class names. For each node
 of the merged tree two entropies tell how much it varies over the pages that have it, each divided by the largest
-possible one: of its presentation (the sequence of styles below it) and of its content (the text below it). The
-importance is a mixture of the two; a node that looks and reads the same on page after page has one near 0. Branches of
-low importance are removed from each page, inside articles too. A prior by tag, role and class or id words is the other
+possible one. Its presentation has the entropy of the sequence of styles below it. Its content is made of features: the
+text runs between tags, cut at sentence ends and separators. A feature of a leaf has the entropy of its occurrences over
+the leaf's pages, so that one on every page has importance 0 and one on a single page 1; a leaf's content importance is
+the mean over all occurrences, and a node's the mean over those of all leaves below it. One varying word or link thus
+does not make a menu look unique. The importance of a node is a mixture of the two; a node that looks and reads the same
+on page after page has one near 0. Branches in which every node is of low importance are removed from each page, inside articles too. A prior by tag, role and class or id words is the other
 input: chrome (navigation, footers, adverts, forms, reader comments) has importance 0, prose tags without class inside an
 article 1, so that a passage repeated in many articles of a host stays; where the article as a whole repeats, nothing in
 it can be told apart, and it stays whole. A class or id word alone is a hint that a high importance overrules, except
@@ -14,6 +17,9 @@ The articles of a page count if they hold text. An article is not chrome because
 list of other articles (comments, related, nav, aside, footer); those count last, when nothing else on the page is left.
 Without articles the rest of the page is judged. An article element with nothing in it at all gives an empty text.
 
+Styles are told apart down to DEPTH nested elements; what is nested deeper counts to its ancestor there. Its text is read
+like any other, in time in proportion to the page.
+
 Inside a block white space becomes one space; blocks are joined by line breaks in page order. Null or empty pages give
 an empty text, broken markup is read up to its end, pages without a host are judged by the prior alone. Repeated rows
 give repeated results. A hot host's features are counted on the way, one row per page and node; its pages stay spread.
@@ -23,8 +29,9 @@ from __future__ import annotations
 
 import hashlib
 import html
-
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,6 +44,9 @@ CONTENT, LOW, PAGES = 0.9, 0.2, 4
 #: Importance from which a node is text although a class or id word calls it chrome.
 HIGH = 0.8
 
+#: Nested elements whose styles are told apart, and the characters of class names from which a digest stands for them.
+DEPTH, LONG = 100, 200
+
 # Fixed word lists of the prior.
 CHROME_TAGS = frozenset("nav footer aside form button select input textarea option dialog menu head title script style noscript template iframe svg canvas object math audio video".split())
 CHROME_WORDS = frozenset(
@@ -69,6 +79,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))""", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+")
+#: Where one content feature ends: sentence ends, and signs that stand alone between entries.
+_FEATURE = re.compile(r"(?<=[.!?…])\s+|\s+[|·•»›–—/-]+\s+")
 
 
 class Element:
@@ -77,7 +89,7 @@ class Element:
     article: the path of the innermost article; outer: that article stands in a list of other articles (boxed).
     """
 
-    __slots__ = ("tag", "style", "path", "hard", "soft", "article", "boxed", "outer", "chrome")
+    __slots__ = ("tag", "path", "depth", "hard", "soft", "article", "boxed", "outer", "chrome")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         words, role, classes = set(), "", ""
@@ -98,35 +110,66 @@ class Element:
         hints = own - VARYING
         named = not page and not article and role in CHROME_ROLES
         hard = tag in CHROME_TAGS or named or (tag == "header" and not within) or bool(own & VARYING)
-        self.tag, self.style = tag, f"{tag}.{re.sub('[0-9]+', '#', classes)}" if classes else tag
-        if hints:
-            self.style += "!" + "-".join(sorted(hints))
-        self.path = f"{parent.path}/{self.style}" if parent else self.style
+        self.tag, self.depth = tag, parent.depth + 1 if parent else 1
+        if parent and parent.depth >= DEPTH:
+            self.path = parent.path
+        else:
+            classes = re.sub("[0-9]+", "#", classes).replace("/", "|")
+            if len(classes) > LONG:
+                classes = hashlib.blake2b(classes.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+            style = f"{tag[:LONG]}.{classes}" if classes else tag[:LONG]
+            if hints:
+                style += "!" + "-".join(sorted(hints))
+            self.path = f"{parent.path}/{style}" if parent else style
         boxed = parent is not None and parent.boxed
         if article and not own:
             self.hard, self.soft, self.article = False, (), self.path
             self.outer = boxed or (parent is not None and parent.outer)
         else:
             self.hard = hard or (parent is not None and parent.hard)
-            self.soft = (parent.soft if parent else ()) + ((self.path,) if hints else ())
+            self.soft = parent.soft if parent else ()
+            if hints and self.path not in self.soft:
+                self.soft += (self.path,)
             self.article, self.outer = (parent.article, parent.outer) if parent else (None, False)
         self.boxed = boxed or (hard and tag not in WRAPPERS and role != "form")
         self.chrome = self.outer or self.hard or bool(self.soft)
 
 
-def blocks(page: str, articles: list[Element] | None = None) -> Iterator[tuple[Element, str]]:
-    """The text blocks of a page with the innermost block element each stands in; `articles` takes the elements."""
+def blocks(page: str, articles: list[Element] | None = None) -> Iterator[tuple[Element, str, list[str]]]:
+    """The text blocks of a page with the innermost block element each stands in, and the block's text runs as written.
+
+    `articles` takes the article elements.
+    """
     root = Element("body", "", None)
     stack: list[Element] = [root]
+    around: list[Element] = [root]  # those of the stack that are no inline elements
+    opened: Counter[str] = Counter()  # tags in the stack but for the root
     text: list[str] = []
     outside: list[str] = []  # of the block around an inline element that goes
     at, low = 0, None
 
-    def flush() -> Iterator[tuple[Element, str]]:
+    def flush() -> Iterator[tuple[Element, str, list[str]]]:
         words = " ".join(html.unescape("".join(text)).split())
+        runs = text[:] if words else []
         text.clear()
         if words:
-            yield next((x for x in reversed(stack) if x.tag not in INLINE), root), words
+            yield around[-1], words, runs
+
+    def push(element: Element) -> None:
+        stack.append(element)
+        opened[element.tag] += 1
+        if element.tag not in INLINE:
+            around.append(element)
+
+    def cut(k: int) -> None:
+        while len(stack) > k:
+            element = stack.pop()
+            opened[element.tag] -= 1
+            if element.tag not in INLINE:
+                around.pop()
+
+    def innermost(tags: set[str]) -> int:
+        return next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag in tags)
 
     while at < len(page):
         m = _TOKEN.search(page, at)
@@ -146,33 +189,32 @@ def blocks(page: str, articles: list[Element] | None = None) -> Iterator[tuple[E
                 element = Element(tag, attributes, stack[-1])
                 if element.chrome and not stack[-1].chrome:
                     outside, text = text, outside
-                stack.append(element)
-            elif any(x.tag == tag for x in stack[1:]):
-                k = max(k for k, x in enumerate(stack) if x.tag == tag)
-                if all(x.tag in INLINE for x in stack[k:]):
+                push(element)
+            elif opened[tag] and stack[-1].tag in INLINE:
+                k = len(stack) - 1
+                while stack[k].tag != tag and stack[k].tag in INLINE:
+                    k -= 1
+                if stack[k].tag == tag:
                     if stack[-1].chrome and not stack[k - 1].chrome:
                         text.clear()
                         outside, text = text, outside
-                    del stack[k:]
+                    cut(k)
             continue
         if outside:
             text = outside
             outside = []
         yield from flush()
         if closing:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
-            if k:
-                del stack[k:]
+            if opened[tag]:
+                cut(innermost({tag}))
             continue
         if tag in ("html", "body"):
             continue
         ended, limit = ENDS.get(tag, ((), ()))
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in ended:
-                del stack[k:]
-                break
-            if stack[k].tag in limit:
-                break
+        if any(opened[x] for x in ended):
+            near = next(x.tag for x in reversed(around) if x.tag in ended or x.tag in limit)
+            if near in ended:
+                cut(innermost({near}))
         if tag in VOID:
             continue
         if tag in RAW:
@@ -180,32 +222,41 @@ def blocks(page: str, articles: list[Element] | None = None) -> Iterator[tuple[E
             low = low if len(low) == len(page) else re.sub("[A-Z]", lambda c: c[0].lower(), page)
             end = low.find(f"</{tag}", at)
             at = len(page) if end < 0 else end
-            stack.append(Element(tag, attributes, stack[-1]))
+            push(Element(tag, attributes, stack[-1]))
             continue
         if not attributes.endswith("/") or tag in ARTICLE_TAGS:
-            stack.append(Element(tag, attributes, stack[-1]))
+            push(Element(tag, attributes, stack[-1]))
             if articles is not None and stack[-1].article == stack[-1].path and not stack[-1].outer:
                 articles.append(stack[-1])
     text = outside or text
     yield from flush()
 
 
-def _digest(parts: hashlib.blake2b) -> int:
-    return int.from_bytes(parts.digest(), "little", signed=True)
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
 
+def features(runs: list[str]) -> list[str]:
+    """The content features of a block's text runs."""
+    found = (" ".join(x.split()) for run in runs for x in _FEATURE.split(html.unescape(run)))
+    return [x for x in found if x]
 
-def node_features(page: str) -> dict[str, tuple[int, int]]:
-    """For each style path of a page: hashes of its presentation (styles below) and of its content (text below)."""
+
+def node_features(page: str) -> tuple[dict[str, int], dict[str, Counter[int]]]:
+    """For each style path of a page a hash of its presentation, and for each leaf how often it has which features."""
     looks: dict[str, hashlib.blake2b] = {}
-    reads: dict[str, hashlib.blake2b] = {}
-    for element, words in blocks(page):
-        path, steps = element.path, element.path.split("/")
-        raw = words.encode("utf-8", "surrogatepass")
-        for k in range(1, len(steps) + 1):
-            node = "/".join(steps[:k])
-            looks.setdefault(node, hashlib.blake2b(digest_size=8)).update(path[len(node) :].encode("utf-8", "surrogatepass") + b"\n")
-            reads.setdefault(node, hashlib.blake2b(digest_size=8)).update(raw + b"\n")
-    return {node: (_digest(looks[node]), _digest(reads[node])) for node in looks}
+    reads: dict[str, Counter[int]] = {}
+    over: dict[str, tuple[bytes, list[hashlib.blake2b]]] = {}
+    for element, _, runs in blocks(page):
+        path = element.path
+        if path not in over:
+            nodes = [path[: m.start()] for m in re.finditer("/", path)] + [path]
+            over[path] = _digest(path).to_bytes(8, "little", signed=True), [looks.setdefault(n, hashlib.blake2b(digest_size=8)) for n in nodes]
+        style, nodes = over[path]
+        for node in nodes:
+            node.update(style)
+        reads.setdefault(path, Counter()).update(map(_digest, features(runs)))
+    return {node: int.from_bytes(h.digest(), "little", signed=True) for node, h in looks.items()}, reads
 
 
 def main_text(page: str, removed: frozenset[str] = frozenset(), kept: frozenset[str] = frozenset()) -> str:
@@ -214,13 +265,19 @@ def main_text(page: str, removed: frozenset[str] = frozenset(), kept: frozenset[
     removed, kept: the host's style paths of low importance, and those that a word calls chrome but are of high one.
     """
     articles: list[Element] = []
-    every = list(blocks(page, articles))
+    every = [(e, w) for e, w, _ in blocks(page, articles)]
+
+    known: dict[tuple[str, str], bool] = {}
 
     def gone(e: Element) -> bool:
-        top = e.article or ""
+        key = e.path, e.article or ""
+        if key not in known:
+            known[key] = below(*key)
+        return known[key]
+
+    def below(path: str, top: str) -> bool:
         if top in removed:  # the article as a whole repeats
             return False
-        path = e.path
         while len(path) > len(top):
             if path in removed and not (top and path.rpartition("/")[2] in PROSE):
                 return True
@@ -241,32 +298,64 @@ def host_of(url: str) -> Column:
 
 
 def _features(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of kind 0: pages n of a node with a presentation. Of kind 1: occurrences n of a feature, and sum n ln n over pages."""
     for batch in source:
-        rows = [
-            (host, node, kind, value)
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            for node, pair in node_features(page or "").items() for kind, value in enumerate(pair)
-        ]
-        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, kinds)], names=["host", "node", "kind", "value"])
+        n: Counter[tuple] = Counter()
+        s: Counter[tuple] = Counter()
+        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            looks, reads = node_features(page or "")
+            n.update((host, node, 0, value) for node, value in looks.items())
+            for node, found in reads.items():
+                for value, c in found.items():
+                    n[host, node, 1, value] += c
+                    s[host, node, 1, value] += c * math.log(c)
+        rows = [(*key, c, float(s[key])) for key, c in n.items()]
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.float64())
+        columns = zip(*rows) if rows else [[]] * 6
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=["host", "node", "kind", "value", "n", "s"])
+
+
+def above(node: str) -> Column:
+    """The paths of a node and of all nodes it stands in."""
+    steps = F.split(node, "/")
+    return F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), "/"))
 
 
 def importance(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """(host, node, pages, importance) of the merged style tree of every host."""
+    """(host, node, pages, importance, most) of the merged style tree of every host; most: the largest of the leaves below."""
     rows = pages.select(host_of(url).alias("host"), F.col(page).cast("string").alias("html")).filter("host != ''")
-    seen = rows.mapInArrow(_features, "host string, node string, kind int, value long")
-    counts = seen.groupBy("host", "node", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
-    spread = counts.groupBy("host", "node", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log(F.col("n"))).alias("s"))
-    # -sum p ln p = ln m - (sum n ln n) / m, divided by ln m; a node of one page is as important as can be
-    entropy = F.when(F.col("m") > 1, 1 - F.col("s") / (F.col("m") * F.log("m"))).otherwise(1.0)
-    share = F.when(F.col("kind") == 1, CONTENT).otherwise(1 - CONTENT)
-    return spread.groupBy("host", "node").agg(F.max("m").alias("pages"), F.sum(entropy * share).alias("importance"))
+    seen = rows.mapInArrow(_features, "host string, node string, kind int, value long, n long, s double")
+    counts = seen.groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    n_log_n = F.col("n") * F.log("n")
+    nodes = counts.groupBy("host", "node").agg(
+        F.sum(F.when(F.col("kind") == 0, F.col("n")).otherwise(0)).alias("m"),
+        F.sum(F.when(F.col("kind") == 0, n_log_n).otherwise(0.0)).alias("same"),
+        F.sum(F.when(F.col("kind") == 1, F.col("n")).otherwise(0)).alias("weight"),
+        F.sum(F.when(F.col("kind") == 1, n_log_n - F.col("s")).otherwise(0.0)).alias("spread"),
+    )
+    # -sum p ln p over values is ln m - (sum n ln n) / m, over the pages of a feature ln n - s / n, both divided by ln m;
+    # a node of one page is as important as can be
+    many = F.col("m") > 1
+    looks = F.when(many, 1 - F.col("same") / (F.col("m") * F.log("m"))).otherwise(1.0)
+    reads = F.col("weight") - F.when(many, F.col("spread") / F.log("m")).otherwise(0.0)
+
+    def mixed() -> Column:
+        return CONTENT * F.try_divide("reads", "weight") + (1 - CONTENT) * F.col("looks")
+
+    own = nodes.select("host", "node", "m", looks.alias("looks"), reads.alias("reads"), "weight")
+    leaf = own.filter("weight > 0").withColumn("most", mixed())
+    up = leaf.select("host", F.explode(above("node")).alias("node"), F.lit(0).alias("m"), F.lit(0.0).alias("looks"), "reads", "weight", "most")
+    own = own.withColumns({"reads": F.lit(0.0), "weight": F.lit(0), "most": F.lit(0.0)})
+    found = own.unionByName(up).groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in ("m", "looks", "reads", "weight")), F.max("most").alias("most"))
+    # a run of signs only may be no feature; such a node reads the same everywhere
+    return found.select("host", "node", F.col("m").alias("pages"), F.coalesce(mixed(), (1 - CONTENT) * F.col("looks")).alias("importance"), "most")
 
 
 def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", low: float = LOW, least: int = PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every row of `pages`."""
     known = importance(pages, url, page).filter(F.col("pages") >= least)
-    is_low, hint = F.col("importance") < low, F.col("node").rlike("![a-z-]+$")
+    # a branch goes if all of it is of low importance
+    is_low, hint = F.col("most") < low, F.col("node").rlike("![a-z-]+$")
     nodes = known.filter(is_low | (hint & (F.col("importance") >= HIGH)))
     # written, so that its size is known before the pages are read and a small table goes to them
     lists = (F.collect_set(F.when(is_low, F.col("node"))).alias("removed"), F.collect_set(F.when(~is_low, F.col("node"))).alias("kept"))

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import html
+import math
 import re
+import time
+from collections import Counter
 
 import pytest
 
@@ -95,3 +98,57 @@ def test_entropies_overrule_class_names(spark):
 
 def test_empty_table(spark):
     assert main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_importance_is_the_plain_entropies(spark):
+    """Nodes, presentations and features of each page by hand, entropies by their definition."""
+    pages = []  # per page: leaf path -> (features in order); the body's other nodes follow from these
+    for n in range(12):
+        page = {"body/nav/a-list": ["Home", "About", f"Story {n}"], "body/div": ["Opening.", f"Line {n}.", "Opening."] if n % 3 else ["Opening."]}
+        if n < 5:
+            page["body/footer"] = ["All rights reserved", f"Seen {n % 2} times"]
+        pages.append(page)
+    html_of = lambda page: (
+        "<nav><a-list>" + "".join(f"<a>{x}</a> " for x in page["body/nav/a-list"]) + "</a-list></nav><div>" + " ".join(page["body/div"]) + "</div>"
+        + ("<footer>" + " | ".join(page["body/footer"]) + "</footer>" if "body/footer" in page else "")
+    )
+    entropy = lambda counts: -sum(c / sum(counts) * math.log(c / sum(counts)) for c in counts)
+    want, leaves = {}, {leaf for page in pages for leaf in page}
+    for node in {"/".join(leaf.split("/")[:k]) for leaf in leaves for k in range(1, 4)}:
+        below = [leaf for leaf in leaves if f"{leaf}/".startswith(f"{node}/")]
+        looks = Counter(tuple(leaf for leaf in page if leaf in below) for page in pages if any(leaf in page for leaf in below))
+        m, total, weight = sum(looks.values()), 0.0, 0
+        for leaf in below:
+            having = [Counter(page[leaf]) for page in pages if leaf in page]
+            for feature in set().union(*having):
+                counts = [c[feature] for c in having if feature in c]
+                total += sum(counts) * (1 - entropy(counts) / math.log(len(having)))
+                weight += sum(counts)
+        want[node] = (m, style_tree.CONTENT * total / weight + (1 - style_tree.CONTENT) * entropy(looks.values()) / math.log(m))
+    table = spark.createDataFrame([(f"http://h.example/{n}", html_of(page)) for n, page in enumerate(pages)], "url string, html string")
+    found = {r.node: (r.pages, r.importance) for r in style_tree.importance(table).collect()}
+    assert found.keys() == want.keys()
+    assert all(found[n][0] == want[n][0] and found[n][1] == pytest.approx(want[n][1], abs=1e-9) for n in want)
+
+
+def test_one_varying_link_does_not_keep_a_menu(spark):
+    menu = "".join(f"<li><a>{x}</a></li>" for x in ("Home", "News", "Sport", "Weather", "Contact", "Team", "Jobs", "Press"))
+    page = "<div class=k1><ul>" + menu + "<li><a>Now: {0}</a></li></ul></div><div class=k2>Story {0} tells of {0} things</div>"
+    rows = [(n, f"http://h.example/{n}", page.format(n)) for n in range(30)]  # both have the style div.k#
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in main_texts(table).collect()} == {n: f"Story {n} tells of {n} things" for n in range(30)}
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<b>" * 100_000 + "deep" + "</i>" * 100_000 + "<p>end", "deep\nend"),
+    ("<div>x" * 50_000, "\n".join("x" * 50_000)),
+    ("<ul>" + "<div>" * 50_000 + "<li>y" * 50_000, "\n".join("y" * 50_000)),
+    ("<div class=sidebar>" * 50_000 + "gone", ""),
+    (f"<div class='{'c' * 100_000}'>" * 50 + "z" + "</p>" * 50_000, "z"),
+])
+def test_deep_pages(page, text):
+    start = time.perf_counter()
+    assert main_text(page) == text
+    looks, _ = style_tree.node_features(page)
+    assert len(looks) <= style_tree.DEPTH + 1 and sum(map(len, looks)) < 10_000_000
+    assert time.perf_counter() - start < 60
