@@ -342,11 +342,11 @@ def importance(pages: DataFrame, url: str = "url", page: str = "html") -> DataFr
     def mixed() -> Column:
         return CONTENT * F.try_divide("reads", "weight") + (1 - CONTENT) * F.col("looks")
 
-    own = nodes.select("host", "node", "m", looks.alias("looks"), reads.alias("reads"), "weight")
-    leaf = own.filter("weight > 0").withColumn("most", mixed())
-    up = leaf.select("host", F.explode(above("node")).alias("node"), F.lit(0).alias("m"), F.lit(0.0).alias("looks"), "reads", "weight", "most")
-    own = own.withColumns({"reads": F.lit(0.0), "weight": F.lit(0), "most": F.lit(0.0)})
-    found = own.unionByName(up).groupBy("host", "node").agg(*(F.sum(c).alias(c) for c in ("m", "looks", "reads", "weight")), F.max("most").alias("most"))
+    # each node once for every node above it, so that the pages are read once only
+    own = nodes.select("host", "node", "m", looks.alias("looks"), reads.alias("reads"), "weight").withColumn("most", F.when(F.col("weight") > 0, mixed()))
+    up = own.withColumn("over", F.explode(above("node")))
+    mine = (F.max(F.when(F.col("node") == F.col("over"), F.col(c))).alias(c) for c in ("m", "looks"))
+    found = up.groupBy("host", F.col("over").alias("node")).agg(*mine, F.sum("reads").alias("reads"), F.sum("weight").alias("weight"), F.max("most").alias("most"))
     # a run of signs only may be no feature; such a node reads the same everywhere
     return found.select("host", "node", F.col("m").alias("pages"), F.coalesce(mixed(), (1 - CONTENT) * F.col("looks")).alias("importance"), "most")
 
