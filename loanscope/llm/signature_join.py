@@ -1,7 +1,7 @@
 """Near-duplicates by an inverted join over MinHash signature coordinates, confirmed on full shingle sets.
 
-A document's set are the distinct word shingles of its whole text (A-Z as a-z); equal sets form a class, and classes
-are what is compared. Each class has K MinHash coordinates. Every (coordinate, value) pair is a token with a posting
+A document's set are the distinct word shingles of its whole text (A-Z as a-z); equal sets form a class (told by two 64-bit
+hashes), and classes are what is compared. Each class has K MinHash coordinates. Every (coordinate, value) pair is a token with a posting
 list of the classes that have it, and two classes are candidates if at least T coordinates collide. T lies five standard
 deviations below the number to be expected at the threshold, so a link is missed with a chance of about 1e-6.
 
@@ -83,12 +83,12 @@ def set_keys(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out[0], out[1]
 
 
-def _profiles(rule: Rule):
+def _profiles(rule: Rule, keys=set_keys):
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for i, j, hashes, at in shingle_sets(batch.column(1), rule.width):
                 size = np.diff(at)
-                high, low = set_keys(hashes, at)
+                high, low = keys(hashes, at)
                 full = size > 0
                 sig = signatures(hashes, np.concatenate([at[:-1][full], at[-1:]]))
                 flat = pa.py_buffer(np.ascontiguousarray(sig))
@@ -96,7 +96,7 @@ def _profiles(rule: Rule):
                 cells = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends), flat])
                 yield pa.record_batch(
                     [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(size), pa.array(high), pa.array(low), cells],
-                    names=["doc_id", "content", "n_shingles", "cls", "low", "sig"],
+                    names=["doc_id", "content", "n_shingles", "high", "low", "sig"],
                 )
 
     return task
@@ -200,8 +200,8 @@ def _id_hash() -> Column:
     return F.xxhash64("doc_id")
 
 
-def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """(cls, shingles) of the classes in `wanted` (doc_id, cls), from the text of one document of each."""
+def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule, keys=set_keys) -> DataFrame:
+    """(cls, shingles) of the classes in `wanted` (doc_id, high, low, cls), from the text of one document of each."""
 
     table = bloom(wanted.select(_id_hash().alias("h"))).table
 
@@ -209,13 +209,13 @@ def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
         for batch in source:
             batch = batch.filter(pa.array(in_bloom(table.value, batch.column(2).to_numpy().view(np.uint64))))
             for i, j, hashes, at in shingle_sets(batch.column(1), rule.width):
-                high, _ = set_keys(hashes, at)
+                high, low = keys(hashes, at)
                 ends = pa.py_buffer((at * 8).astype(np.int32))
                 cells = pa.Array.from_buffers(pa.binary(), j - i, [None, ends, pa.py_buffer(hashes)])
-                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(high), cells], names=["doc_id", "cls", "shingles"])
+                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(high), pa.array(low), cells], names=["doc_id", "high", "low", "shingles"])
 
-    found = rows.select("doc_id", "text", _id_hash()).mapInArrow(lean(task), "doc_id long, cls long, shingles binary")
-    return found.join(wanted, ["doc_id", "cls"]).dropDuplicates(["cls"]).select("cls", "shingles")
+    found = rows.select("doc_id", "text", _id_hash()).mapInArrow(lean(task), "doc_id long, high long, low long, shingles binary")
+    return found.join(wanted, ["doc_id", "high", "low"]).dropDuplicates(["cls"]).select("cls", "shingles")
 
 
 GROUP = ["token", "step", "i", "j"]
@@ -374,7 +374,25 @@ def _mixed_groups(members: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame
     )
 
 
-def _grouped(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
+def _classes(profiles: DataFrame) -> DataFrame:
+    """One row per set, told apart by both hashes: high, low, cls, the smallest identifier and the row that has it.
+
+    The identifier of a class is its first hash; where sets share that, all but one get a hash of both.
+    """
+    classes = written(
+        profiles.filter("n_shingles > 0").groupBy("high", "low")
+        .agg(
+            F.min("doc_id").alias("min_id"), F.min(F.struct("doc_id", "content")).alias("least"), F.first("n_shingles").alias("n_shingles"),
+            F.first("sig").alias("sig"),
+        )
+    )
+    shared = classes.groupBy("high").agg(F.min("low").alias("first"), F.max("low").alias("last")).filter("first != last")
+    named = classes.join(written(shared.select("high", "first")), "high", "left")
+    other = F.when(F.col("low") != F.col("first"), F.xxhash64("high", "low"))
+    return named.withColumn("cls", F.coalesce(other, "high")).drop("first")
+
+
+def _grouped(docs: DataFrame, rule: Rule, key: str, text: str, keys=set_keys) -> DataFrame:
     """doc_id, content, n_shingles of every row, and the doc_id and content of the row that stays of its component.
 
     LAST_ID stands for a missing identifier. Rows without shingles have no component.
@@ -383,16 +401,9 @@ def _grouped(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
     rows = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.col(text).cast("string").alias("text"), row_hash(text).alias("content")
     )
-    kind = "doc_id long, content long, n_shingles long, cls long, low long, sig binary"
-    profiles = written(rows.mapInArrow(lean(_profiles(rule)), kind))
-    clash = F.when(F.min("low") != F.max("low"), F.raise_error(F.lit("two sets have one hash")).cast("long")).otherwise(F.min("doc_id"))
-    classes = written(
-        profiles.filter("n_shingles > 0").groupBy("cls")
-        .agg(
-            clash.alias("min_id"), F.min(F.struct("doc_id", "content")).alias("least"), F.first("n_shingles").alias("n_shingles"),
-            F.first("sig").alias("sig"),
-        )
-    )
+    kind = "doc_id long, content long, n_shingles long, high long, low long, sig binary"
+    profiles = written(rows.mapInArrow(lean(_profiles(rule, keys)), kind))
+    classes = _classes(profiles)
     sketch = spark.sparkContext.broadcast(_sketch(classes))
     postings = _postings(classes, sketch, rule.prefix)
     lists = written(
@@ -407,8 +418,8 @@ def _grouped(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
     stars = near.select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
     stars = written(_colliding(stars, classes, rule))
     touched = stars.select(F.col("a").alias("cls")).unionAll(stars.select(F.col("b").alias("cls"))).distinct()
-    ids = classes.select("cls", F.col("min_id").alias("doc_id"))
-    sets = written(_sets(rows, ids.join(touched, "cls"), rule))
+    ids = classes.select("cls", "high", "low", F.col("min_id").alias("doc_id"))
+    sets = written(_sets(rows, ids.join(touched, "cls"), rule, keys))
     links = written(_confirmed(stars, sets, rule))
     comps = written(components(links))
 
@@ -418,26 +429,26 @@ def _grouped(docs: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
     candidates = written(mixed.mapInArrow(lean(_candidates(sketch, rule)), kind))
     if candidates.take(1):
         late = candidates.select("cls").distinct().join(touched, "cls", "left_anti")
-        both = sets.unionAll(_sets(rows, ids.join(late, "cls"), rule))
+        both = sets.unionAll(_sets(rows, ids.join(late, "cls"), rule, keys))
         laid = candidates.join(both, "cls").select(*GROUP, "cls", "comp", "partners", "shingles").repartition(*GROUP).sortWithinPartitions(*GROUP)
         more = written(laid.mapInArrow(lean(_late_links(rule)), "a long, b long"))
         comps = written(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)))
 
-    found = classes.select("cls", "least").join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+    found = classes.select("cls", "high", "low", "least").join(comps.withColumnRenamed("node", "cls"), "cls", "left")
     found = found.withColumn("component", F.coalesce("component", "cls"))
     stays = found.groupBy("component").agg(F.min("least").alias("stays"))
-    found = found.join(stays, "component").select("cls", "stays")
-    return profiles.select("doc_id", "content", "n_shingles", "cls").join(found, "cls", "left").drop("cls")
+    found = found.join(stays, "component").select("high", "low", "stays")
+    return profiles.select("doc_id", "content", "n_shingles", "high", "low").join(found, ["high", "low"], "left").drop("high", "low")
 
 
 def _named(c: Column) -> Column:
     return F.when(c != LAST_ID, c)
 
 
-def near_groups(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text: str = "text", keys=set_keys) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of `docs`."""
     component = F.when(F.col("n_shingles") > 0, F.col("stays.doc_id")).otherwise(F.col("doc_id"))
-    return _grouped(docs, rule, key, text).select(
+    return _grouped(docs, rule, key, text, keys).select(
         _named(F.col("doc_id")).alias("doc_id"), "n_shingles", _named(component).alias("component_id"), (F.col("doc_id") == component).alias("kept")
     )
 

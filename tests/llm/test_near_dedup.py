@@ -81,6 +81,18 @@ def test_long_lists_in_blocks(spark, monkeypatch):
     assert found == brute(rows, Rule(3, 85))
 
 
+def test_sets_that_share_a_hash(spark):
+    rows = corpus(5)
+
+    def coarse(hashes, at):
+        high, low = signature_join.set_keys(hashes, at)
+        return high % 7, low
+
+    docs = spark.createDataFrame([(i, t, "x", None) for i, t in rows], SCHEMA)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in signature_join.near_groups(docs, Rule(3, 85), keys=coarse).collect()}
+    assert found == brute(rows, Rule(3, 85))
+
+
 def test_repeated_rows_and_missing_identifiers(spark):
     text = " ".join(f"w{k}" for k in range(100))
     docs = spark.createDataFrame([(5, text, "a", "b"), (5, text, "a", "b"), (None, text + " x", "a", "b"), (2, "alone", "a", "b"), (None, None, None, None)], SCHEMA)
