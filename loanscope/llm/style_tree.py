@@ -35,6 +35,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loanscope.llm.shared import written
@@ -79,8 +80,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))""", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+")
-#: Where one content feature ends: sentence ends, and signs that stand alone between entries.
-_FEATURE = re.compile(r"(?<=[.!?…])\s+|\s+[|·•»›–—/-]+\s+")
+#: Where one content feature ends in a run with single spaces: sentence ends, and signs that stand alone between entries.
+_FEATURE = re.compile(r" (?:(?<=[.!?…] )|[|·•»›–—/-]+ )")
 
 
 class Element:
@@ -233,30 +234,37 @@ def blocks(page: str, articles: list[Element] | None = None) -> Iterator[tuple[E
 
 
 def _digest(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+    return _signed(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")))
+
+
+def _signed(number: int) -> int:
+    return number - (1 << 64) if number >> 63 else number
 
 
 def features(runs: list[str]) -> list[str]:
     """The content features of a block's text runs."""
-    found = (" ".join(x.split()) for run in runs for x in _FEATURE.split(html.unescape(run)))
+    found: list[str] = []
+    for run in runs:
+        if words := " ".join((html.unescape(run) if "&" in run else run).split()):
+            found += _FEATURE.split(words)
     return [x for x in found if x]
 
 
 def node_features(page: str) -> tuple[dict[str, int], dict[str, Counter[int]]]:
     """For each style path of a page a hash of its presentation, and for each leaf how often it has which features."""
-    looks: dict[str, hashlib.blake2b] = {}
+    looks: dict[str, xxhash.xxh3_64] = {}
     reads: dict[str, Counter[int]] = {}
-    over: dict[str, tuple[bytes, list[hashlib.blake2b]]] = {}
+    over: dict[str, tuple[bytes, list[xxhash.xxh3_64]]] = {}
     for element, _, runs in blocks(page):
         path = element.path
         if path not in over:
             nodes = [path[: m.start()] for m in re.finditer("/", path)] + [path]
-            over[path] = _digest(path).to_bytes(8, "little", signed=True), [looks.setdefault(n, hashlib.blake2b(digest_size=8)) for n in nodes]
+            over[path] = _digest(path).to_bytes(8, "little", signed=True), [looks.setdefault(n, xxhash.xxh3_64()) for n in nodes]
         style, nodes = over[path]
         for node in nodes:
             node.update(style)
         reads.setdefault(path, Counter()).update(map(_digest, features(runs)))
-    return {node: int.from_bytes(h.digest(), "little", signed=True) for node, h in looks.items()}, reads
+    return {node: _signed(h.intdigest()) for node, h in looks.items()}, reads
 
 
 def main_text(page: str, removed: frozenset[str] = frozenset(), kept: frozenset[str] = frozenset()) -> str:
