@@ -253,7 +253,7 @@ def features(runs: list[str]) -> list[str]:
 def node_features(page: str) -> tuple[dict[str, int], dict[str, Counter[int]]]:
     """For each style path of a page a hash of its presentation, and for each leaf how often it has which features."""
     looks: dict[str, xxhash.xxh3_64] = {}
-    reads: dict[str, Counter[int]] = {}
+    reads: dict[str, list[str]] = {}
     over: dict[str, tuple[bytes, list[xxhash.xxh3_64]]] = {}
     for element, _, runs in blocks(page):
         path = element.path
@@ -263,8 +263,8 @@ def node_features(page: str) -> tuple[dict[str, int], dict[str, Counter[int]]]:
         style, nodes = over[path]
         for node in nodes:
             node.update(style)
-        reads.setdefault(path, Counter()).update(map(_digest, features(runs)))
-    return {node: _signed(h.intdigest()) for node, h in looks.items()}, reads
+        reads.setdefault(path, []).extend(features(runs))
+    return {node: _signed(h.intdigest()) for node, h in looks.items()}, {leaf: Counter(map(_digest, found)) for leaf, found in reads.items()}
 
 
 def main_text(page: str, removed: frozenset[str] = frozenset(), kept: frozenset[str] = frozenset()) -> str:
@@ -308,19 +308,31 @@ def host_of(url: str) -> Column:
 def _features(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of kind 0: pages n of a node with a presentation. Of kind 1: occurrences n of a feature, and sum n ln n over pages."""
     for batch in source:
-        n: Counter[tuple] = Counter()
-        s: Counter[tuple] = Counter()
+        places: dict[tuple[str, str], int] = {}
+        looked: Counter[tuple[int, int]] = Counter()
+        read: Counter[tuple[int, int]] = Counter()
+        within: dict[tuple[int, int], float] = {}
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             looks, reads = node_features(page or "")
-            n.update((host, node, 0, value) for node, value in looks.items())
+            for node, value in looks.items():
+                looked[places.setdefault((host, node), len(places)), value] += 1
             for node, found in reads.items():
+                place = places[host, node]
                 for value, c in found.items():
-                    n[host, node, 1, value] += c
-                    s[host, node, 1, value] += c * math.log(c)
-        rows = [(*key, c, float(s[key])) for key, c in n.items()]
-        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.float64())
-        columns = zip(*rows) if rows else [[]] * 6
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=["host", "node", "kind", "value", "n", "s"])
+                    key = place, value
+                    read[key] += c
+                    if c > 1:
+                        within[key] = within.get(key, 0.0) + c * math.log(c)
+        hosts, nodes = (pa.array([p[k] for p in places], pa.string()) for k in (0, 1))
+        for kind, n in enumerate((looked, read)):
+            at = pa.array([place for place, _ in n], pa.int64())
+            yield pa.record_batch(
+                [
+                    hosts.take(at), nodes.take(at), pa.array([kind] * len(n), pa.int32()), pa.array([value for _, value in n], pa.int64()),
+                    pa.array(n.values(), pa.int64()), pa.array([within.get(key, 0.0) if kind else 0.0 for key in n], pa.float64()),
+                ],
+                names=["host", "node", "kind", "value", "n", "s"],
+            )
 
 
 def above(node: str) -> Column:
