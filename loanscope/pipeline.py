@@ -13,8 +13,10 @@ from loanscope.sources import files, schemas
 from loanscope.sources.derived import RawTables
 from loanscope.streaming import ingest
 
-#: Marts built from all facts; those of ``states.KINDS`` come from stored states of each batch.
+#: Marts built from the newest facts; those of ``states.KINDS`` come from stored states of each batch.
 MARTS = {"mart_credit_vs_nps": marts.credit_vs_nps}
+#: Models that are stored besides the facts, with their checks counted on the way.
+MODELS = ("stg_customers", "stg_nps")
 
 
 def stored_inputs(
@@ -42,14 +44,21 @@ def run(
     spark: SparkSession, raw_dir: str, out_dir: str, survey_headers: dict[str, str] | None = None,
     database: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Ingest new snapshots, bring the marts up to date and replace each as one act, export them, run the checks."""
+    """Ingest new snapshots, bring models and marts up to date, each replaced as one act, export them, report the checks."""
     seen = ingest.ingest(spark, raw_dir, f"{out_dir}/ingested")
     states.update(spark, f"{out_dir}/ingested")
+    states.update_newest(spark, f"{out_dir}/ingested")
     facts = ingest.facts(spark, f"{out_dir}/ingested").drop("snapshot_table")
     raw = stored_inputs(spark, raw_dir, out_dir, facts, survey_headers, database)
-    stored = {}
+    stored, checked = {}, ingest.check_results(spark, f"{out_dir}/ingested")
+    staged = quality.staged(raw)
+    for name in MODELS:
+        stored[name], rows = quality.store(staged[name], name, f"{out_dir}/models/{name}")
+        checked += rows
+    models = dict(stored)
+    newest = states.newest_facts(spark, f"{out_dir}/ingested")
     built = {name: states.mart(spark, f"{out_dir}/ingested", name, raw) for name in states.KINDS}
-    for name, mart in {**built, **{name: build(raw) for name, build in MARTS.items()}}.items():
+    for name, mart in {**built, **{name: build(raw, newest) for name, build in MARTS.items()}}.items():
         stored[name] = tables.replace_table(mart, f"{out_dir}/marts/{name}")
         if database:
             tables.name_table(spark, f"{database}.{name}", tables.version_path(spark, f"{out_dir}/marts/{name}"))
@@ -61,7 +70,7 @@ def run(
         "ledger": seen,
         **stored,
         "exports": export.export_all(spark, raw, f"{out_dir}/processed", exports),
-        "not_null": quality.not_null(raw),
-        "unique": quality.unique(raw),
-        "accepted_values": quality.accepted_values(raw),
+        "not_null": quality.results(spark, checked, "not_null"),
+        "unique": quality.unique(raw, stored=models),
+        "accepted_values": quality.results(spark, checked, "accepted_values"),
     }

@@ -115,12 +115,19 @@ def credit_with_customer(raw: RawTables) -> DataFrame:
     return _credit_with_customer(facts, facts, raw).select(*_credit_columns(facts))
 
 
+def response_order() -> list[Column]:
+    """Newest response first."""
+    return [F.desc_nulls_last("submitted_at"), F.desc_nulls_last("submission_id")]
+
+
+def response_rows(responses: DataFrame) -> DataFrame:
+    """What the newest response of a loan is chosen from."""
+    return responses.select(KEY, "submission_id", *RESPONSE_COLUMNS)
+
+
 def latest_responses(responses: DataFrame) -> DataFrame:
     """Newest response of each loan, whether or not it carries a score."""
-    return latest_per_key(
-        responses.select(KEY, "submission_id", *RESPONSE_COLUMNS), KEY,
-        F.desc_nulls_last("submitted_at"), F.desc_nulls_last("submission_id"),
-    ).drop("submission_id")
+    return latest_per_key(response_rows(responses), KEY, *response_order()).drop("submission_id")
 
 
 def credit_with_nps(raw: RawTables) -> DataFrame:

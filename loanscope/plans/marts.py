@@ -152,18 +152,25 @@ FACT_COLUMNS = (
 )
 
 
+def fact_order() -> list[Column]:
+    """Newest snapshot row first; equal dates are told apart by the other columns."""
+    return [F.desc_nulls_last("snapshot_date"), *map(F.asc_nulls_last, FACT_COLUMNS[1:])]
+
+
 def latest_facts(facts: DataFrame) -> DataFrame:
-    """Newest snapshot row of each loan; equal dates are told apart by the other columns."""
-    newest_first = [F.desc_nulls_last("snapshot_date"), *map(F.asc_nulls_last, FACT_COLUMNS[1:])]
-    return latest_per_key(facts.select(KEY, *FACT_COLUMNS), KEY, *newest_first)
+    """Newest snapshot row of each loan."""
+    return latest_per_key(facts.select(KEY, *FACT_COLUMNS), KEY, *fact_order())
 
 
-def scored_loans(raw: RawTables) -> DataFrame:
+def scored_loans(raw: RawTables, newest: DataFrame | None = None) -> DataFrame:
     """Newest fact of every loan whose newest response has a score, with bands.
 
-    A loan whose newest response lacks a score drops out even if an older one has it.
+    A loan whose newest response lacks a score drops out even if an older one has it. ``newest`` are
+    the newest facts if they are stored already; the facts of ``raw`` are not read then.
     """
-    facts = latest_facts(staging.credit_snapshots(raw.credit_data).where(F.col(KEY).isNotNull()))
+    if newest is None:
+        newest = latest_facts(staging.credit_snapshots(raw.credit_data).where(F.col(KEY).isNotNull()))
+    facts = newest.where(F.col(KEY).isNotNull())
     scored = enrich.latest_responses(staging.survey(raw.nps_data)).where(F.col("nps_score").isNotNull())
     arrears, dpd = F.col("arrears"), F.col("days_past_due")
     return facts.join(scored.drop("submitted_at"), KEY).withColumns({
@@ -172,14 +179,14 @@ def scored_loans(raw: RawTables) -> DataFrame:
     })
 
 
-def credit_vs_nps(raw: RawTables) -> DataFrame:
-    """One row per loan with a score: newest snapshot, response, product, bands."""
+def credit_vs_nps(raw: RawTables, newest: DataFrame | None = None) -> DataFrame:
+    """One row per loan with a score: newest snapshot (``newest``, if stored), response, product, bands."""
     product = ("product_name", "loan_term")
     sale = latest_per_key(
         staging.customers(raw.customer_sales).select(KEY, *product), KEY, *map(F.asc_nulls_last, product)
     ).select(F.col(KEY).alias("_loan"), *product)
     match = (F.col(KEY) == F.col("_loan")) & F.col("snapshot_date").isNotNull()
-    return scored_loans(raw).join(sale, match, "left").select(
+    return scored_loans(raw, newest).join(sale, match, "left").select(
         KEY, "snapshot_date", "nps_score", "nps_category", *FACT_COLUMNS[1:],
         *enrich.RESPONSE_COLUMNS[3:], *product, "dpd_bucket", "payment_performance",
     )

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from loanscope.operators import joins
 from loanscope.operators.shares import with_percentages
 from loanscope.plans import staging
 from loanscope.plans.staging import KEY
+from loanscope.sinks import tables
 from loanscope.sources.derived import RawTables
 
 # The declared checks.
@@ -27,6 +28,48 @@ ACCEPTED = {
 }
 
 
+#: One check result: kind of check, model, column, failing rows.
+RESULTS = "check string, model string, column_name string, failing_rows bigint"
+
+
+class Watch:
+    """The declared column checks of a model, counted in the pass that stores it.
+
+    ``over`` gives the rows to store; ``rows`` has the counts once that one write has ended. Use it right
+    before the write: after a shuffle rows of a repeated task would count again.
+    """
+
+    def __init__(self, model: str):
+        self.model, self.seen = model, Observation()
+
+    def checks(self) -> list[tuple[str, str]]:
+        """Kind and column of each check, in the order of the counts."""
+        return [(check, column) for check, column, _ in self._rules()]
+
+    def _rules(self) -> list[tuple[str, str, Column]]:
+        nulls = [("not_null", c, F.col(c).isNull()) for c in NOT_NULL.get(self.model, ())]
+        return nulls + [("accepted_values", c, ~F.col(c).isin(*values)) for c, values in ACCEPTED.get(self.model, {}).items()]
+
+    def over(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.seen, *(F.count_if(fails).alias(f"c{n}") for n, (_, _, fails) in enumerate(self._rules())))
+
+    def rows(self) -> list[tuple[str, str, str, int]]:
+        found = self.seen.get
+        return [(check, self.model, column, found[f"c{n}"]) for n, (check, column) in enumerate(self.checks())]
+
+
+def store(df: DataFrame, model: str, path: str) -> tuple[DataFrame, list[tuple[str, str, str, int]]]:
+    """Replace the stored model; returns it as read back, and the results of its column checks."""
+    watch = Watch(model)
+    return tables.replace_table(watch.over(df), path), watch.rows()
+
+
+def results(spark: SparkSession, rows: list[tuple[str, str, str, int]], check: str) -> DataFrame:
+    """Results of one kind of check, a row per model and column."""
+    found = spark.createDataFrame(rows, RESULTS).where(F.col("check") == check)
+    return found.select("model", "column_name", "failing_rows")
+
+
 def staged(raw: RawTables) -> dict[str, DataFrame]:
     return {
         "stg_credit_snapshots": staging.credit_snapshots(raw.credit_data),
@@ -50,9 +93,9 @@ def not_null(raw: RawTables, checks: dict[str, tuple[str, ...]] = NOT_NULL) -> D
     return reduce(DataFrame.unionAll, counted)
 
 
-def unique(raw: RawTables, checks: dict[str, tuple[str, ...]] = UNIQUE) -> DataFrame:
-    """Number of values that occur more than once, per checked column."""
-    models = staged(raw)
+def unique(raw: RawTables, checks: dict[str, tuple[str, ...]] = UNIQUE, stored: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Number of values that occur more than once, per checked column; of a stored model only that column is read."""
+    models = staged(raw) | (stored or {})
     counted = []
     for model, columns in checks.items():
         for column in columns:

@@ -318,6 +318,48 @@ def _from_states(name: str) -> Query:
     return query
 
 
+def _newest_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest facts of two ingests, the second with late rows of a snapshot of the first."""
+    target, _ = _ingested(spark, sf_dir, lambda target: states.update_newest(spark, target))
+    return states.newest_facts(spark, target)
+
+
+def _scored_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.credit_vs_nps(raw_tables(spark, sf_dir), _newest_from_state(spark, sf_dir))
+
+
+def _responses_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest responses after three batches that overlap in time, one of them merged twice."""
+    path = f"{scratch_dir(spark)}/newest_responses"
+    rows = enrich.response_rows(staging.survey(raw_tables(spark, sf_dir).nps_data))
+    part = F.crc32(F.col("submission_id").cast("string")) % 3
+    for n in (2, 0, 2, 1):
+        newest = states.merge_newest(rows.where(part == n), path, KEY, enrich.response_order())
+    return newest.drop("submission_id")
+
+
+def _observed(check: str) -> Query:
+    """Check results that were counted while the facts, in two ingests, and the other models were stored."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        target, _ = _ingested(spark, sf_dir)
+        rows, staged = ingest.check_results(spark, target), quality.staged(raw_tables(spark, sf_dir))
+        for name in pipeline.MODELS:
+            rows += quality.store(staged[name], name, f"{target}/models/{name}")[1]
+        return quality.results(spark, rows, check)
+
+    return query
+
+
+def _mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots whose part files have their columns in two orders, one with a column of its own."""
+    folder, early = scratch_dir(spark), F.crc32("loan_id") % 2 == 0
+    for table, df in sample_files.snapshot_rows(raw_tables(spark, sf_dir)).items():
+        sample_files.write_snapshot(df.where(early), folder, table)
+        turned = df.where(~early).select(*reversed(df.columns), F.lit("x").alias("remark"))
+        sample_files.write_snapshot(turned, folder, table, mode="append")
+    return _scan(spark, folder)
+
+
 def _replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table replaced by one that reads its rows, and after that a replacement that fails half way."""
     mart, path = marts.cohort_analysis(raw_tables(spark, sf_dir)), f"{scratch_dir(spark)}/mart"
@@ -450,6 +492,12 @@ ON_FILES: dict[str, Query] = {
     "sink_replaced_table": _replaced_table,
     "mart_portfolio_from_states": _from_states("mart_portfolio_performance"),
     "mart_cohort_from_states": _from_states("mart_cohort_analysis"),
+    "win_latest_snapshot_from_state": _newest_from_state,
+    "win_latest_nps_from_state": _responses_from_state,
+    "mart_credit_vs_nps_from_state": _scored_from_state,
+    "dq_observed_not_null": _observed("not_null"),
+    "dq_observed_accepted_values": _observed("accepted_values"),
+    "src_mixed_headers": _mixed_headers,
     "sink_csv_export": _csv_export,
     "sink_csv_content": _csv_content,
     "sink_export_isolation": _export_isolation,

@@ -7,10 +7,12 @@ Parquet file or folder per sheet, below a folder named after the workbook.
 
 from __future__ import annotations
 
+import csv
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import partial, reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -79,43 +81,91 @@ def _typed(field: T.StructField) -> Column:
     return text.cast(field.dataType).alias(field.name)
 
 
+def _first_lines(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line that is not blank of a partition, which holds one file; the rest is not asked for."""
+    for batch in source:
+        for path, line in zip(*(column.to_pylist() for column in batch.columns)):
+            if line.strip():
+                yield pa.record_batch([pa.array([path]), pa.array([next(csv.reader([line]))], pa.list_(pa.string()))], names=["path", "names"])
+                return
+
+
+#: Bytes that a file counts at least when partitions are made up, so that none holds a second file or a part of one.
+ONE_FILE = str(1 << 42)
+
+
+def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, names) of every CSV file at or below the paths, from one job; files without a line have no row.
+
+    A task per file reads its first lines and stops. The session for it has settings of its own: a file
+    is one partition, and lines travel a few at a time.
+    """
+    apart = spark.newSession()
+    for name in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"):
+        apart.conf.set(name, ONE_FILE)
+    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    lines = apart.read.text(paths).select(_file_path().alias("path"), "value")
+    return lines.mapInArrow(_first_lines, "path string, names array<string>")
+
+
+def _safe_names(names: list[str]) -> tuple[str, ...]:
+    """Names of a header as a scan without a schema gives them: numbered where empty or repeated."""
+    lower = [name.lower() for name in names]
+    return tuple(
+        f"_c{k}" if not name else f"{name}{k}" if lower.count(name.lower()) > 1 else name for k, name in enumerate(names)
+    )
+
+
+def _by_header(spark: SparkSession, paths: list[str], multiline: bool) -> dict[tuple[str, ...], list[str]]:
+    """Paths by the header of their files. A header over several lines is read by Spark's own reader, path by path."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    if multiline:
+        reader = spark.read.options(**CSV_OPTIONS, multiLine=True)
+        for path in paths:
+            found.setdefault(tuple(reader.csv(path).columns), []).append(path)
+        return found
+    # a row per file: a scan needs their names on the driver
+    for row in headers(spark, paths).collect():
+        found.setdefault(_safe_names(row.names), []).append(row.path)
+    return {names: sorted(group) for names, group in sorted(found.items())}
+
+
 def _csv_by_name(
-    spark: SparkSession, entries: Iterable[str | list[str]], schema: T.StructType, extra: tuple[Column, ...] = (),
+    spark: SparkSession, paths: Iterable[str], schema: T.StructType, extra: tuple[Column, ...] = (),
     renames: dict[str, str] | None = None, multiline: bool = False,
-) -> DataFrame:
+) -> DataFrame | None:
     """CSV files matched to the schema by column name, whatever their column order.
 
-    One scan per distinct header; Spark checks every file against the header of
-    its scan. An entry is a file, a folder, or a list of part files of one folder;
-    the header of its first file speaks for it. Columns outside the schema are
-    not parsed.
+    One scan per distinct header, which may differ between the part files of a folder;
+    Spark checks every file against the header of its scan. Files without a line hold no
+    rows, and None stands for files that all have none. Columns outside the schema are not parsed.
     """
     reader = spark.read.options(**CSV_OPTIONS, enforceSchema=False, multiLine=multiline)
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for entry in entries:
-        paths = [entry] if isinstance(entry, str) else entry
-        names = tuple(reader.csv(paths[0]).columns)
-        by_header.setdefault(names, []).extend(paths)
     scans = []
-    for names, group in by_header.items():
+    for names, group in _by_header(spark, list(paths), multiline).items():
         texts = T.StructType([T.StructField(name, T.StringType()) for name in names])
         scan = reader.schema(texts).csv(group).withColumnsRenamed(renames or {})
         scans.append(scan.select(*map(_typed, schema.fields), *extra))
-    return reduce(DataFrame.unionByName, scans)
+    return reduce(DataFrame.unionByName, scans) if scans else None
+
 
+def _file_path() -> Column:
+    """The path of a row's file as it is, not as an address."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
-def credit_scan(spark: SparkSession, found: list[str] | list[list[str]], with_table: bool = False) -> DataFrame:
-    """All rows of the given snapshot files, typed; optionally with their table name."""
+
+def credit_scan(spark: SparkSession, found: list[str], with_table: bool = False) -> DataFrame:
+    """All rows of the given snapshot files and folders, typed; optionally with their table name."""
     extra: tuple[Column, ...] = ()
     if with_table:
-        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        extra = (snapshot_table(F.regexp_extract(path, CREDIT_ENTRY, 2)).alias("snapshot_table"),)
-    if not found:
-        schema = schemas.CREDIT
-        if with_table:
-            schema = T.StructType([*schema.fields, T.StructField("snapshot_table", T.StringType())])
-        return spark.createDataFrame([], schema)
-    return _csv_by_name(spark, found, schemas.CREDIT, extra)
+        extra = (snapshot_table(F.regexp_extract(_file_path(), CREDIT_ENTRY, 2)).alias("snapshot_table"),)
+    rows = _csv_by_name(spark, found, schemas.CREDIT, extra) if found else None
+    if rows is not None:
+        return rows
+    schema = schemas.CREDIT
+    if with_table:
+        schema = T.StructType([*schema.fields, T.StructField("snapshot_table", T.StringType())])
+    return spark.createDataFrame([], schema)
 
 
 def entry_paths(found: DataFrame) -> list[str]:
@@ -140,11 +190,14 @@ def _table(
         if not is_missing(error):
             raise
     try:
-        return _csv_by_name(spark, [f"{base}.csv"], schema, renames=renames, multiline=multiline)
+        rows = _csv_by_name(spark, [f"{base}.csv"], schema, renames=renames, multiline=multiline)
     except AnalysisException as error:
         if not is_missing(error):
             raise
-    return None
+        return None
+    if rows is None:
+        raise ValueError(f"{base}.csv has no header")
+    return rows
 
 
 def sheet(spark: SparkSession, raw_dir: str, name: str) -> DataFrame | None:

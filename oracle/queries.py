@@ -380,6 +380,11 @@ FILES = {
     "sink_replaced_table": COHORT,
     "mart_portfolio_from_states": _portfolio("*"),
     "mart_cohort_from_states": COHORT,
+    "win_latest_snapshot_from_state": PLAIN["win_latest_snapshot"],
+    "win_latest_nps_from_state": PLAIN["win_latest_nps"],
+    "mart_credit_vs_nps_from_state": PLAIN["mart_credit_vs_nps"],
+    "dq_observed_not_null": PLAIN["dq_not_null"],
+    "dq_observed_accepted_values": PLAIN["dq_accepted_values"],
     "sink_csv_content": f"""select *, row_number() over (order by cohort_quarter nulls last, snapshot_date nulls last,
         cohort_age_quarters nulls last) as position from ({COHORT})""",
     "sink_export_isolation": """select 'fails_in_python' export, 'SKIP' status, null::bigint "rows", true has_reason
@@ -400,6 +405,7 @@ FILES = {
         union all select 'stg_customers', 'OK', (select count(*) from cust)
         union all select 'SUMMARY', 'OK', 5""",
 }
+FILES["src_mixed_headers"] = FILES["src_credit_scan"]
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanscope import pipeline
-from loanscope.plans import staging
+from loanscope.plans import marts, quality, staging
 from loanscope.sinks import export, tables
 from loanscope.sources import catalog, files, sample_files, schemas
 from loanscope.sources.derived import raw_tables as derived_tables
@@ -70,6 +70,59 @@ def test_columns_are_matched_by_name(spark, tmp_path):
     assert (rows["B"].balance, rows["B"].customer_age) == (7.0, 40)
 
 
+def jobs_of(spark, group, act):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        act()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_part_files_of_one_entry_may_differ(spark, tmp_path):
+    entry = tmp_path / "Credit Data - 01-01-2025.csv"
+    turned = ["extra", *reversed(CREDIT_COLUMNS)]
+    write_csv(entry / "part-0.csv", [credit_line("A", balance="5"), credit_line("B", balance="6")])
+    write_csv(entry / "part 1+2%.csv", [credit_line("C", turned, balance="7", extra='"x,y"')], turned)
+    (entry / "part-2.csv").write_text("")
+    write_csv(entry / "part-3.csv", [])
+    scan = files.credit_scan(spark, files.entry_paths(files.discover(spark, str(tmp_path))), with_table=True)
+    assert sorted((r.loan_id, r.balance, r.snapshot_table) for r in scan.collect()) == [
+        (loan, balance, "credit_data_20250101") for loan, balance in (("A", 5.0), ("B", 6.0), ("C", 7.0))
+    ]
+
+
+def test_files_without_a_line(spark, tmp_path):
+    (tmp_path / "Credit Data - 01-01-2025.csv").write_text("")
+    scan = files.credit_scan(spark, files.entry_paths(files.discover(spark, str(tmp_path))), with_table=True)
+    assert scan.count() == 0 and scan.columns == [*CREDIT_COLUMNS, "snapshot_table"]
+    (tmp_path / files.WORKBOOK).mkdir()
+    (tmp_path / files.WORKBOOK / "DOB.csv").write_text("\n")
+    with pytest.raises(ValueError, match="no header"):
+        files.sheet(spark, str(tmp_path), "DOB")
+
+
+def test_headers_cost_the_same_jobs_for_many_entries(spark, tmp_path):
+    def entries(folder, n):
+        for k in range(n):
+            write_csv(tmp_path / folder / f"Credit Data - {k % 28 + 1:02d}-{k // 28 + 1:02d}-2025.csv", [credit_line(f"L{k}")])
+        return [str(path) for path in sorted((tmp_path / folder).iterdir())]
+
+    few, many = entries("few", 40), entries("many", 200)
+    counts = {}
+    for name, paths in (("few", few), ("many", many)):
+        counts[name] = jobs_of(spark, f"headers-{name}", lambda: files.headers(spark, paths).collect())
+    assert counts["few"] == counts["many"] <= 2
+    assert files.credit_scan(spark, many).count() == 200
+
+
+def test_a_long_file_is_one_partition_of_headers(spark, tmp_path):
+    write_csv(tmp_path / "Credit Data - 01-01-2025.csv", [credit_line(f"L{k}") for k in range(60_000)])
+    found = files.headers(spark, [str(tmp_path)])
+    assert found.rdd.getNumPartitions() == 1
+    assert [list(r.names) for r in found.collect()] == [CREDIT_COLUMNS]
+
+
 def test_missing_column_fails(spark, tmp_path):
     columns = [c for c in CREDIT_COLUMNS if c != "balance"]
     write_csv(tmp_path / "Credit Data - 01-01-2025.csv", [credit_line("A", columns)], columns)
@@ -278,3 +331,22 @@ def test_pipeline(spark, sf_dir):
     assert again["ledger"].count() == 5
     failing = {(r.model, r.column_name): r.failing_rows for r in again["not_null"].collect()}
     assert failing["stg_nps", "nps_score"] > 0 and failing["stg_customers", "loan_id"] == 0
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    for name, check in (("not_null", quality.not_null), ("accepted_values", quality.accepted_values), ("unique", quality.unique)):
+        assert rows(again[name]) == rows(check(raw)), name
+        # counted while the models were stored: nothing is scanned again, but the key of unique()
+        scanned = [path for path in again[name].inputFiles() if "/models/stg_customers/" not in path]
+        assert not scanned and (name == "unique" or not again[name].inputFiles())
+    assert rows(again["mart_credit_vs_nps"]) == rows(marts.credit_vs_nps(raw))
+
+
+def test_checks_of_batches_that_were_not_counted(spark, tmp_path):
+    raw_dir, target = tmp_path / "raw", tmp_path / "target"
+    write_csv(raw_dir / "Credit Data - 01-01-2025.csv", [credit_line("A"), credit_line("")])
+    ingest.ingest(spark, str(raw_dir), str(target))
+    first = ingest.check_results(spark, str(target))
+    assert first == [("not_null", "stg_credit_snapshots", "loan_id", 1), ("not_null", "stg_credit_snapshots", "snapshot_date", 0)]
+    (target / ingest.CHECKS).rename(target / "elsewhere")  # as a table of before has none
+    write_csv(raw_dir / "Credit Data - 31-03-2025.csv", [credit_line("")])
+    ingest.ingest(spark, str(raw_dir), str(target))
+    assert [row[3] for row in ingest.check_results(spark, str(target))] == [2, 0]

@@ -41,6 +41,30 @@ def test_only_new_batches_are_read(spark, sf_dir):
     assert rows(states.mart(spark, target, "mart_cohort_analysis", raw)) == rows(marts.cohort_analysis(ingested))
 
 
+def test_newest_facts_follow_batches(spark, sf_dir):
+    raw, folder, target = raw_tables(spark, sf_dir), scratch_dir(spark), scratch_dir(spark)
+    assert states.update_newest(spark, target) == [] and states.newest_facts(spark, target).count() == 0
+    snapshots = list(sample_files.snapshot_rows(raw).items())
+    early = F.crc32("loan_id") % 2 == 0
+    for part, some in ((early, snapshots[1:3]), (~early, snapshots[1:3]), (early, snapshots[:1])):  # the oldest comes last
+        for table, df in some:
+            sample_files.write_snapshot(df.where(part), folder, table, mode="append")
+        ingest.ingest(spark, folder, target)
+        assert states.update_newest(spark, target) and states.update_newest(spark, target) == []
+        ranked = marts.latest_facts(ingest.facts(spark, target))
+        assert sorted(map(str, rows(states.newest_facts(spark, target)))) == sorted(map(str, rows(ranked)))
+
+
+def test_merging_is_right_with_ties_and_twice(spark, tmp_path):
+    order = lambda: [F.desc_nulls_last("t"), F.asc_nulls_last("v")]
+    batches = [[("a", 1, 5), ("a", 3, 9), ("b", None, 1), (None, 2, 2)], [("a", 3, 7), ("b", 0, 4), ("c", 1, 1)], [("a", 2, 0), ("c", 1, None), (None, 2, 1)]]
+    path, schema = str(tmp_path / "t"), "k string, t int, v int"
+    for n in (0, 1, 0, 2):
+        states.merge_newest(spark.createDataFrame(batches[n], schema), path, "k", order())
+    found = {tuple(r) for r in tables.current_table(spark, path).collect()}
+    assert found == {("a", 3, 7), ("b", 0, 4), ("c", 1, 1), (None, 2, 1)}
+
+
 def test_replacement_is_one_act(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.current_version(spark, path) is None
