@@ -4,10 +4,11 @@ Adaptive execution splits a hot partition only where a join reads both sides
 straight from shuffles on the join key; in a chain of joins on one key, or below
 a union or window, it does not. The joins here deal rows out themselves: the
 number of rows of each key and side comes from one aggregate over the key
-columns, combined map-side. A key with more than HOT_ROWS rows on a side has
-them dealt to several pieces by a hash of the row and its place among equal ones,
-and the matching rows of the other side go to each of these pieces; all other keys have one piece. Joins run
-on (key, pieces), so a hot key never lands in one task, wherever the join stands.
+columns, combined map-side, which is stored: every join of a chain asks it. A key with
+more than HOT_ROWS rows on a side has them dealt to several pieces by a hash of the row and
+its place among equal ones, and the matching rows of the other side go to each of these pieces; all other keys have
+one piece. Such joins run on (key, pieces), so a hot key never lands in one task, wherever the join stands. Without hot
+keys a join is a plain one on the key, and a chain of them shuffles and sorts its rows once.
 
 Outer joins are inner joins over sides that have first been completed with the
 keys they miss, which the same aggregate tells. Rows are never dropped, so
@@ -21,6 +22,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loanscope.sources.scratch import scratch_dir
+
 
 #: Rows of a key and side that one task may take.
 HOT_ROWS = 1_000_000
@@ -38,6 +41,14 @@ def key_sizes(sides: Mapping[str, DataFrame], key: str) -> DataFrame:
     return sums.select("*", *((F.col(f"n_{name}") > 0).alias(f"has_{name}") for name in sides))
 
 
+def stored_sizes(sides: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """``key_sizes``, written once and read by every join that needs them."""
+    sizes = key_sizes(sides, key)
+    path = f"{scratch_dir(sizes.sparkSession)}/key_sizes"
+    sizes.write.parquet(path)
+    return sizes.sparkSession.read.schema(sizes.schema).parquet(path)
+
+
 def key_presence(sides: Mapping[str, DataFrame], key: str) -> DataFrame:
     """One row per non-null key, with a boolean ``has_<side>`` per side."""
     return key_sizes(sides, key).select(key, *(f"has_{name}" for name in sides))
@@ -51,8 +62,11 @@ def rows_of(*sides: str) -> Column:
 def split_join(left: DataFrame, right: DataFrame, key: str, sizes: DataFrame, left_rows: Column, right_rows: Column) -> DataFrame:
     """Inner join on a key whose rows per side ``sizes`` knows."""
     pieces = lambda rows: F.greatest(F.ceil(rows / F.lit(HOT_ROWS)), F.lit(1)).cast("int")
-    hot = sizes.select(key, pieces(left_rows).alias("_lefts"), pieces(right_rows).alias("_rights"))
-    hot = hot.where("_lefts > 1 or _rights > 1")  # at most one key per HOT_ROWS rows
+    found = sizes.select(key, pieces(left_rows).alias("_lefts"), pieces(right_rows).alias("_rights"))
+    found = found.where("_lefts > 1 or _rights > 1")
+    if not (few := found.collect()):  # at most one key per HOT_ROWS rows
+        return left.join(right, key)
+    hot = F.broadcast(sizes.sparkSession.createDataFrame(few, found.schema))
 
     def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
         # Equal rows are told apart by their place among the rows of their partition in the order of a hash. They are
@@ -75,7 +89,7 @@ def pad(side: DataFrame, presence: DataFrame, needed: Column, key: str, **values
 
 def full_join(sides: Mapping[str, DataFrame], key: str) -> DataFrame:
     """Full outer join of several sides on one non-null key."""
-    sizes, names = key_sizes(sides, key), list(sides)
+    sizes, names = stored_sizes(sides, key), list(sides)
     padded = [pad(df, sizes, ~F.col(f"has_{name}"), key) for name, df in sides.items()]
     result = padded[0]
     for n, side in enumerate(padded[1:], 1):
@@ -100,7 +114,7 @@ def left_join(
     with a NULL key, or failing ``matchable``, match nothing and go around the join.
     """
     if sizes is None:
-        sizes = key_sizes({"left": left, "right": right}, key)
+        sizes = stored_sizes({"left": left, "right": right}, key)
         unmatched = F.col("has_left") & ~F.col("has_right")
         left_rows, right_rows = rows_of("left"), rows_of("right")
     joins = F.col(key).isNotNull()

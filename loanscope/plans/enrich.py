@@ -37,7 +37,7 @@ def _people_rows() -> Column:
 def customers_with_demographics(raw: RawTables, sizes: DataFrame | None = None) -> DataFrame:
     """Every sale with every combination of its birth, gender and income records."""
     sides = _customer_sides(raw)
-    sizes = joins.key_sizes(sides, KEY) if sizes is None else sizes
+    sizes = joins.stored_sizes(sides, KEY) if sizes is None else sizes
     some_record = F.col("has_dob") | F.col("has_gender")
     total_without_income = F.when(some_record, F.lit(0.0))
     padding = {"income": {"total_income": total_without_income}}
@@ -77,9 +77,12 @@ def customer_enriched(raw: RawTables) -> DataFrame:
     })
 
 
-def _credit_with_customer(facts: DataFrame, keys: DataFrame, raw: RawTables) -> DataFrame:
-    """``facts`` may carry columns besides those of ``keys``, the same facts as staged; ages use each fact's own date."""
-    sizes = joins.key_sizes({"fact": keys, **_customer_sides(raw)}, KEY)
+def _credit_with_customer(facts: DataFrame, keys: DataFrame, raw: RawTables, around: DataFrame | None = None) -> DataFrame:
+    """``facts`` may carry columns besides those of ``keys``, the facts as staged; ages use each fact's own date.
+
+    Rows ``around`` have no loan id and go around the join.
+    """
+    sizes = joins.stored_sizes({"fact": keys, **_customer_sides(raw)}, KEY)
     people = customers_with_demographics(raw, sizes).select(
         KEY, *CUSTOMER_COLUMNS, F.col("return_date").alias("customer_return_date"),
         "date_of_birth", "gender", "citizenship", "avg_monthly_income",
@@ -90,6 +93,8 @@ def _credit_with_customer(facts: DataFrame, keys: DataFrame, raw: RawTables) ->
         facts, people, KEY, sizes, F.col("has_fact") & ~F.col("has_sale"),
         matchable=F.col("snapshot_date").isNotNull(), left_rows=joins.rows_of("fact"), right_rows=_people_rows(),
     )
+    if around is not None:
+        joined = joined.unionByName(around, allowMissingColumns=True)
     age, loan, cash = _age(F.col("snapshot_date")), F.col("loan_price"), F.col("cash_price")
     return joined.withColumns({
         "age_at_snapshot": age,
@@ -134,16 +139,17 @@ def credit_with_nps(raw: RawTables) -> DataFrame:
     """Facts with customer rows and the newest response.
 
     The response (one per loan) joins the facts before these fan out; the keys
-    and their sizes come from the plain facts, so the top-1 is planned once.
+    and their sizes come from the plain facts, so the top-1 is planned once. Facts without
+    a loan id go around both joins, so the first leaves its rows as the second takes them.
     """
     facts = staging.credit_snapshots(raw.credit_data)
     newest = latest_responses(staging.survey(raw.nps_data))
     newest = newest.withColumnRenamed("submitted_at", "nps_submitted_at")
     columns = [c for c in newest.columns if c != KEY]
     answered = staging.survey(raw.nps_data).select(KEY)
-    sizes = joins.key_sizes({"fact": facts, "response": answered}, KEY)
-    with_response = joins.left_join(
-        facts, newest, KEY, sizes, F.col("has_fact") & ~F.col("has_response"), left_rows=joins.rows_of("fact"), right_rows=F.lit(1),
-    )
-    joined = _credit_with_customer(with_response, facts, raw)
+    sizes = joins.stored_sizes({"fact": facts, "response": answered}, KEY)
+    padded = joins.pad(newest, sizes, F.col("has_fact") & ~F.col("has_response"), KEY)
+    known = F.col(KEY).isNotNull()
+    with_response = joins.split_join(facts.where(known), padded, KEY, sizes, joins.rows_of("fact"), F.lit(1))
+    joined = _credit_with_customer(with_response, facts, raw, around=facts.where(~known))
     return joined.select(*_credit_columns(facts), *columns)

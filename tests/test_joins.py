@@ -98,6 +98,15 @@ def test_hot_key_is_split(spark, hot_side):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_rows_are_dealt_only_with_hot_keys(spark, monkeypatch):
+    left, right = keyed(spark, 1, "a"), keyed(spark, 2, "b")
+    plans = {}
+    for most in (10**6, 5):
+        monkeypatch.setattr(joins, "HOT_ROWS", most)
+        plans[most] = joins.left_join(left, right, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_seed" not in plans[10**6] and "_seed" in plans[5]
+
+
 PLANS = {
     "customers_with_demographics": (enrich.customers_with_demographics, ("customer_sales", "customer_dob", "customer_gender", "customer_income")),
     "demographics": (staging.demographics, ("customer_dob", "customer_gender", "customer_income")),
