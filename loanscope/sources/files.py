@@ -36,9 +36,10 @@ CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 def snapshot_table(stem: Column) -> Column:
     """``… dd-mm-yyyy …`` → ``credit_data_yyyymmdd``; an undated name is made an identifier."""
-    day, month, year = (F.regexp_extract(stem, FILE_DATE, group) for group in (1, 2, 3))
+    date = F.regexp_extract(stem, FILE_DATE, 0)
+    year, month, day = F.substring(date, 7, 4), F.substring(date, 4, 2), F.substring(date, 1, 2)
     dated = F.concat(F.lit(TABLE_PREFIX), year, month, day)
-    return F.when(stem.rlike(FILE_DATE), dated).otherwise(F.translate(F.lower(stem), " -", "__"))
+    return F.when(date != "", dated).otherwise(F.translate(F.lower(stem), " -", "__"))
 
 
 def entry_files(paths: DataFrame) -> DataFrame:
@@ -82,7 +83,7 @@ def _typed(field: T.StructField) -> Column:
 
 
 def _first_lines(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first line that is not blank of a partition, which holds one file; the rest is not asked for."""
+    """The first line that is not blank of a partition, which holds one file."""
     for batch in source:
         for path, line in zip(*(column.to_pylist() for column in batch.columns)):
             if line.strip():
@@ -90,6 +91,8 @@ def _first_lines(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 return
 
 
+#: A line with something in it, whatever counts as white space.
+NOT_BLANK = r"(?U)[^\s\x1c-\x1f]"
 #: Bytes that a file counts at least when partitions are made up, so that none holds a second file or a part of one.
 ONE_FILE = str(1 << 42)
 
@@ -97,15 +100,16 @@ ONE_FILE = str(1 << 42)
 def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(path, names) of every CSV file at or below the paths, from one job; files without a line have no row.
 
-    A task per file reads its first lines and stops. The session for it has settings of its own: a file
-    is one partition, and lines travel a few at a time.
+    The session for it has settings of its own: a file is one partition. Its lines are numbered where they are
+    read, and only the first leaves the scan: a Python task would be sent all others too, even if it has ended.
     """
     apart = spark.newSession()
     for name in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"):
         apart.conf.set(name, ONE_FILE)
-    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    lines = apart.read.text(paths).select(_file_path().alias("path"), "value")
-    return lines.mapInArrow(_first_lines, "path string, names array<string>")
+    lines = apart.read.text(paths).where(F.col("value").rlike(NOT_BLANK))
+    numbered = lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("id"))
+    first = numbered.where(F.col("id") % F.lit(1 << 33) == 0)  # the lower 33 bits count the rows of a partition
+    return first.select(_decoded(F.col("file")).alias("path"), "value").mapInArrow(_first_lines, "path string, names array<string>")
 
 
 def _safe_names(names: list[str]) -> tuple[str, ...]:
@@ -149,16 +153,22 @@ def _csv_by_name(
     return reduce(DataFrame.unionByName, scans) if scans else None
 
 
-def _file_path() -> Column:
-    """The path of a row's file as it is, not as an address."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+def _decoded(address: Column) -> Column:
+    """A path as it is, not as an address."""
+    return F.url_decode(F.replace(address, F.lit("+"), F.lit("%2B")))
+
+
+def _entry_stem() -> Column:
+    """The stem of the entry of a row's file: it is the last name of the path or the one before, so no more is searched."""
+    end = F.substring_index(F.col("_metadata.file_path"), "/", -2)
+    return F.regexp_extract(F.concat(F.lit("/"), _decoded(end)), CREDIT_ENTRY, 2)
 
 
 def credit_scan(spark: SparkSession, found: list[str], with_table: bool = False) -> DataFrame:
     """All rows of the given snapshot files and folders, typed; optionally with their table name."""
     extra: tuple[Column, ...] = ()
     if with_table:
-        extra = (snapshot_table(F.regexp_extract(_file_path(), CREDIT_ENTRY, 2)).alias("snapshot_table"),)
+        extra = (snapshot_table(_entry_stem()).alias("snapshot_table"),)
     rows = _csv_by_name(spark, found, schemas.CREDIT, extra) if found else None
     if rows is not None:
         return rows

@@ -11,6 +11,9 @@ from loanscope.sources.derived import SNAPSHOTS, RawTables
 
 # The survey export is headed by question texts naming some brand and its app.
 SAMPLE_HEADERS = schemas.survey_headers(brand="Acme", app="AcmeApp")
+# A compressed file is read by one task, so a part file has no more rows than this.
+PART_ROWS = 200_000
+CSV_PARTS = {**files.CSV_OPTIONS, "compression": "snappy", "maxRecordsPerFile": PART_ROWS}
 
 
 def _us_date(day: str) -> str:
@@ -26,7 +29,7 @@ def snapshot_rows(raw: RawTables) -> dict[str, DataFrame]:
 def write_snapshot(df: DataFrame, raw_dir: str, table: str, suffix: str = "", mode: str = "errorifexists") -> None:
     stamp = table.removeprefix(files.TABLE_PREFIX)
     name = f"Credit Data - {stamp[6:]}-{stamp[4:6]}-{stamp[:4]}{suffix}"
-    df.write.mode(mode).options(**files.CSV_OPTIONS).csv(f"{raw_dir}/{name}.csv")
+    df.write.mode(mode).options(**CSV_PARTS).csv(f"{raw_dir}/{name}.csv")
 
 
 def write_snapshots(raw: RawTables, raw_dir: str) -> None:
@@ -41,7 +44,7 @@ def write_sheets(raw: RawTables, raw_dir: str) -> None:
         if sheet in ("Gender", "DOB"):
             df.write.parquet(f"{base}.parquet")
         else:
-            df.write.options(**files.CSV_OPTIONS).csv(f"{base}.csv")
+            df.write.options(**CSV_PARTS).csv(f"{base}.csv")
 
 
 def write_survey(raw: RawTables, raw_dir: str) -> None:
@@ -49,7 +52,7 @@ def write_survey(raw: RawTables, raw_dir: str) -> None:
     # As text, to keep the microseconds.
     stamped = raw.nps_data.withColumn("Submitted at", F.col("Submitted at").cast("string"))
     renamed = stamped.withColumnsRenamed(questions)
-    renamed.write.options(**files.CSV_OPTIONS).csv(f"{raw_dir}/{files.SURVEY_FILE}.csv")
+    renamed.write.options(**CSV_PARTS).csv(f"{raw_dir}/{files.SURVEY_FILE}.csv")
 
 
 def register_tables(spark: SparkSession, raw: RawTables) -> list[str]:

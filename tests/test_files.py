@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,6 +124,32 @@ def test_a_long_file_is_one_partition_of_headers(spark, tmp_path):
     assert [list(r.names) for r in found.collect()] == [CREDIT_COLUMNS]
 
 
+def test_one_line_of_a_file_leaves_the_scan_for_its_header(spark, tmp_path, monkeypatch):
+    (tmp_path / "Credit Data - 01-01-2025.csv").mkdir()
+    for n in range(2):
+        write_csv(tmp_path / "Credit Data - 01-01-2025.csv" / f"part-{n}.csv", ["", " \t", *(credit_line(f"L{k}") for k in range(300))], ["", *CREDIT_COLUMNS][n:])
+
+    def whole(source):
+        for batch in source:
+            paths, lines = (column.to_pylist() for column in batch.columns)
+            yield pa.record_batch([pa.array(paths), pa.array([[line] for line in lines], pa.list_(pa.string()))], names=["path", "names"])
+
+    monkeypatch.setattr(files, "_first_lines", whole)
+    found = files.headers(spark, [str(tmp_path / "Credit Data - 01-01-2025.csv")]).collect()
+    assert sorted(r.names[0] for r in found) == sorted([",".join(["", *CREDIT_COLUMNS]), ",".join(CREDIT_COLUMNS)])
+
+
+def test_rows_of_a_snapshot_are_dealt_over_compressed_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(sample_files.CSV_PARTS, "maxRecordsPerFile", 10)
+    raw = files.load_raw(spark, str(tmp_path))
+    rows = spark.range(25).selectExpr("concat('L', id) as loan_id", "id as balance").coalesce(1)
+    rows = raw.credit_data.drop("loan_id", "balance").unionByName(rows, allowMissingColumns=True).select(*CREDIT_COLUMNS)
+    sample_files.write_snapshot(rows, str(tmp_path), "credit_data_20250101")
+    assert len(list((tmp_path / "Credit Data - 01-01-2025.csv").glob("*-c00[012].csv.snappy"))) >= 3
+    scan = files.credit_scan(spark, files.entry_paths(files.discover(spark, str(tmp_path))), with_table=True)
+    assert {(r.loan_id, r.balance, r.snapshot_table) for r in scan.collect()} == {(f"L{n}", n, "credit_data_20250101") for n in range(25)}
+
+
 def test_missing_column_fails(spark, tmp_path):
     columns = [c for c in CREDIT_COLUMNS if c != "balance"]
     write_csv(tmp_path / "Credit Data - 01-01-2025.csv", [credit_line("A", columns)], columns)
