@@ -7,25 +7,30 @@ gives the quantile of strengths at which a document is rejected, and the score i
 to that threshold, moved so that the threshold itself has the score CUT.
 
 Labels are read only of documents that are not held out; identifier, language and source are no inputs. The fit takes
-a bounded sample: at most SAMPLE documents of each label and PAIRS preferences (parameters). Null and empty texts have
+all labelled documents: dealt by a hash, they meet in blocks of about BLOCK, and every pair of both labels in a block is a
+preference. Tasks add up slope and curvature of the loss, the driver solves for each Newton step. The threshold is the
+quantile of the strengths of all of them. Null and empty texts have
 all features zero and get a score like any other. Without labels of both kinds every score is 0.5.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from loanscope.llm.samples import held_out, labelled, sample
-from loanscope.llm.shared import lean
+from loanscope.llm.samples import held_out, labelled
+from loanscope.llm.shared import bloom, lean, written
 from loanscope.llm.words import blocks, find_words, hash_words, text_bytes
 
-SAMPLE = 6000
-PAIRS = 60_000
+#: Documents that are compared with each other, on average.
+BLOCK = 512
+#: Ranges per step of the search for a quantile.
+BINS = 4096
 CUT = 0.3
 
 _GROUP = np.empty(256, np.int64)
@@ -79,50 +84,137 @@ class Model:
         return 1 / (1 + np.exp(-z))
 
 
-def fit_pairs(x: np.ndarray, label: np.ndarray, bad_share: float, pairs: int = PAIRS, ridge: float = 1e-3, steps: int = 25) -> Model:
-    """Newton steps on the logistic loss of (good - bad) differences; the threshold is the quantile bad_share."""
-    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
+def pair_sums(x: np.ndarray, label: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Number, slope and curvature at w of the logistic loss over all pairs (good, bad) of some documents, as one vector."""
+    size = x.shape[1]
+    good, bad = x[label == 1], x[label == 0]
     if not len(good) or not len(bad):
-        return Model(np.zeros(x.shape[1]), float(np.log(CUT / (1 - CUT))))
-    scale = x.std(axis=0)
-    scale = np.where(scale > 1e-9, scale, np.inf)
-    rng = np.random.default_rng(0)
-    n = min(pairs, 20 * max(len(good), len(bad)))
-    d = (x[good[rng.integers(len(good), size=n)]] - x[bad[rng.integers(len(bad), size=n)]]) / scale
-    w = np.zeros(x.shape[1])
+        return np.zeros(1 + size + size * size)
+    z = np.clip((good @ w)[:, None] - (bad @ w)[None, :], -40, 40)
+    p = 1 / (1 + np.exp(z))  # how surprising each preference still is
+    slope = good.T @ p.sum(axis=1) - bad.T @ p.sum(axis=0)
+    q = p * (1 - p)
+    cross = good.T @ (q @ bad)
+    curve = (good * q.sum(axis=1)[:, None]).T @ good + (bad * q.sum(axis=0)[:, None]).T @ bad - cross - cross.T
+    return np.concatenate([[len(good) * len(bad)], slope, curve.ravel()])
+
+
+def newton(sums: Callable[[np.ndarray], np.ndarray], scale: np.ndarray, ridge: float = 1e-3, steps: int = 25) -> np.ndarray:
+    """Weights at the least loss; `sums` gives pair_sums over all blocks, of features divided by scale."""
+    w = np.zeros(len(scale))
     for _ in range(steps):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -40, 40)))  # how surprising each preference still is
-        slope = d.T @ p / n - ridge * w
-        curve = (d * (p * (1 - p))[:, None]).T @ d / n + ridge * np.eye(len(w))
+        total = sums(w)
+        n = max(total[0], 1.0)
+        slope = total[1 : 1 + len(w)] / n - ridge * w
+        curve = total[1 + len(w) :].reshape(len(w), -1) / n + ridge * np.eye(len(w))
         step = np.linalg.solve(curve, slope)
-        w = w + step * min(1.0, 3.0 / max(np.abs(d @ step).max(), 1e-9) * 10)
+        w = w + step * min(1.0, 30.0 / max(np.abs(step).sum(), 1e-9))
         if np.abs(step).max() < 1e-4:
             break
-    w = w / scale
-    strength = x @ w
-    weight = np.where(label == 0, bad_share / len(bad), (1 - bad_share) / len(good))
-    order = np.argsort(strength, kind="stable")
-    at = min(int(np.searchsorted(np.cumsum(weight[order]), bad_share)), len(order) - 2) if len(order) > 1 else 0
-    return Model(w, float((strength[order][at] + strength[order][min(at + 1, len(order) - 1)]) / 2))
+    return w / scale
+
 
+def _scale(spread: np.ndarray) -> np.ndarray:
+    return np.where(spread > 1e-9, spread, np.inf)
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, key: str = "doc_id", text: str = "text") -> Model:
-    known = labelled(labels, "quality")
-    counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
-    rows = sample(docs, known, {0: most, 1: most}, key, text)
+
+def fit_pairs(x: np.ndarray, label: np.ndarray, bad_share: float) -> Model:
+    """The fit over all pairs of documents in memory; the threshold is the quantile bad_share."""
+    if not (label == 1).any() or not (label == 0).any():
+        return Model(np.zeros(x.shape[1]), float(np.log(CUT / (1 - CUT))))
+    scale = _scale(x.std(axis=0))
+    w = newton(lambda w: pair_sums(x / scale, label, w), scale)
+    strength = np.sort(x @ w)
+    at = min(max(int(np.ceil(bad_share * len(strength))) - 1, 0), len(strength) - 2)
+    return Model(w, float((strength[at] + strength[at + 1]) / 2))
+
+
+def _summed(rows: DataFrame, width: int, act: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum of act(features, labels) over the blocks, each a run of rows in one task; a vector per task comes to the driver."""
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, held, block = np.zeros(width), [], None
+
+        def add() -> None:
+            nonlocal total
+            y, x = (np.concatenate(part) for part in zip(*held))
+            for k in range(0, len(y), 2 * BLOCK):  # a block with more rows holds documents of one identifier
+                total = total + act(x[k : k + 2 * BLOCK].astype(float), y[k : k + 2 * BLOCK])
+            held.clear()
+
         for batch in source:
-            for i, j, x in features(batch.column(2)):
-                cells = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), N_FEATURES).cast(pa.list_(pa.float64()))
-                yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), cells], names=["doc_id", "label", "x"])
+            blocks_, y = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
+            for a, b in itertools.pairwise([0, *(np.flatnonzero(np.diff(blocks_)) + 1), len(y)]):
+                if held and blocks_[a:b].tolist()[:1] != [block]:
+                    add()
+                if b > a:
+                    block = int(blocks_[a])
+                    held.append((y[a:b], x[a:b]))
+        if held:
+            add()
+        yield pa.record_batch([pa.array([total], pa.list_(pa.float64()))], names=["v"])
+
+    found = rows.select("block", "label", "x").mapInArrow(lean(task), "v array<double>").toArrow().column("v")
+    return sum((np.asarray(v) for v in found.to_pylist()), np.zeros(width))
+
+
+def quantile_between(strengths: DataFrame, rank: int) -> float:
+    """Middle between the rank-th and the next smallest `s`, counted from 1; ranges are narrowed until few rows are left."""
+
+    def value(k: int) -> float:
+        low, high, below = *strengths.agg(F.min("s"), F.max("s")).first(), 0
+        while high > low:
+            inside = strengths.filter(F.col("s").between(low, high))
+            step = (high - low) / BINS
+            place = F.least(F.floor((F.col("s") - low) / step), F.lit(BINS - 1))
+            counts = inside.groupBy(place.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("low"), F.max("s").alias("high"))
+            for row in sorted(counts.collect(), key=lambda row: row.b):
+                if below + row.n >= k:
+                    if (row.low, row.high) == (low, high):
+                        return low  # neighbouring doubles
+                    low, high = row.low, row.high
+                    break
+                below += row.n
+        return low
+
+    return (value(rank) + value(rank + 1)) / 2
+
+
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
+    known = written(labelled(labels, "quality").select(F.col("doc_id").cast("long").alias("doc_id"), "label"))
+    holds = bloom(known.select(F.xxhash64("doc_id").alias("h")))
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
-    found = rows.mapInArrow(lean(task), "doc_id long, label int, x array<double>").toArrow().sort_by("doc_id")
-    if not found.num_rows:
+    def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            for i, j, x in features(batch.column(1)):
+                cells = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel().astype(np.float32)), N_FEATURES).cast(pa.list_(pa.float32()))
+                yield pa.record_batch([batch.column(0).slice(i, j - i), cells], names=["doc_id", "x"])
+
+    # texts stay where they are: what passes the filter is joined by its features
+    read = rows.filter(holds(F.xxhash64("doc_id"))).mapInArrow(lean(task), "doc_id long, x array<float>").join(known, "doc_id")
+    # a block is one row, so no task gets a part of it
+    block = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, known.count() // BLOCK))).alias("block")
+    stored = written(read.groupBy(block).agg(F.sort_array(F.collect_list(F.struct("doc_id", "label", "x"))).alias("rows")))
+    seen = stored.select("block", F.inline("rows"))
+    counts = {r.label: r["count"] for r in seen.groupBy("label").count().collect()}
+    if len(counts) < 2:
         return Model(np.zeros(N_FEATURES), float(np.log(CUT / (1 - CUT))))
-    x = found.column("x").combine_chunks().flatten().to_numpy().reshape(-1, N_FEATURES)
-    bad_share = counts.get(0, 0) / max(sum(counts.values()), 1)
-    return fit_pairs(x, found.column("label").to_numpy(), bad_share)
+    n = sum(counts.values())
+    moments = _summed(seen, 2 * N_FEATURES, lambda x, y: np.concatenate([x.sum(axis=0), (x * x).sum(axis=0)])) / n
+    mean, square = moments[:N_FEATURES], moments[N_FEATURES:]
+    spread = np.maximum(square - mean * mean, 0)
+    scale = _scale(np.sqrt(np.where(spread > 1e-9 * square, spread, 0)))  # less is rounding
+    w = newton(lambda w: _summed(seen, 1 + N_FEATURES + N_FEATURES**2, lambda x, y: pair_sums(x / scale, y, w)), scale)
+
+    def strength(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
+            yield pa.record_batch([pa.array(x.astype(float) @ w)], names=["s"])
+
+    strengths = written(seen.select("x").mapInArrow(lean(strength), "s double"))
+    return Model(w, quantile_between(strengths, counts[0]))
 
 
 def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -62,6 +62,35 @@ def test_pairs_order_documents():
     assert ((model.scores(x) >= bradley_terry.CUT) == (label == 1)).all()
 
 
+def test_every_labelled_document_counts(spark):
+    """One document among thousands decides whether a feature is known to be bad, and the threshold is theirs all."""
+    good = [(n, "good plain words here") for n in range(0, 14_000) ]
+    docs = spark.createDataFrame([*good, *((n, "BAD!! SHOUT!!") for n in range(14_000, 14_020))], "doc_id long, text string")
+    known = docs.selectExpr("doc_id", "cast(doc_id < 14000 as int) as quality")
+    seen = []
+    summed = bradley_terry._summed
+
+    def counted(rows, width, act):
+        seen.append(rows.count())
+        return summed(rows, width, act)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(bradley_terry, "_summed", counted)
+        model = bradley_terry.fit(docs, known)
+    used = sum(binascii.crc32(str(n).encode()) % 5 != 0 for n in range(14_020))
+    assert set(seen) == {used}
+    found = bradley_terry.scored(docs, model)
+    assert found.filter("(doc_id < 14000) <> (predicted = 1)").count() == 0
+
+
+def test_quantile_between(spark):
+    values = [0.5, -3.0, 0.5, 1e-9, 7.0, 1e9, 0.5, 2e-9]
+    rows = spark.createDataFrame([(v,) for v in values], "s double")
+    order = sorted(values)
+    for rank in range(1, len(values)):
+        assert bradley_terry.quantile_between(rows, rank) == (order[rank - 1] + order[rank]) / 2
+
+
 def test_fit_finds_a_pair_of_neutral_terms(spark):
     """Two words stand in half of the toxic and half of the clean documents each; only together or apart do they tell."""
     rng = np.random.default_rng(1)
