@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from loanscope.llm.shared import lean
+from loanscope.llm.shared import hand_back, lean
 from loanscope.llm.words import blocks, hash_words, text_bytes
 
 #: Symbols up to which segments run side by side; longer ones have a heap each.
@@ -311,7 +311,9 @@ def encoded(column: pa.Array, codec: PieceCodec, check_every: int) -> Iterator[t
     data, offsets = text_bytes(plain(column))
     for i, j in blocks(offsets, BLOCK):
         ids, at = codec.encode_block(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        hand_back()  # what a block took isn't held beside what the next step takes
         back, back_at = codec.decode_block(ids, at)
+        hand_back()
         raw = memoryview(back)
         for k in range(i, j):
             own = ids[at[k - i] : at[k - i + 1]]

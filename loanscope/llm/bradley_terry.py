@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loanscope.llm.samples import held_out, labelled
-from loanscope.llm.shared import bloom, lean, written
+from loanscope.llm.shared import bloom, in_bloom, lean, written
 from loanscope.llm.words import blocks, find_words, hash_words, text_bytes
 
 #: Documents that are compared with each other, on average.
@@ -183,17 +183,19 @@ def quantile_between(strengths: DataFrame, rank: int) -> float:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     known = written(labelled(labels, "quality").select(F.col("doc_id").cast("long").alias("doc_id"), "label"))
-    holds = bloom(known.select(F.xxhash64("doc_id").alias("h")))
+    table = bloom(known.select(F.xxhash64("doc_id").alias("h"))).table
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
+            batch = batch.filter(pa.array(in_bloom(table.value, batch.column(2).to_numpy().view(np.uint64))))
             for i, j, x in features(batch.column(1)):
                 cells = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel().astype(np.float32)), N_FEATURES).cast(pa.list_(pa.float32()))
                 yield pa.record_batch([batch.column(0).slice(i, j - i), cells], names=["doc_id", "x"])
 
-    # texts stay where they are: what passes the filter is joined by its features
-    read = rows.filter(holds(F.xxhash64("doc_id"))).mapInArrow(lean(task), "doc_id long, x array<float>").join(known, "doc_id")
+    # texts stay where they are: what passes the filter is joined by its features; the filter runs inside the task, as a
+    # second Python step would double the workers of every later stage
+    read = rows.select("*", F.xxhash64("doc_id")).mapInArrow(lean(task), "doc_id long, x array<float>").join(known, "doc_id")
     # a block is one row, so no task gets a part of it
     block = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, known.count() // BLOCK))).alias("block")
     stored = written(read.groupBy(block).agg(F.sort_array(F.collect_list(F.struct("doc_id", "label", "x"))).alias("rows")))
