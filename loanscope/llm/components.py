@@ -27,14 +27,20 @@ def _stars(edges: DataFrame) -> bool:
     return not ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or up = 1 and down = 1").take(1)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of all nodes of `edges` (a, b: long); the component is its smallest node.
+def smallest(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) from every node of `edges` (a, b: long) that isn't the smallest of its component to the one that is.
 
     Each round is written to the shared folder; it ends when the edges are stars around the smallest nodes.
     """
     edges = written(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     while not _stars(edges):
         edges = written(_star(_star(edges, large=True), large=False).distinct())
+    return edges
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component) of all nodes of `edges` (a, b: long); the component is its smallest node."""
+    edges = smallest(edges)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loanscope.llm.components import components
+from loanscope.llm.components import smallest
 from loanscope.llm.shared import batches, bloom, in_bloom, lean, row_hash, without_rows, written
 from loanscope.llm.words import mix, odd_numbers, shingle_sets
 
@@ -40,6 +40,8 @@ SKETCH = 1 << 21
 SLICE = 8192
 #: Members of a posting list that are compared within one group.
 BLOCK = 4096
+#: Of a group, pairs of members that are looked at, and pairs of signatures that are compared at once.
+CELLS, PAIRS = 1 << 18, 1 << 12
 LAST_ID = (1 << 63) - 1
 
 _TIMES = odd_numbers(K, 23)
@@ -151,6 +153,17 @@ def _ordered(sig: np.ndarray, sketch: np.ndarray, prefix: int) -> np.ndarray:
     return np.take_along_axis(tokens, order, 1)
 
 
+def _rarer(sig: np.ndarray, sketch: np.ndarray, token: np.uint64) -> np.ndarray:
+    """Which tokens of each signature come before the given one in the order of `_ordered`."""
+    out, last = np.empty(sig.shape, bool), np.uint64(SKETCH - 1)
+    own = sketch[int(token & last)]
+    for k in range(0, len(sig), 1024):
+        tokens = _tokens(sig[k : k + 1024])
+        counts = sketch[(tokens & last).astype(np.int64)]
+        out[k : k + 1024] = (counts < own) | (counts == own) & (tokens < token)
+    return out
+
+
 def _postings(classes: DataFrame, sketch, prefix: int, shared=None) -> DataFrame:
     """(token, cls, n_shingles) of the tokens in each prefix; with a filter's table only of those that it may hold."""
 
@@ -203,7 +216,8 @@ def _id_hash() -> Column:
 def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule, keys=set_keys) -> DataFrame:
     """(cls, shingles) of the classes in `wanted` (doc_id, high, low, cls), from the text of one document of each."""
 
-    table = bloom(wanted.select(_id_hash().alias("h"))).table
+    wanted = written(wanted)
+    table = bloom(wanted.select(_id_hash().alias("h")), stored=True).table
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
@@ -215,7 +229,8 @@ def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule, keys=set_keys) -> Data
                 yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(high), pa.array(low), cells], names=["doc_id", "high", "low", "shingles"])
 
     found = rows.select("doc_id", "text", _id_hash()).mapInArrow(lean(task), "doc_id long, high long, low long, shingles binary")
-    return found.join(wanted, ["doc_id", "high", "low"]).dropDuplicates(["cls"]).select("cls", "shingles")
+    # repeated rows go first: what is told apart by the columns of the join stays where it is for it
+    return found.dropDuplicates(["doc_id", "high", "low"]).join(wanted, ["doc_id", "high", "low"]).select("cls", "shingles")
 
 
 GROUP = ["token", "step", "i", "j"]
@@ -247,24 +262,24 @@ def _candidates(sketch, rule: Rule):
         if len(kinds) < 2:
             return {}
         sig = np.frombuffer(b"".join(r[9] for r in group), np.uint32).reshape(-1, K)
+        # a pair counts in the first of its common lists: prefixes hold all rarer tokens, so in the one that has none before it
+        rarer = _rarer(sig, sketch.value, np.uint64(token & (2**64 - 1)))
         major = comp == kinds[counts.argmax()]
-        place, found = np.arange(len(cls)), {}
-        for u in np.flatnonzero(~major):
-            other = (comp != comp[u]) & (major | (place > u)) & ((bucket == step) | (bucket[u] == step))
-            other &= np.minimum(size, size[u]) * 100 >= np.maximum(size, size[u]) * rule.percent
+        place, minor, found = np.arange(len(cls)), np.flatnonzero(~major), {}
+        wide = max(1, CELLS // len(cls))
+        for some in (minor[k : k + wide, None] for k in range(0, len(minor), wide)):
+            # and there in the lower of its steps
+            other = (comp != comp[some]) & (major | (place > some)) & (np.minimum(bucket, bucket[some]) == step)
+            other &= np.minimum(size, size[some]) * 100 >= np.maximum(size, size[some]) * rule.percent
             if i != j:
-                other &= block != block[u]
-            v = np.flatnonzero(other)
-            v = v[(sig[v] == sig[u]).sum(axis=1) >= rule.least]
-            if not len(v):
-                continue
-            # a pair counts in the first of its common lists, and there in the lower of its steps
-            mine = _ordered(sig[u : u + 1], sketch.value, rule.prefix)[0]
-            theirs = _ordered(sig[v], sketch.value, rule.prefix)
-            first = theirs[np.arange(len(v)), np.isin(theirs, mine).argmax(axis=1)]
-            here = (first == np.uint64(token & (2**64 - 1))) & (np.minimum(bucket[v], bucket[u]) == step)
-            if here.any():
-                found[int(cls[u])] = cls[v[here]].tolist()
+                other &= block != block[some]
+            us, vs = np.nonzero(other)
+            us = some[us, 0]
+            for u, v in ((us[k : k + PAIRS], vs[k : k + PAIRS]) for k in range(0, len(us), PAIRS)):
+                same = sig[u] == sig[v]
+                here = (same.sum(axis=1) >= rule.least) & ~(same & rarer[u]).any(axis=1)
+                for a, b in zip(cls[u[here]].tolist(), cls[v[here]].tolist()):
+                    found.setdefault(a, []).append(b)
         return found
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,7 +376,7 @@ def _mixed_groups(members: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame
     of a step and of the next; which groups are worth it is told by counts, before any signature moves.
     """
     step = F.floor(F.log("n_shingles") / F.lit(-math.log(rule.percent / 100) + 1e-9)).cast("int")
-    named = members.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+    named = members.join(comps.toDF("cls", "component"), "cls", "left")
     named = named.select("token", "cls", "size", "n_shingles", F.coalesce("component", "cls").alias("comp"), step.alias("bucket"))
     named = named.withColumn("step", F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)))
     own = F.count_if(F.col("bucket") == F.col("step"))
@@ -411,7 +426,7 @@ def _grouped(docs: DataFrame, rule: Rule, key: str, text: str, keys=set_keys) ->
         .agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("hub"), F.min_by("n_shingles", "cls").alias("hub_shingles"))
         .filter("size > 1")
     )
-    shared = bloom(lists.select("token")).table
+    shared = bloom(lists.select("token"), stored=True).table
     members = written(_postings(classes, sketch, rule.prefix, shared).join(lists, "token"))
 
     near = members.filter("cls != hub").filter(_near_size("n_shingles", "hub_shingles", rule))
@@ -420,8 +435,7 @@ def _grouped(docs: DataFrame, rule: Rule, key: str, text: str, keys=set_keys) ->
     touched = stars.select(F.col("a").alias("cls")).unionAll(stars.select(F.col("b").alias("cls"))).distinct()
     ids = classes.select("cls", "high", "low", F.col("min_id").alias("doc_id"))
     sets = written(_sets(rows, ids.join(touched, "cls"), rule, keys))
-    links = written(_confirmed(stars, sets, rule))
-    comps = written(components(links))
+    comps = smallest(_confirmed(stars, sets, rule))
 
     mixed = _mixed_groups(members, comps, rule).join(classes.select("cls", "sig"), "cls")
     mixed = mixed.select(*GROUP, "block", "bucket", "cls", "comp", "n_shingles", "sig").repartition(*GROUP).sortWithinPartitions(*GROUP)
@@ -431,10 +445,9 @@ def _grouped(docs: DataFrame, rule: Rule, key: str, text: str, keys=set_keys) ->
         late = candidates.select("cls").distinct().join(touched, "cls", "left_anti")
         both = sets.unionAll(_sets(rows, ids.join(late, "cls"), rule, keys))
         laid = candidates.join(both, "cls").select(*GROUP, "cls", "comp", "partners", "shingles").repartition(*GROUP).sortWithinPartitions(*GROUP)
-        more = written(laid.mapInArrow(lean(_late_links(rule)), "a long, b long"))
-        comps = written(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)))
+        comps = smallest(comps.unionAll(laid.mapInArrow(lean(_late_links(rule)), "a long, b long")))
 
-    found = classes.select("cls", "high", "low", "least").join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+    found = classes.select("cls", "high", "low", "least").join(comps.toDF("cls", "component"), "cls", "left")
     found = found.withColumn("component", F.coalesce("component", "cls"))
     stays = found.groupBy("component").agg(F.min("least").alias("stays"))
     found = found.join(stays, "component").select("high", "low", "stays")

@@ -5,7 +5,10 @@ from __future__ import annotations
 import random
 import re
 from itertools import combinations
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from loanscope.llm import signature_join
@@ -127,3 +130,32 @@ def test_one_row_of_a_group_stays_whatever_shares_its_identifier(spark):
     docs = spark.createDataFrame([(i, t, "a", "b") for i, t in rows], SCHEMA)
     kept = [(r.doc_id, r.text) for r in signature_join.drop_near_copies(docs, Rule(5, 80)).collect()]
     assert len([t for _, t in kept if t.startswith("w0")]) == 1 and len(kept) == 5
+
+
+def test_signatures_of_a_group_are_looked_up_once(monkeypatch):
+    rng, rule, n = np.random.default_rng(4), Rule(3, 85), 150
+    sketch = rng.integers(0, 9, signature_join.SKETCH).astype(np.int32)
+    values = rng.integers(0, 1 << 32, (n + 1, signature_join.K), np.uint32)
+    sig = np.where(rng.random((n, signature_join.K)) < 0.12, values[:-1], values[-1])
+    comp = [k // 3 for k in range(n)]
+    prefixes = signature_join._ordered(sig, sketch, rule.prefix).tolist()
+    expected, found, members, looked = set(), set(), 0, []
+    for u, v in combinations(range(n), 2):
+        if comp[u] != comp[v] and (sig[u] == sig[v]).sum() >= rule.least:
+            expected.add((next(t for t in prefixes[u] if t in prefixes[v]), u, v))
+    assert len({t for t, *_ in expected}) > 1
+
+    tokens = signature_join._tokens
+    monkeypatch.setattr(signature_join, "_tokens", lambda s: looked.append(len(s)) or tokens(s))
+    kinds = [pa.int64(), *[pa.int32()] * 5, *[pa.int64()] * 3, pa.binary()]
+    for token in sorted({t for prefix in prefixes for t in prefix}):
+        rows = [(token - (token >> 63 << 64), 7, 0, 0, 0, 7, k, comp[k], 50, sig[k].tobytes()) for k in range(n) if token in prefixes[k]]
+        members += len(rows)
+        batch = pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=[str(k) for k in range(len(kinds))])
+        for out in signature_join._candidates(SimpleNamespace(value=sketch), rule)(iter([batch])):
+            for cls, partners in zip(out["cls"].to_pylist(), out["partners"].to_pylist()):
+                pairs = [(token, min(cls, v), max(cls, v)) for v in partners]
+                assert found.isdisjoint(pairs)
+                found.update(pairs)
+    assert found == expected
+    assert sum(looked) <= members
