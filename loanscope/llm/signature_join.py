@@ -8,10 +8,11 @@ deviations below the number to be expected at the threshold, so a link is missed
 * Prefix: two classes with T common tokens share one of their K - T + 1 rarest, so only those are posted. Rarity comes
   from a sketch of fixed size over all tokens (any common order is right, a rough one only costs time). Passages that
   many documents share have frequent tokens, which are posted by documents that consist of them.
-* Skip: each posting list links its members to one hub (the smallest) first. Once these links are confirmed, a list
-  whose members are all in one component has nothing left to find, as only components are asked for. In the other lists
-  all pairs from different components and of near sizes are counted, a pair only in the first of its common lists, and
-  confirmed unless their components have met. Long lists are dealt out by pairs of blocks.
+* Skip: each posting list links its members to one hub (the smallest) first. That compares all pairs of the hub, so the
+  hub goes, and with it every list of two. Once these links are confirmed, a list whose other members are all in one
+  component has nothing left to find, as only components are asked for. In the rest all pairs from different components
+  and of near sizes are counted, a pair only in the first of its common lists, and confirmed unless their components have
+  met. Long lists are dealt out by pairs of blocks.
 
 Nulls count as empty texts; texts without words have no set and are linked with nothing. Repeated rows are one class.
 A row without identifier counts as the largest one, so it never stays while another does. An empty table gives no rows.
@@ -213,24 +214,24 @@ def _id_hash() -> Column:
     return F.xxhash64("doc_id")
 
 
-def _sets(rows: DataFrame, wanted: DataFrame, rule: Rule, keys=set_keys) -> DataFrame:
-    """(cls, shingles) of the classes in `wanted` (doc_id, high, low, cls), from the text of one document of each."""
+def _sets(rows: DataFrame, wanted: DataFrame, shared: DataFrame, rule: Rule, keys=set_keys) -> DataFrame:
+    """(cls, shingles) of the classes in `wanted` (cls, doc_id), from the text of one document of each, dealt by class."""
 
     wanted = written(wanted)
     table = bloom(wanted.select(_id_hash().alias("h")), stored=True).table
 
     def task(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            batch = batch.filter(pa.array(in_bloom(table.value, batch.column(2).to_numpy().view(np.uint64))))
-            for i, j, hashes, at in shingle_sets(batch.column(1), rule.width):
+            batch = batch.filter(pa.array(in_bloom(table.value, batch.column(1).to_numpy().view(np.uint64))))
+            for i, j, hashes, at in shingle_sets(batch.column(0), rule.width):
                 high, low = keys(hashes, at)
                 ends = pa.py_buffer((at * 8).astype(np.int32))
                 cells = pa.Array.from_buffers(pa.binary(), j - i, [None, ends, pa.py_buffer(hashes)])
-                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(high), pa.array(low), cells], names=["doc_id", "high", "low", "shingles"])
+                yield pa.record_batch([pa.array(high), pa.array(low), cells], names=["high", "low", "shingles"])
 
-    found = rows.select("doc_id", "text", _id_hash()).mapInArrow(lean(task), "doc_id long, high long, low long, shingles binary")
-    # repeated rows go first: what is told apart by the columns of the join stays where it is for it
-    return found.dropDuplicates(["doc_id", "high", "low"]).join(wanted, ["doc_id", "high", "low"]).select("cls", "shingles")
+    found = rows.select("text", _id_hash()).mapInArrow(lean(task), "high long, low long, shingles binary")
+    # a class has one set, whichever of its rows that passed the filter it comes from
+    return _named_classes(found, shared).select("cls", "shingles").dropDuplicates(["cls"]).join(wanted.select("cls"), "cls", "left_semi")
 
 
 GROUP = ["token", "step", "i", "j"]
@@ -372,12 +373,13 @@ def _similar(x: np.ndarray, y: np.ndarray, rule: Rule) -> bool:
 def _mixed_groups(members: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame:
     """Members of posting lists in groups that can hold a pair from two components: of near sizes, block by block.
 
-    Sizes fall into steps of the threshold, so that near ones are in the same step or the next. A group has the members
-    of a step and of the next; which groups are worth it is told by counts, before any signature moves.
+    Hubs are left out, as all their pairs have been compared. Sizes fall into steps of the threshold, so that near ones
+    are in the same step or the next. A group has the members of a step and of the next; which groups are worth it is told
+    by counts, before any signature moves.
     """
     step = F.floor(F.log("n_shingles") / F.lit(-math.log(rule.percent / 100) + 1e-9)).cast("int")
-    named = members.join(comps.toDF("cls", "component"), "cls", "left")
-    named = named.select("token", "cls", "size", "n_shingles", F.coalesce("component", "cls").alias("comp"), step.alias("bucket"))
+    named = members.filter("size > 2 and cls != hub").select("token", "cls", "n_shingles").join(comps.toDF("cls", "component"), "cls", "left")
+    named = named.select("token", "cls", "n_shingles", F.coalesce("component", "cls").alias("comp"), step.alias("bucket"))
     named = named.withColumn("step", F.explode(F.array(F.col("bucket"), F.col("bucket") - 1)))
     own = F.count_if(F.col("bucket") == F.col("step"))
     alive = named.groupBy("token", "step").agg(own.alias("own"), F.count(F.lit(1)).alias("all"), F.min("comp").alias("c"), F.max("comp").alias("d"))
@@ -389,10 +391,19 @@ def _mixed_groups(members: DataFrame, comps: DataFrame, rule: Rule) -> DataFrame
     )
 
 
-def _classes(profiles: DataFrame) -> DataFrame:
+def _named_classes(sets: DataFrame, shared: DataFrame) -> DataFrame:
+    """`sets` (high, low and others) with cls, the identifier of a class.
+
+    That is its first hash; where sets share it, which `shared` tells (high, first), all but one get a hash of both.
+    """
+    other = F.when(F.col("low") != F.col("first"), F.xxhash64("high", "low"))
+    return sets.join(shared, "high", "left").withColumn("cls", F.coalesce(other, "high")).drop("first")
+
+
+def _classes(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One row per set, told apart by both hashes: high, low, cls, the smallest identifier and the row that has it.
 
-    The identifier of a class is its first hash; where sets share that, all but one get a hash of both.
+    And which first hashes sets share.
     """
     classes = written(
         profiles.filter("n_shingles > 0").groupBy("high", "low")
@@ -402,9 +413,8 @@ def _classes(profiles: DataFrame) -> DataFrame:
         )
     )
     shared = classes.groupBy("high").agg(F.min("low").alias("first"), F.max("low").alias("last")).filter("first != last")
-    named = classes.join(written(shared.select("high", "first")), "high", "left")
-    other = F.when(F.col("low") != F.col("first"), F.xxhash64("high", "low"))
-    return named.withColumn("cls", F.coalesce(other, "high")).drop("first")
+    shared = written(shared.select("high", "first"))
+    return _named_classes(classes, shared), shared
 
 
 def _grouped(docs: DataFrame, rule: Rule, key: str, text: str, keys=set_keys) -> DataFrame:
@@ -418,7 +428,7 @@ def _grouped(docs: DataFrame, rule: Rule, key: str, text: str, keys=set_keys) ->
     )
     kind = "doc_id long, content long, n_shingles long, high long, low long, sig binary"
     profiles = written(rows.mapInArrow(lean(_profiles(rule, keys)), kind))
-    classes = _classes(profiles)
+    classes, one_hash = _classes(profiles)
     sketch = spark.sparkContext.broadcast(_sketch(classes))
     postings = _postings(classes, sketch, rule.prefix)
     lists = written(
@@ -433,18 +443,17 @@ def _grouped(docs: DataFrame, rule: Rule, key: str, text: str, keys=set_keys) ->
     stars = near.select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct()
     stars = written(_colliding(stars, classes, rule))
     touched = stars.select(F.col("a").alias("cls")).unionAll(stars.select(F.col("b").alias("cls"))).distinct()
-    ids = classes.select("cls", "high", "low", F.col("min_id").alias("doc_id"))
-    sets = written(_sets(rows, ids.join(touched, "cls"), rule, keys))
-    comps = smallest(_confirmed(stars, sets, rule))
+    ids = classes.select("cls", F.col("min_id").alias("doc_id"))
+    # sets aren't stored: those that are looked at again later are few, and made anew
+    comps = smallest(_confirmed(stars, _sets(rows, ids.join(touched, "cls"), one_hash, rule, keys), rule))
 
     mixed = _mixed_groups(members, comps, rule).join(classes.select("cls", "sig"), "cls")
     mixed = mixed.select(*GROUP, "block", "bucket", "cls", "comp", "n_shingles", "sig").repartition(*GROUP).sortWithinPartitions(*GROUP)
     kind = "token long, step int, i int, j int, cls long, comp long, partners array<long>"
     candidates = written(mixed.mapInArrow(lean(_candidates(sketch, rule)), kind))
     if candidates.take(1):
-        late = candidates.select("cls").distinct().join(touched, "cls", "left_anti")
-        both = sets.unionAll(_sets(rows, ids.join(late, "cls"), rule, keys))
-        laid = candidates.join(both, "cls").select(*GROUP, "cls", "comp", "partners", "shingles").repartition(*GROUP).sortWithinPartitions(*GROUP)
+        late = _sets(rows, ids.join(candidates.select("cls").distinct(), "cls"), one_hash, rule, keys)
+        laid = candidates.join(late, "cls").select(*GROUP, "cls", "comp", "partners", "shingles").repartition(*GROUP).sortWithinPartitions(*GROUP)
         comps = smallest(comps.unionAll(laid.mapInArrow(lean(_late_links(rule)), "a long, b long")))
 
     found = classes.select("cls", "high", "low", "least").join(comps.toDF("cls", "component"), "cls", "left")

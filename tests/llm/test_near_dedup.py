@@ -159,3 +159,48 @@ def test_signatures_of_a_group_are_looked_up_once(monkeypatch):
                 found.update(pairs)
     assert found == expected
     assert sum(looked) <= members
+
+
+def test_only_pairs_without_a_hub_are_compared_again(spark):
+    lists = {1: [10, 11], 2: [10, 11, 12], 3: [10, 12, 13], 4: [11, 14, 15, 16]}  # the first of each is its hub
+    rows = [(token, c, 40, len(of), of[0], 40) for token, of in lists.items() for c in of]
+    members = spark.createDataFrame(rows, "token long, cls long, n_shingles long, size long, hub long, hub_shingles long")
+    comps = spark.createDataFrame([(13, 12)], "a long, b long")
+    found = {(r.token, r.cls) for r in signature_join._mixed_groups(members, comps, Rule(3, 85)).collect()}
+    assert found == {(2, 11), (2, 12), (4, 14), (4, 15), (4, 16)}
+
+
+def test_sets_are_read_once_per_class(spark):
+    rule, one, two = Rule(3, 85), "a b c d e", "f g h i"
+    rows = spark.createDataFrame([(5, one), (5, two), (7, one), (5, ""), (8, one + " x")], "doc_id long, text string")
+    (_, _, hashes, at), = signature_join.shingle_sets(pa.array([one, two]), rule.width)
+    high, low = signature_join.set_keys(hashes, at)
+    none = spark.createDataFrame([], "high long, first long")
+    wanted = spark.createDataFrame([(int(high[0]), 5)], "cls long, doc_id long")
+    found = [(r.cls, bytes(r.shingles)) for r in signature_join._sets(rows, wanted, none, rule).collect()]
+    assert found == [(high[0], hashes[: at[1]].tobytes())]
+    # sets that share their first hash: the one with another second hash has a class of its own
+    both = spark.createDataFrame([(7, int(min(low)))], "high long, first long")
+    coarse = lambda h, a: (np.full(len(a) - 1, 7), signature_join.set_keys(h, a)[1])
+    wanted = spark.createDataFrame([(7, 5)], "cls long, doc_id long")
+    found = [bytes(r.shingles) for r in signature_join._sets(rows, wanted, both, rule, coarse).collect()]
+    k = int(np.argmin(low))
+    assert found == [hashes[at[k] : at[k + 1]].tobytes()]
+
+
+def test_sets_are_dealt_by_class_once(spark):
+    rows = spark.createDataFrame([(5, "a b c d e")], "doc_id long, text string")
+    none = spark.createDataFrame([], "high long, first long")
+    pairs = spark.createDataFrame([(2, 1)], "a long, b long")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sets = signature_join._sets(rows, spark.createDataFrame([(1, 5)], "cls long, doc_id long"), none, Rule(3, 85))
+        plan = signature_join._confirmed(pairs, sets, Rule(3, 85))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # that of the sets and that of the comparison; the other side of the pairs reads the same exchange, by class
+    assert plan.count("MapInArrow") == 2 and "ReusedExchange [cls" in plan
