@@ -25,16 +25,16 @@ def stored_inputs(
 ) -> RawTables:
     """The facts, and the sheets and the survey as tables that are loaded once, by name if there is a database.
 
-    A source that is absent is not stored, so it is loaded when it comes.
+    A source that is absent is not stored, so it is loaded when it comes; a stored table stays when its source goes.
     """
     raw = files.load_raw(spark, raw_dir, survey_headers, credit_data=facts)
     found = files.present(spark, raw_dir)
 
     def table(name: str) -> DataFrame:
-        if name not in found:
+        path, title = f"{out_dir}/raw/{name}", f"{database}.{name}" if database else None
+        if name not in found and tables.stored_table(spark, path) is None:
             return getattr(raw, name)
-        title = f"{database}.{name}" if database else None
-        return tables.store_once(spark, lambda: getattr(raw, name), f"{out_dir}/raw/{name}", title)
+        return tables.store_once(spark, lambda: getattr(raw, name), path, title)
 
     names = [name for name in schemas.RAW_TABLES if name != "credit_data"]
     return RawTables(credit_data=lambda: facts, **{name: partial(table, name) for name in names})

@@ -426,19 +426,21 @@ def _named_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         write(raw, folder)
     database = f"loanscope_{out.rsplit('/', 1)[1]}"
     spark.sql(f"create database {database} location '{out}/database'")
-    facts = raw.credit_data
-    first = pipeline.stored_inputs(spark, folder, out, facts, sample_files.SAMPLE_HEADERS, database)
-    names = [name for name in schemas.RAW_TABLES if name != "credit_data"]
-    before = {name: getattr(first, name).inputFiles() for name in names}
-    again = pipeline.stored_inputs(spark, folder, out, facts, sample_files.SAMPLE_HEADERS, database)
-    mart = tables.save_parquet(marts.cohort_analysis(again), f"{out}/marts/mart_cohort_analysis")
-    tables.name_table(spark, f"{database}.mart_cohort_analysis", f"{out}/marts/mart_cohort_analysis")
+    names = [*(name for name in schemas.RAW_TABLES if name != "credit_data"), "mart_cohort_analysis"]
+
+    def run() -> dict[str, list[str]]:
+        """The files of each named table after a run."""
+        pipeline.run(spark, folder, out, sample_files.SAMPLE_HEADERS, database)
+        return {name: sorted(spark.table(f"{database}.{name}").inputFiles()) for name in names}
+
+    before = run()
+    sample_files.remove_sheets_and_survey(spark, folder)
+    after = run()
     counted = [
         spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count",
-            F.lit(sorted(before.get(name, mart.inputFiles())) == sorted(spark.table(f"{database}.{name}").inputFiles()) and name in before).alias("kept"),
+            F.lit(name).alias("table_name"), "row_count", F.lit(before[name] == after[name]).alias("kept"),
         )
-        for name in [*names, "mart_cohort_analysis"]
+        for name in names
     ]
     return reduce(DataFrame.unionAll, counted)
 

@@ -75,15 +75,19 @@ def name_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.table(name)
 
 
-def store_once(spark: SparkSession, build: Callable[[], DataFrame], path: str, name: str | None = None) -> DataFrame:
-    """The table at ``path``, built and stored if there is none yet; also a catalog table if it gets a name.
-
-    A folder without data, as a failed first attempt leaves it, counts as none.
-    """
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, None if there is none; a folder without data, as a failed first attempt leaves it, counts as none."""
     try:
-        stored = spark.read.parquet(path)
+        return spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
+        return None
+
+
+def store_once(spark: SparkSession, build: Callable[[], DataFrame], path: str, name: str | None = None) -> DataFrame:
+    """The table at ``path``, built and stored if there is none yet; also a catalog table if it gets a name."""
+    stored = stored_table(spark, path)
+    if stored is None:
         stored = save_parquet(build(), path)
     return name_table(spark, name, path) if name else stored

@@ -55,6 +55,14 @@ def write_survey(raw: RawTables, raw_dir: str) -> None:
     renamed.write.options(**CSV_PARTS).csv(f"{raw_dir}/{files.SURVEY_FILE}.csv")
 
 
+def remove_sheets_and_survey(spark: SparkSession, raw_dir: str) -> None:
+    """Delete what ``write_sheets`` and ``write_survey`` have written, in whatever store it lies."""
+    for name in (files.WORKBOOK, f"{files.SURVEY_FILE}.csv"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{raw_dir}/{name}")
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
+            raise FileNotFoundError(f"nothing at {path}")
+
+
 def register_tables(spark: SparkSession, raw: RawTables) -> list[str]:
     """Register one view per snapshot and per other raw table; returns their names."""
     others = {table: getattr(raw, table) for table in schemas.RAW_TABLES if table != "credit_data"}

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loanscope import pipeline
+from loanscope import pipeline, registry
 from loanscope.plans import marts, quality, staging
 from loanscope.sinks import export, tables
 from loanscope.sources import catalog, files, sample_files, schemas
@@ -367,6 +367,38 @@ def test_pipeline(spark, sf_dir):
     assert rows(again["mart_credit_vs_nps"]) == rows(marts.credit_vs_nps(raw))
 
 
+def test_stored_inputs_stay_when_their_files_go(spark, tmp_path):
+    raw_dir, out = tmp_path / "raw", str(tmp_path / "out")
+    raw = samples.raw_tables(
+        spark, customer_sales=[{"Loan Id": "A", "sale_id": 1}, {"Loan Id": "B", "sale_id": 2}], nps_data=[{"Loan Id": "A", "nps_score": 9}],
+    )
+    sample_files.write_sheets(raw, str(raw_dir))
+    sample_files.write_survey(raw, str(raw_dir))
+    counts = lambda: [getattr(pipeline.stored_inputs(spark, str(raw_dir), out, raw.credit_data, sample_files.SAMPLE_HEADERS), name).count() for name in ("customer_sales", "customer_dob", "nps_data")]
+    assert counts() == [2, 0, 1]
+    sample_files.remove_sheets_and_survey(spark, str(raw_dir))
+    assert not files.present(spark, str(raw_dir))
+    assert counts() == [2, 0, 1]
+
+
+def test_named_tables_run_the_pipeline_twice(spark, sf_dir, monkeypatch):
+    runs, run = [], pipeline.run
+
+    def watched(spark, raw_dir, *args):
+        present = files.present(spark, raw_dir)
+        runs.append((len(present), run(spark, raw_dir, *args)))
+        return runs[-1][1]
+
+    monkeypatch.setattr(pipeline, "run", watched)
+    named = registry.queries()["sink_named_tables"](spark, sf_dir)
+    assert [present for present, _ in runs] == [5, 0]
+    assert {r.table_name for r in named.collect() if r.kept} == schemas.RAW_TABLES.keys() - {"credit_data"}
+    rows = lambda df: sorted(map(str, df.collect()))
+    for name, want in (("mart_cohort_analysis", marts.cohort_analysis), ("mart_credit_vs_nps", marts.credit_vs_nps)):
+        assert rows(runs[1][1][name]) == rows(want(derived_tables(spark, sf_dir)))  # the stored customers count on
+    assert {r.status for r in runs[1][1]["exports"].collect()} == {"OK"}
+
+
 def test_checks_of_batches_that_were_not_counted(spark, tmp_path):
     raw_dir, target = tmp_path / "raw", tmp_path / "target"
     write_csv(raw_dir / "Credit Data - 01-01-2025.csv", [credit_line("A"), credit_line("")])
