@@ -27,22 +27,40 @@ def _mean(total: str, count: str) -> Column:
     return _weighted(total) / F.nullif(_weighted(count), F.lit(0.0))
 
 
+def _portfolio_measures() -> dict[str, Column]:
+    return {
+        "balance": F.sum("balance"),
+        "paid": F.sum("total_paid"),
+        "arrears": F.sum("arrears"),
+        "dpd": F.sum("days_past_due"),
+        "n_dpd": F.count("days_past_due"),
+        "current_balance": _sum_of("up_to_date_count", "balance"),
+        "late_balance": _sum_of("arrears_count", "balance"),
+        "late_arrears": _sum_of("arrears_count", "arrears"),
+        FACT_FLAGS.column: F.bit_or(FACT_FLAGS.pack()),
+    }
+
+
+def _cohort_measures() -> dict[str, Column]:
+    return {
+        "paid": F.sum("total_paid"),
+        "n_paid": F.count("total_paid"),
+        "balance": F.sum("balance"),
+        "n_balance": F.count("balance"),
+        "owed": F.sum(F.col("total_paid") + F.col("balance")),
+        "dpd": F.sum("days_past_due"),
+        "n_dpd": F.count("days_past_due"),
+        FACT_FLAGS.column: F.bit_or(FACT_FLAGS.pack()),
+    }
+
+
+def _named(measures: dict[str, Column]) -> list[Column]:
+    return [measure.alias(name) for name, measure in measures.items()]
+
+
 def portfolio_states(facts: DataFrame, *extra: str) -> DataFrame:
     """(snapshot, loan) rows with fact sums and flags."""
-    return loan_grain.fact_loans(
-        facts, "snapshot_date", *extra,
-        measures=[
-            F.sum("balance").alias("balance"),
-            F.sum("total_paid").alias("paid"),
-            F.sum("arrears").alias("arrears"),
-            F.sum("days_past_due").alias("dpd"),
-            F.count("days_past_due").alias("n_dpd"),
-            _sum_of("up_to_date_count", "balance").alias("current_balance"),
-            _sum_of("arrears_count", "balance").alias("late_balance"),
-            _sum_of("arrears_count", "arrears").alias("late_arrears"),
-            F.bit_or(FACT_FLAGS.pack()).alias(FACT_FLAGS.column),
-        ],
-    )
+    return loan_grain.fact_loans(facts, "snapshot_date", *extra, measures=_named(_portfolio_measures()))
 
 
 def portfolio_loans(facts: DataFrame, raw: RawTables) -> DataFrame:
@@ -100,19 +118,14 @@ COHORT_KEYS = ("cohort_quarter", "cohort_age_quarters", "snapshot_date")
 
 def cohort_states(facts: DataFrame, *extra: str) -> DataFrame:
     """(cohort, loan) rows with fact sums and flags."""
-    return loan_grain.fact_loans(
-        with_cohorts(facts).where(F.col("cohort_quarter").isNotNull()), *COHORT_KEYS, *extra,
-        measures=[
-            F.sum("total_paid").alias("paid"),
-            F.count("total_paid").alias("n_paid"),
-            F.sum("balance").alias("balance"),
-            F.count("balance").alias("n_balance"),
-            F.sum(F.col("total_paid") + F.col("balance")).alias("owed"),
-            F.sum("days_past_due").alias("dpd"),
-            F.count("days_past_due").alias("n_dpd"),
-            F.bit_or(FACT_FLAGS.pack()).alias(FACT_FLAGS.column),
-        ],
-    )
+    dated = with_cohorts(facts).where(F.col("cohort_quarter").isNotNull())
+    return loan_grain.fact_loans(dated, *COHORT_KEYS, *extra, measures=_named(_cohort_measures()))
+
+
+def loan_states(facts: DataFrame, *extra: str) -> DataFrame:
+    """(cohort, loan) rows with the fact sums and flags of both tables; facts without a cohort are in it."""
+    measures = _named({**_portfolio_measures(), **_cohort_measures()})
+    return loan_grain.fact_loans(with_cohorts(facts), *COHORT_KEYS, *extra, measures=measures)
 
 
 def cohort_analysis(raw: RawTables) -> DataFrame:

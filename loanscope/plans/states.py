@@ -1,6 +1,6 @@
 """Marts and newest rows from stored per-loan states, so that a new snapshot costs its own rows and not all facts.
 
-A state is what a mart needs of the facts of one (snapshot, loan): sums, counts
+A state is what the marts need of the facts of one (cohort, snapshot, loan): sums, counts
 and flag bits. Each ingested batch adds its states once, below partitions of its
 snapshot dates and its number; facts of other batches are not read. Sums add up
 and bits are OR-ed, so states of several batches merge, late part files of an
@@ -26,11 +26,13 @@ from loanscope.sources import files
 from loanscope.sources.derived import RawTables
 from loanscope.streaming import ingest
 
-STATES, DONE = "loan_states", "loan_states_done"
+# Not the names of before, when each mart had states of its own: batches done then get these.
+STATES, DONE = "cohort_loan_states", "cohort_loan_states_done"
 NEWEST, NEWEST_DONE = "newest_facts", "newest_facts_done"
+#: Mart: which states it takes, its keys besides the loan, and what makes it of them.
 KINDS = {
-    "mart_portfolio_performance": (marts.portfolio_states, ["snapshot_date"], marts.portfolio_of),
-    "mart_cohort_analysis": (marts.cohort_states, ["cohort_quarter", "cohort_age_quarters", "snapshot_date"], marts.cohort_of),
+    "mart_portfolio_performance": ("true", ["snapshot_date"], marts.portfolio_of),
+    "mart_cohort_analysis": ("cohort_quarter is not null", list(marts.COHORT_KEYS), marts.cohort_of),
 }
 
 
@@ -84,32 +86,35 @@ def update(spark: SparkSession, table_dir: str) -> list[int]:
     """Store the states of batches that have none yet; returns their numbers."""
     new = _new(spark, table_dir, DONE)
     if new:
-        facts = ingest.batch_facts(spark, table_dir, new)
-        for name, (build, _, _) in KINDS.items():
-            build(facts, ingest.BATCH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                ingest.SNAPSHOT_DATE, ingest.BATCH
-            ).parquet(f"{table_dir}/{STATES}/{name}")
+        states = marts.loan_states(ingest.batch_facts(spark, table_dir, new), ingest.BATCH)
+        states.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            ingest.SNAPSHOT_DATE, ingest.BATCH
+        ).parquet(f"{table_dir}/{STATES}")
         # last, so that a batch counts as done only with all its states
         _mark(spark, table_dir, DONE, new)
     return new
 
 
 def _merged(states: DataFrame, keys: list[str]) -> DataFrame:
-    """One state per (keys, loan)."""
-    taken = {*keys, KEY, "is_loan", ingest.BATCH, FACT_FLAGS.column}
+    """One state per (keys, loan).
+
+    States are dealt by loan, for the merge and the join with the customer side alike: a loan has no more of
+    them than batches, snapshots and sale quarters, whatever the number of its facts.
+    """
+    taken = {*marts.COHORT_KEYS, KEY, "is_loan", ingest.BATCH, FACT_FLAGS.column}
     sums = (F.sum(name).alias(name) for name in states.columns if name not in taken)
-    merged = states.groupBy(*keys, KEY).agg(*sums, FACT_FLAGS.merge())
+    merged = states.repartition(KEY).groupBy(*keys, KEY).agg(*sums, FACT_FLAGS.merge())
     return merged.withColumn("is_loan", F.col(KEY).isNotNull().cast("bigint"))
 
 
 def mart(spark: SparkSession, table_dir: str, name: str, raw: RawTables) -> DataFrame:
     """The mart over all batches that have states; the customer side of ``raw`` is read, its facts are not."""
-    build, keys, finish = KINDS[name]
-    empty = build(ingest.batch_facts(spark, table_dir, []), ingest.BATCH)
+    taken, keys, finish = KINDS[name]
+    empty = marts.loan_states(ingest.batch_facts(spark, table_dir, []), ingest.BATCH)
     try:
-        states = spark.read.schema(empty.schema).parquet(f"{table_dir}/{STATES}/{name}")
+        states = spark.read.schema(empty.schema).parquet(f"{table_dir}/{STATES}")
     except AnalysisException as error:
         if not files.is_missing(error):
             raise
         states = empty
-    return finish(_merged(states, keys), raw)
+    return finish(_merged(states.where(taken), keys), raw)

@@ -157,11 +157,15 @@ def ansi_sql(table: str) -> str:
 
 
 def spark_sql(table: str) -> str:
-    """The derivation for Spark: snapshots come from an inlined array, so nothing is joined."""
+    """The derivation for Spark: snapshots come from an inlined array, so nothing is joined.
+
+    Orders after the last snapshot are in none, so they are not repeated for each first.
+    """
     snapshots = ", ".join(f"struct({q} as q, date'{day}' as s)" for q, day, _ in SNAPSHOTS)
+    last = max(day for _, day, _ in SNAPSHOTS)
     orders = (
         "(select k, d, sn.q, sn.s from (select o_orderkey k, cast(o_orderdate as date) d, "
-        f"explode(array({snapshots})) sn from {{orders}}) where d <= sn.s)"
+        f"explode(array({snapshots})) sn from {{orders}} where cast(o_orderdate as date) <= date'{last}') where d <= sn.s)"
     )
     text = TABLES[table].replace("{orders_by_snapshot}", orders)
     text = re.sub(r'"([^"]+)"', r"`\1`", text)

@@ -34,9 +34,14 @@ ENTRY_SCHEMA = "entry string, stem string, snapshot_table string"
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
-def snapshot_table(stem: Column) -> Column:
+def _file_date(stem: Column) -> Column:
+    """``dd-mm-yyyy`` in a name, or nothing."""
+    return F.regexp_extract(stem, FILE_DATE, 0)
+
+
+def snapshot_table(stem: Column, date: Column | None = None) -> Column:
     """``… dd-mm-yyyy …`` → ``credit_data_yyyymmdd``; an undated name is made an identifier."""
-    date = F.regexp_extract(stem, FILE_DATE, 0)
+    date = _file_date(stem) if date is None else date
     year, month, day = F.substring(date, 7, 4), F.substring(date, 4, 2), F.substring(date, 1, 2)
     dated = F.concat(F.lit(TABLE_PREFIX), year, month, day)
     return F.when(date != "", dated).otherwise(F.translate(F.lower(stem), " -", "__"))
@@ -145,11 +150,11 @@ def _csv_by_name(
     rows, and None stands for files that all have none. Columns outside the schema are not parsed.
     """
     reader = spark.read.options(**CSV_OPTIONS, enforceSchema=False, multiLine=multiline)
-    scans = []
+    scans, typed = [], [*map(_typed, schema.fields), *extra]
     for names, group in _by_header(spark, list(paths), multiline).items():
         texts = T.StructType([T.StructField(name, T.StringType()) for name in names])
         scan = reader.schema(texts).csv(group).withColumnsRenamed(renames or {})
-        scans.append(scan.select(*map(_typed, schema.fields), *extra))
+        scans.append(scan.select(*typed))
     return reduce(DataFrame.unionByName, scans) if scans else None
 
 
@@ -159,17 +164,25 @@ def _decoded(address: Column) -> Column:
 
 
 def _entry_stem() -> Column:
-    """The stem of the entry of a row's file: it is the last name of the path or the one before, so no more is searched."""
-    end = F.substring_index(F.col("_metadata.file_path"), "/", -2)
+    """The stem of the entry of a row's file: it is the last name of the path or the one before, so no more is searched.
+
+    For the scan itself only. A metadata column would widen each scanned row by the path and copy the row for it.
+    """
+    end = F.substring_index(F.input_file_name(), "/", -2)
     return F.regexp_extract(F.concat(F.lit("/"), _decoded(end)), CREDIT_ENTRY, 2)
 
 
 def credit_scan(spark: SparkSession, found: list[str], with_table: bool = False) -> DataFrame:
-    """All rows of the given snapshot files and folders, typed; optionally with their table name."""
-    extra: tuple[Column, ...] = ()
-    if with_table:
-        extra = (snapshot_table(_entry_stem()).alias("snapshot_table"),)
+    """All rows of the given snapshot files and folders, typed; optionally with their table name.
+
+    Stem and date of the name are found in projections of their own, hence once a row: each use of an expression
+    within one is generated anew.
+    """
+    extra = (_entry_stem().alias("_stem"),) if with_table else ()
     rows = _csv_by_name(spark, found, schemas.CREDIT, extra) if found else None
+    if rows is not None and with_table:
+        dated = rows.withColumn("_date", _file_date(F.col("_stem")))
+        return dated.withColumn("snapshot_table", snapshot_table(F.col("_stem"), F.col("_date"))).drop("_stem", "_date")
     if rows is not None:
         return rows
     schema = schemas.CREDIT

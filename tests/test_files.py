@@ -45,6 +45,22 @@ def test_snapshot_table(spark, stem, table):
     assert df.select(files.snapshot_table(F.col("stem"))).first()[0] == table
 
 
+def test_table_names_cost_little_per_row(spark, tmp_path):
+    write_csv(tmp_path / "Credit Data - 31-03-2025 a+b%20c.csv" / "part-0.csv", [credit_line("B")])
+    write_csv(tmp_path / "Credit Data - New +%.csv", [credit_line("C")])
+    scan = files.credit_scan(spark, files.entry_paths(files.discover(spark, str(tmp_path))), with_table=True)
+    assert sorted((r.loan_id, r.snapshot_table) for r in scan.collect()) == [("B", "credit_data_20250331"), ("C", "credit_data___new_+%")]
+    plan = scan._jdf.queryExecution().optimizedPlan()
+    assert "file_path" not in plan.toString()
+    # the name is taken apart once, its date found in a projection above
+    assert plan.toString().count("Project [") >= 3
+
+
+def test_orders_after_the_last_snapshot_are_not_repeated(spark, sf_dir):
+    plan = derived_tables(spark, sf_dir).credit_data._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderdate" in plan.split("Generate")[1].split("Filter ")[1].split("\n")[0]
+
+
 def test_discovery_ignores_other_files(spark, tmp_path):
     write_csv(tmp_path / "Credit Data - 01-01-2025.csv", [credit_line("A")])
     write_csv(tmp_path / "Credit Data - 31-03-2025.csv" / "part-0.csv", [credit_line("B")])

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from loanscope.plans import marts, states
 from loanscope.sinks import tables
-from loanscope.sources import sample_files
+from loanscope.sources import files, sample_files
 from loanscope.sources.derived import RawTables, raw_tables
 from loanscope.sources.scratch import scratch_dir
 from loanscope.streaming import ingest
+from tests import samples
 
 
 def rows(df):
@@ -41,6 +44,30 @@ def test_only_new_batches_are_read(spark, sf_dir):
     assert rows(states.mart(spark, target, "mart_cohort_analysis", raw)) == rows(marts.cohort_analysis(ingested))
 
 
+def test_states_of_both_marts_are_stored_and_dealt_once(spark, tmp_path):
+    raw = samples.raw_tables(
+        spark, customer_sales=[{"Loan Id": "A", "sale_id": 1, "product_name": "iPhone 11"}] * 2,
+        credit_data=[
+            {"loan_id": "A", "balance": 2.0, "total_paid": 1.0, "days_past_due": 40},
+            {"loan_id": "A", "balance": 3.0, "total_paid": None, "days_past_due": None, "sale_date": "1/2/2024"},
+            {"loan_id": "A", "balance": None, "total_paid": 4.0, "sale_date": None, "account_status_l2": "FPD"},
+            {"loan_id": None, "balance": 5.0, "total_paid": 6.0}, {"loan_id": "B", "date": "3/31/2025", "balance": 7.0},
+        ],
+    )
+    folder, target = str(tmp_path / "raw"), str(tmp_path / "target")
+    raw.credit_data.write.options(**files.CSV_OPTIONS).csv(f"{folder}/Credit Data - 01-01-2025.csv")
+    ingest.ingest(spark, folder, target)
+    states.update(spark, target)
+    stored = spark.read.parquet(f"{target}/{states.STATES}")
+    assert stored.count() == 5
+    for name, want in (("mart_portfolio_performance", marts.portfolio_performance), ("mart_cohort_analysis", marts.cohort_analysis)):
+        found = states.mart(spark, target, name, raw)
+        dealt = re.findall(r"hashpartitioning\(([^)]*)\)", found._jdf.queryExecution().executedPlan().toString())
+        assert not any("loan_id" in keys and "snapshot_date" in keys for keys in dealt)
+        assert sum(keys.startswith("loan_id") for keys in dealt) == 2  # states and customers, each once
+        assert rows(found) == rows(want(raw))
+
+
 def test_newest_facts_follow_batches(spark, sf_dir):
     raw, folder, target = raw_tables(spark, sf_dir), scratch_dir(spark), scratch_dir(spark)
     assert states.update_newest(spark, target) == [] and states.newest_facts(spark, target).count() == 0
